@@ -2,23 +2,46 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import cut
+from tallyflow.llm.common import cut, shingle_sets, small_side
 from tallyflow.llm.labelled import bounded, fold, training_rows
 
-_TERM = re.compile(r"[^\W\d_]+")
+#: ASCII bytes that are no letters separate words.
+_LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 #: Distinct terms that a task counts before it hands them on.
 _FLUSH = 200_000
+#: Lengths of the word beginnings that count as terms, for inflected forms.
+_STEMS = (4, 5, 6, 7, 8)
+
+
+def terms_of(text: str | None, idf: dict | None = None) -> Counter:
+    """How often each term occurs: the lower-cased words, and the beginnings of longer words, marked by a star. With ``idf`` only its terms."""
+    words = Counter((text or "").lower().encode("utf-8", "replace").translate(_LETTERS).decode().split())
+    out = Counter() if idf is not None else words
+    for word, n in list(words.items()):
+        if idf is not None:
+            if word in idf:
+                out[word] += n
+            if word[: _STEMS[0]] not in idf[None]:
+                continue
+        for k in _STEMS:
+            if len(word) > k and (idf is None or word[:k] + "*" in idf):
+                out[word[:k] + "*"] += n
+    return out
+
+
+def _sketches(batches):
+    """The least shingle hash of each text: equal for exact copies and, mostly, for near copies."""
+    import pyarrow as pa
 
-
-def terms_of(text: str | None) -> list[str]:
-    return _TERM.findall((text or "").lower())
+    for batch in batches:
+        least = [int(s[0].astype(np.int64)) if len(s) else 0 for s in shingle_sets(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(least, pa.int64())], ["doc_id", "sketch"])
 
 
 def _frequencies(batches):
@@ -36,7 +59,7 @@ def _frequencies(batches):
 
     for batch in batches:
         for label, text in zip(batch.column("label").to_pylist(), batch.column("text"), strict=True):
-            (toxic if label > 0 else clean).update(set(terms_of(text.as_py())))
+            (toxic if label > 0 else clean).update(terms_of(text.as_py()).keys())
             if len(toxic) + len(clean) >= _FLUSH:
                 yield rows()
     yield rows()
@@ -80,10 +103,9 @@ class BlockMaxIndex:
         return best
 
 
-def vector(terms: list[str], idf: dict[str, tuple[int, float]]) -> dict[int, float]:
+def vector(terms: dict[str, int], idf: dict[str, tuple[int, float]]) -> dict[int, float]:
     """Unit TF-IDF vector over the known terms; empty if it has none."""
-    counts = Counter(t for t in terms if t in idf)
-    raw = {idf[t][0]: (1 + np.log(c)) * idf[t][1] for t, c in counts.items()}
+    raw = {idf[t][0]: (1 + np.log(terms[t])) * idf[t][1] for t in terms if t in idf}
     norm = np.sqrt(sum(x * x for x in raw.values()))
     return {t: float(x / norm) for t, x in sorted(raw.items())} if norm else {}
 
@@ -98,7 +120,7 @@ class Model:
         self.seen: dict[tuple, tuple[float, list[int]]] = {}
 
     def score(self, text: str | None) -> tuple[float, list[int]]:
-        v = vector(terms_of(text), self.idf)
+        v = vector(terms_of(text, self.idf), self.idf)
         if not v:
             return self.without, []
         key = tuple((t, round(x, 12)) for t, x in v.items())
@@ -111,26 +133,30 @@ class Model:
         return self.seen[key]
 
 
-def fit(train: DataFrame, examples: int = 20_000, terms: int = 4096, least: int = 5, chi2: float = 30.0, seed: int = 5) -> Model:
-    """Term counts come from all training rows. The vectors keep at most ``terms`` terms: those in at least ``least`` training texts, more frequent in toxic ones, with the largest chi-squared statistic, of ``chi2`` or more. At most ``examples`` training rows (a bounded part, by hash of the id) are indexed."""
+def fit(train: DataFrame, examples: int = 20_000, terms: int = 4096, least: int = 3, share: float = 0.01, chi2: float = 30.0, lift: float = 5.0, seed: int = 5) -> Model:
+    """Of training rows with the same least shingle hash the first counts, so that a group of copies weighs about as much as one text. Term counts come from all of these. The vectors keep at most ``terms`` terms: those in at least ``least`` toxic training texts and the given ``share`` of them, at least ``lift`` times as frequent in toxic ones as in clean ones, with the largest chi-squared statistic, of ``chi2`` or more. At most ``examples`` training rows (a bounded part, by hash of the id) are indexed."""
+    first = cut(train.mapInArrow(_sketches, "doc_id long, sketch long").groupBy("sketch").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
+    train = train.join(small_side(first), "doc_id", "left_semi")
     n = {bool(r["toxic"]): r["n"] for r in train.groupBy((F.col("label") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(True, 0), n.get(False, 0)
     total = toxic + clean
     if not toxic or not clean:
-        return Model({}, [], float(toxic > 0), 0.5)
+        return Model({None: set()}, [], float(toxic > 0), 0.5)
     counts = train.mapInArrow(_frequencies, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").cast("double").alias("a"), F.sum("clean").cast("double").alias("b"))
     excess = f"(abs(a * ({clean} - b) - b * ({toxic} - a)) - {total} / 2D)"
-    chosen = counts.where(f"a + b >= {least} and a * {clean} > b * {toxic}").withColumn("chi2", F.expr(f"{total}D * {excess} * {excess} / (({toxic}D * {clean}D) * (a + b) * ({total}D - a - b + 1))")).where(f"chi2 >= {chi2}").orderBy(F.desc("chi2"), "term").limit(terms).collect()
+    chosen = counts.where(f"a >= {max(least, share * toxic)} and a * {clean} >= b * {lift * toxic}D").withColumn("chi2", F.expr(f"{total}D * {excess} * {excess} / (({toxic}D * {clean}D) * (a + b) * ({total}D - a - b + 1))")).where(f"chi2 >= {chi2}").orderBy(F.desc("chi2"), "term").limit(terms).collect()
     idf = {r["term"]: (i, float(np.log((1 + total) / (1 + r["a"] + r["b"])) + 1)) for i, r in enumerate(chosen)}
 
+    idf[None] = {t[: _STEMS[0]] for t in idf if t.endswith("*")}
+
     def near_terms(batches):
         import pyarrow as pa
 
         for batch in batches:
-            kept = [[t for t in terms_of(x.as_py()) if t in idf] for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(kept, pa.list_(pa.string()))], ["doc_id", "label", "terms"])
+            kept = [list(terms_of(x.as_py(), idf).items()) for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(kept, pa.map_(pa.string(), pa.int64()))], ["doc_id", "label", "terms"])
 
-    rows = cut(train.mapInArrow(near_terms, "doc_id long, label int, terms array<string>"))
+    rows = cut(train.mapInArrow(near_terms, "doc_id long, label int, terms map<string, long>"))
     empty = rows.where("size(terms) = 0").agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("label") > 0).cast("int")), F.lit(0)).alias("t")).first()
     some = bounded(rows.where("size(terms) > 0"), examples, seed).orderBy("doc_id").collect()
     prior = toxic / total
