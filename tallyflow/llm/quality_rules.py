@@ -1,4 +1,4 @@
-"""Quality rules as weak supervision: rules vote or abstain, expectation-maximisation estimates how they vote on good and bad texts. Native expressions only."""
+"""Quality rules as weak supervision: rules vote or abstain, expectation-maximisation estimates how accurate they are on good texts and on each kind of bad ones. Native expressions only."""
 
 from __future__ import annotations
 
@@ -63,39 +63,44 @@ RULES = {
 }
 
 
-def estimate(patterns: list[tuple[tuple[int | None, ...], int]], rounds: int = 50, smooth: float = 0.5, slips: float = 0.002) -> tuple[float, list[tuple[float, float]]]:
-    """(prior of good, for each rule the probabilities of a good vote on good and on bad texts), from counts of vote patterns.
+#: Kinds of badness, with the rules that speak of them; each kind is a class of its own beside the good texts.
+FAMILIES = (("symbols",), ("repeated_windows", "repeated_lines", "same_word"), ("capitals", "marks"), ("word_length",))
 
-    Expectation-maximisation over two classes; abstentions say nothing. It starts from the verdict of all rules together
-    (good: no bad vote). Badness has several unlike causes, which two classes alone would sort among themselves; so the rates
-    on good texts have a prior as strong as the data, that a rule votes bad on a share ``slips`` of them. A rule never speaks
-    against its own direction.
+
+def estimate(patterns: list[tuple[tuple[int | None, ...], int]], rounds: int = 50, smooth: float = 0.5) -> tuple[list[float], list[list[float]]]:
+    """(prior of each class, for each class and rule the probability of a good vote), from counts of vote patterns.
+
+    Expectation-maximisation over the good texts, class 0, and the kinds of badness: bad texts have unlike causes, which a
+    single bad class would not describe. Given its class, a text's votes are independent; abstentions say nothing. It starts
+    from the verdict of each family of rules.
     """
-    width = len(patterns[0][0]) if patterns else 0
-    good = [0.1 if 0 in votes else 0.9 for votes, _ in patterns]
-    total = sum(n for _, n in patterns)
-    prior, rates = 0.5, [(0.9, 0.5)] * width
+    names, total = list(RULES), sum(n for _, n in patterns)
+    members = [[names.index(r) for r in family] for family in FAMILIES]
+    classes = range(len(FAMILIES) + 1)
+    belongs = []
+    for votes, _ in patterns:
+        bad = [float(any(votes[r] == 0 for r in m)) for m in members]
+        start = [0.1 if any(bad) else 0.9, *[0.05 + x for x in bad]]
+        belongs.append([x / sum(start) for x in start])
+    priors, rates = [1 / len(classes)] * len(classes), [[0.5] * len(names) for _ in classes]
     for _ in range(rounds):
-        prior = (sum(g * n for g, (_, n) in zip(good, patterns, strict=True)) + smooth) / (total + 2 * smooth)
-        rates = []
-        for r in range(width):
-            a = b = x = y = 0.0
-            for g, (votes, n) in zip(good, patterns, strict=True):
-                if votes[r] is not None:
-                    a, x = a + g * n * votes[r], x + g * n
-                    b, y = b + (1 - g) * n * votes[r], y + (1 - g) * n
-            p, q = (a + (1 - slips) * total) / (x + total), (b + smooth) / (y + 2 * smooth)
-            rates.append((p, min(p, q)))
-        good = [1 / (1 + math.exp(-max(-500.0, min(500.0, log_odds(prior, rates, votes))))) for votes, _ in patterns]
-    return prior, rates
-
-
-def log_odds(prior: float, rates: list[tuple[float, float]], votes) -> float:
-    out = math.log(prior / (1 - prior))
-    for (p, q), v in zip(rates, votes, strict=True):
-        if v is not None:
-            out += math.log(p / q) if v else math.log(max(1 - p, 1e-9) / max(1 - q, 1e-9))
-    return out
+        for c in classes:
+            weights = [b[c] * n for b, (_, n) in zip(belongs, patterns, strict=True)]
+            priors[c] = (sum(weights) + smooth) / (total + smooth * len(classes))
+            for r in range(len(names)):
+                voted = [(w, votes[r]) for w, (votes, _) in zip(weights, patterns, strict=True) if votes[r] is not None]
+                lean = 0.1 if c and r in members[c - 1] else 0.9
+                rates[c][r] = (sum(w * v for w, v in voted) + 2 * smooth * lean) / (sum(w for w, _ in voted) + 2 * smooth)
+        belongs = [posteriors(priors, rates, votes) for votes, _ in patterns]
+    return priors, rates
+
+
+def posteriors(priors, rates, votes) -> list[float]:
+    """Probability of each class given the votes."""
+    logs = [math.log(p) + sum(math.log(x if v else 1 - x) for x, v in zip(rs, votes, strict=True) if v is not None) for p, rs in zip(priors, rates, strict=True)]
+    top = max(logs)
+    parts = [math.exp(x - top) for x in logs]
+    return [x / sum(parts) for x in parts]
 
 
 def quality_rules(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -109,10 +114,11 @@ def quality_rules(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     figures = cut(text_figures(docs).select("*", *[rule().cast("int").alias(f"vote_{name}") for name, rule in RULES.items()]))
     votes = [f"vote_{name}" for name in RULES]
     counted = [(tuple(r[:-1]), r[-1]) for r in figures.groupBy(*votes).agg(F.count("*").alias("n")).collect()]
-    prior, rates = estimate(counted) if counted else (0.5, [(0.5, 0.5)] * len(votes))
-    odds = F.lit(math.log(prior / (1 - prior)))
-    for name, (p, q) in zip(votes, rates, strict=True):
-        odds = odds + F.when(F.col(name) == 1, math.log(p / q)).when(F.col(name) == 0, math.log(max(1 - p, 1e-9) / max(1 - q, 1e-9))).otherwise(0.0)
+    priors, rates = estimate(counted)
+    logs = []
+    for prior, rs in zip(priors, rates, strict=True):
+        each = [F.when(F.col(name) == 1, math.log(x)).when(F.col(name) == 0, math.log(1 - x)).otherwise(0.0) for name, x in zip(votes, rs, strict=True)]
+        logs.append(sum(each, F.lit(math.log(prior))))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    posterior = 1 / (1 + F.exp(-odds))
+    posterior = 1 / sum((F.exp(F.least(x - logs[0], F.lit(700.0))) for x in logs[1:]), F.lit(1.0))
     return figures.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & (posterior >= threshold)).alias("kept"), posterior.alias("posterior"))
