@@ -152,6 +152,13 @@ def shingles(line: bytes) -> np.ndarray:
     return np.unique(np.lib.stride_tricks.sliding_window_view(np.frombuffer(line, np.uint8), WIDTH).copy().view("<u8").ravel()) if len(line) >= WIDTH else np.zeros(0, np.uint64)
 
 
+def _items(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([shingles(x.as_py()).tobytes() for x in batch.column("line")], pa.binary())], ["id", "items"])
+
+
 def _similar(percent: int):
     def run(batches):
         import pyarrow as pa
@@ -191,7 +198,7 @@ def line_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
         both = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b").join(texts.select(F.col("id").alias("a"), F.col("line").alias("la")), "a")
         return both.select("a", "b", "la", "lb").mapInArrow(_similar(percent), "a long, b long")
 
-    components = connect_buckets(members, verify).withColumnRenamed("id", "h")
+    components = connect_buckets(members, verify, texts.mapInArrow(_items, "id long, items binary"), percent).withColumnRenamed("id", "h")
     labelled = classes.join(components, "h", "left").withColumn("component", F.coalesce("component", "h"))
     keepers = labelled.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("all")).where(F.col("all") > 1)
     several = labelled.select("h", "component").join(keepers, "component").select("h", "keep")

@@ -81,7 +81,7 @@ def taken_parts(rows: DataFrame, sources: DataFrame, block: int, shard_slots: in
     parts = rows.where("size > 0").select("*", F.explode(F.sequence(first, last)).alias("block"))
     low, high = F.greatest("start", F.col("block") * block), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
     parts = parts.withColumn("from", low - F.col("start")).withColumn("words", high - low)
-    return parts.join(slots(sources, shard_slots, seed), ["source_no", "block"])
+    return parts.join(slots(sources, shard_slots, seed).hint("merge"), ["source_no", "block"])  # both sides grow with the input
 
 
 def mix_shares(docs: DataFrame, block: int = 256, shard_slots: int = 1024, seed: int = 17, **how) -> DataFrame:

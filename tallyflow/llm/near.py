@@ -1,53 +1,129 @@
-"""Links between the members of hash buckets, with no pair emitted twice and no quadratic group."""
+"""Links between the members of hash buckets, without writing out the pairs of a large bucket."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import cut
+from tallyflow.llm.common import cut, jaccard_at_least, minima, universal
 from tallyflow.llm.components import connected_components
 
+#: Members that one side of a comparison within a large bucket holds at most.
+BLOCK = 512
 
-def connect_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], small: int = 6, pivots: int = 16) -> DataFrame:
-    """Components (id, component) of the graph of verified pairs that share a bucket.
 
-    members: distinct (bucket, id). verify: takes distinct pairs (a, b), a < b, and returns those that hold.
+def connect_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], items: DataFrame, percent: int, small: int = 6) -> DataFrame:
+    """Components (id, component) of the graph of pairs that share a bucket and hold 100 * intersection >= percent * union.
 
-    Buckets of up to ``small`` ids are compared in full. In larger ones a pivot is compared with all others; then only ids of
-    different components are left to compare: in each round up to ``pivots`` ids outside the bucket's largest component meet
-    all ids of other components and leave, until every bucket has a single component. So each pair of a bucket has been
-    verified or already lies in one component, while no round makes more than ``pivots`` rows for an id in a bucket.
+    members: distinct (bucket, id). items: (id, items), the sorted distinct 64-bit items of an id's set, packed. verify: takes
+    distinct pairs (a, b), a < b, and returns those that hold.
+
+    Buckets of up to ``small`` ids are compared in full, larger ones with a pivot at first. What a large bucket holds of
+    different components after that is compared exactly, in two steps. An id of which more than 100 - percent of the items are
+    in no other such id can have no link and goes, at a cost linear in the items. The others are compared block by block inside
+    tasks, only across components and only in the first bucket that a pair shares; edges alone leave the task.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("p")).where("n > 1")
     members = cut(members.join(sizes, "bucket").select("bucket", "id", "n", F.col("p.id").alias("pivot")))
     few = members.where(F.col("n") <= small).select("bucket", "id")
     pairs = few.select("bucket", F.col("id").alias("a")).join(few.select("bucket", F.col("id").alias("b")), "bucket").where("a < b").select("a", "b")
     star = members.where(f"n > {small} and id != pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-    links = verify(pairs.union(star).distinct())
-    components = cut(connected_components(links))
-    rest = members.where(f"n > {small} and id != pivot").select("bucket", "id")
-    while True:
-        labelled = rest.join(components, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-        parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        mixed = parts.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("k")).where("k > 1")
-        rest = cut(labelled.join(mixed, "bucket").select("bucket", "id", "component", "largest"))
-        if rest.isEmpty():
-            return components
-        outside = rest.where("component != largest").select("bucket", "id", "component", F.xxhash64("id").alias("h"))
-        chosen = cut(_first(outside, pivots))
-        chosen_labelled = chosen.join(rest.select("bucket", "id", "component"), ["bucket", "id"]).select("bucket", F.col("id").alias("p"), F.col("component").alias("pc"))
-        pairs = rest.join(chosen_labelled, "bucket").where("component != pc").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
-        links = verify(pairs)
-        forest = components.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-        components = cut(connected_components(forest.union(links.select("a", "b"))))
-        rest = rest.select("bucket", "id").join(chosen, ["bucket", "id"], "left_anti")
-
-
-
-def _first(outside: DataFrame, n: int) -> DataFrame:
-    """Up to n ids of each bucket: the least by hash in each of n shares. A group is never sorted or held whole."""
-    share = F.pmod("h", F.lit(n))
-    return outside.groupBy("bucket", share.alias("share")).agg(F.min_by("id", "h").alias("id")).select("bucket", "id")
+    components = cut(connected_components(verify(pairs.union(star).distinct())))
+    rest = cut(_mixed(members.where(f"n > {small} and id != pivot").select("bucket", "id").join(components, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))))
+    if rest.isEmpty():
+        return components
+    for _ in range(2):
+        rest = cut(_mixed(rest.join(_linkable(rest, items, percent), "id", "left_semi")))
+    edges = _compared(rest, items, percent)
+    forest = components.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return cut(connected_components(forest.union(edges)))
+
+
+def _mixed(rest: DataFrame) -> DataFrame:
+    """The rows (bucket, id, component) of buckets with several components."""
+    several = rest.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket")
+    return rest.join(several, "bucket").select("bucket", "id", "component")
+
+
+def _unpacked(batches):
+    import pyarrow as pa
+
+    for batch in batches:
+        arrays = [np.frombuffer(x.as_py(), np.int64) for x in batch.column("items")]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(arrays, pa.list_(pa.int64()))], ["id", "items"])
+
+
+def _linkable(rest: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """The ids of which at least ``percent`` of the items are in another id's set too."""
+    each = items.join(rest.select("id").distinct(), "id", "left_semi").mapInArrow(_unpacked, "id long, items array<long>").select("id", F.explode("items").alias("item"))
+    own = each.groupBy("item").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    shared = own.where("n = 1").groupBy("id").agg(F.count("*").alias("alone"))
+    sizes = items.select("id", (F.octet_length("items") / 8).alias("size"))
+    return rest.select("id").distinct().join(sizes, "id").join(shared, "id", "left").where(100 * F.coalesce("alone", F.lit(0)) <= (100 - percent) * F.col("size")).select("id")
+
+
+def _compared(rest: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    sizes = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    parted = rest.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    met = parted.select("bucket", "id", "component", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("bucket", "id", "component", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+    buckets = rest.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))  # a bucket for each band at most
+    met = met.join(items.join(buckets, "id"), "id").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    return met.mapInArrow(_blocks(percent), "a long, b long")
+
+
+def _blocks(percent: int):
+    a, b = universal(128, 23)
+    likely = round(128 * (percent / 100 - 0.2))
+
+    def edges(bucket, lo, hi, held):
+        parts = np.array([h[2] for h in held])
+        left, right = np.flatnonzero(parts == lo), np.flatnonzero(parts == hi)
+        sets = [np.frombuffer(h[3], np.uint64) for h in held]
+        signed = np.array([minima(s, a, b) for s in sets])
+        agree = np.zeros((len(left), len(right)), np.uint8)
+        for k in range(128):
+            agree += signed[left, k][:, None] == signed[right, k][None, :]
+        root = list({h[1]: None for h in held})
+        parent = {c: c for c in root}
+
+        def find(c):
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        for i, j in zip(*np.nonzero(agree >= likely), strict=True):
+            x, y = left[i], right[j]
+            if lo == hi and x >= y:
+                continue
+            p, q = find(held[x][1]), find(held[y][1])
+            if p != q and next(z for z in held[x][4] if z in held[y][5]) == bucket and jaccard_at_least(sets[x], sets[y], percent):
+                parent[p] = q
+                yield held[x][0], held[y][0]
+
+    def run(batches):
+        import pyarrow as pa
+
+        held: list = []
+        group = None
+
+        def table(found):
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            found: list = []
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "lo", "hi", "id", "component", "part", "items", "buckets")]
+            for bucket, lo, hi, id_, component, part, packed, buckets in zip(*columns, strict=True):
+                if group != (bucket, lo, hi):
+                    if len(held) > 1:
+                        found += edges(*group, held)
+                    held, group = [], (bucket, lo, hi)
+                held.append((id_, component, part, packed, buckets, set(buckets)))
+            yield table(found)
+        if len(held) > 1:
+            yield table(list(edges(*group, held)))
+
+    return run
