@@ -66,6 +66,10 @@ def _similar_sets(percent: int):
     return run
 
 
+def _unpack(value: bytes) -> np.ndarray:
+    return np.frombuffer(value, np.uint64)
+
+
 def _with_both(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
     left = values.select(F.col("id").alias("b"), F.col(value).alias("sb"))
     right = values.select(F.col("id").alias("a"), F.col(value).alias("sa"))
@@ -105,7 +109,7 @@ def minhash_dedup(docs: DataFrame, percent: int = 75, seed: int = 1) -> DataFram
         likely = _with_both(pairs, signatures, "signature").mapInArrow(_similar_signatures(0.5), "a long, b long")
         return _with_both(cut(likely), sets, "shingles").mapInArrow(_similar_sets(percent), "a long, b long")
 
-    components = connect_buckets(members, verify, sets.withColumnRenamed("shingles", "items"), percent)
+    components = connect_buckets(members, verify, sets.withColumnRenamed("shingles", "value"), _unpack, percent)
     labels = classes.join(components, "id", "left").select("n", "f1", "f2", F.coalesce("component", "id").alias("component_id"))
     out = full.select("doc_id", "n", "f1", "f2").join(labels, ["n", "f1", "f2"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     rest = signed.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))

@@ -8,23 +8,23 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import cut, jaccard_at_least, minima, universal
+from tallyflow.llm.common import cut, jaccard_at_least, minima, small_side, universal
 from tallyflow.llm.components import connected_components
 
 #: Members that one side of a comparison within a large bucket holds at most.
 BLOCK = 512
 
 
-def connect_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], items: DataFrame, percent: int, small: int = 6) -> DataFrame:
+def connect_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], values: DataFrame, unpack: Callable[[bytes], np.ndarray], percent: int, small: int = 6) -> DataFrame:
     """Components (id, component) of the graph of pairs that share a bucket and hold 100 * intersection >= percent * union.
 
-    members: distinct (bucket, id). items: (id, items), the sorted distinct 64-bit items of an id's set, packed. verify: takes
-    distinct pairs (a, b), a < b, and returns those that hold.
+    members: distinct (bucket, id). values: (id, value), from which ``unpack`` makes the sorted distinct 64-bit items of an id.
+    verify: takes distinct pairs (a, b), a < b, and returns those that hold.
 
     Buckets of up to ``small`` ids are compared in full, larger ones with a pivot at first. What a large bucket holds of
-    different components after that is compared exactly, in two steps. An id of which more than 100 - percent of the items are
-    in no other such id can have no link and goes, at a cost linear in the items. The others are compared block by block inside
-    tasks, only across components and only in the first bucket that a pair shares; edges alone leave the task.
+    different components after that is compared exactly, block by block inside tasks, only across components and only in the
+    first bucket that a pair shares; edges alone leave the task. Copies thus cost as many rows as there are of them; block
+    comparisons are quadratic in the ids of a bucket that are alike but not linked.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("p")).where("n > 1")
     members = cut(members.join(sizes, "bucket").select("bucket", "id", "n", F.col("p.id").alias("pivot")))
@@ -35,9 +35,7 @@ def connect_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]
     rest = cut(_mixed(members.where(f"n > {small} and id != pivot").select("bucket", "id").join(components, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))))
     if rest.isEmpty():
         return components
-    for _ in range(2):
-        rest = cut(_mixed(rest.join(_linkable(rest, items, percent), "id", "left_semi")))
-    edges = _compared(rest, items, percent)
+    edges = _compared(rest, values, unpack, percent)
     forest = components.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
     return cut(connected_components(forest.union(edges)))
 
@@ -48,41 +46,31 @@ def _mixed(rest: DataFrame) -> DataFrame:
     return rest.join(several, "bucket").select("bucket", "id", "component")
 
 
-def _unpacked(batches):
-    import pyarrow as pa
-
-    for batch in batches:
-        arrays = [np.frombuffer(x.as_py(), np.int64) for x in batch.column("items")]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(arrays, pa.list_(pa.int64()))], ["id", "items"])
-
-
-def _linkable(rest: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """The ids of which at least ``percent`` of the items are in another id's set too."""
-    each = items.join(rest.select("id").distinct(), "id", "left_semi").mapInArrow(_unpacked, "id long, items array<long>").select("id", F.explode("items").alias("item"))
-    own = each.groupBy("item").agg(F.count("*").alias("n"), F.min("id").alias("id"))
-    shared = own.where("n = 1").groupBy("id").agg(F.count("*").alias("alone"))
-    sizes = items.select("id", (F.octet_length("items") / 8).alias("size"))
-    return rest.select("id").distinct().join(sizes, "id").join(shared, "id", "left").where(100 * F.coalesce("alone", F.lit(0)) <= (100 - percent) * F.col("size")).select("id")
-
-
-def _compared(rest: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+def _compared(rest: DataFrame, values: DataFrame, unpack: Callable[[bytes], np.ndarray], percent: int) -> DataFrame:
     sizes = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     parted = rest.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     met = parted.select("bucket", "id", "component", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("bucket", "id", "component", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
     buckets = rest.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))  # a bucket for each band at most
-    met = met.join(items.join(buckets, "id"), "id").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
-    return met.mapInArrow(_blocks(percent), "a long, b long")
+    met = met.join(values.join(small_side(cut(buckets)), "id"), "id").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    return met.mapInArrow(_blocks(unpack, percent), "a long, b long")
 
 
-def _blocks(percent: int):
+def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
     a, b = universal(128, 23)
     likely = round(128 * (percent / 100 - 0.2))
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def edges(bucket, lo, hi, held):
         parts = np.array([h[2] for h in held])
         left, right = np.flatnonzero(parts == lo), np.flatnonzero(parts == hi)
-        sets = [np.frombuffer(h[3], np.uint64) for h in held]
-        signed = np.array([minima(s, a, b) for s in sets])
+        for h in held:  # the ids of a group meet again in other buckets
+            if h[0] not in known:
+                if len(known) > 4 * BLOCK:
+                    known.clear()
+                items = unpack(h[3])
+                known[h[0]] = items, minima(items, a, b)
+        sets = [known[h[0]][0] if h[0] in known else unpack(h[3]) for h in held]
+        signed = np.array([known[h[0]][1] if h[0] in known else minima(s, a, b) for h, s in zip(held, sets, strict=True)])
         agree = np.zeros((len(left), len(right)), np.uint8)
         for k in range(128):
             agree += signed[left, k][:, None] == signed[right, k][None, :]
@@ -115,7 +103,7 @@ def _blocks(percent: int):
 
         for batch in batches:
             found: list = []
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "lo", "hi", "id", "component", "part", "items", "buckets")]
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "lo", "hi", "id", "component", "part", "value", "buckets")]
             for bucket, lo, hi, id_, component, part, packed, buckets in zip(*columns, strict=True):
                 if group != (bucket, lo, hi):
                     if len(held) > 1:
