@@ -153,5 +153,24 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether 100 * intersection >= percent * union, for sorted distinct arrays."""
     if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)) or not len(a):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    merged = np.concatenate([a, b])
+    merged.sort()
+    both = int(np.count_nonzero(merged[1:] == merged[:-1]))
     return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+class Recent:
+    """What a function made of the ids met lately, within a bound on the sizes of its results."""
+
+    def __init__(self, make, most: int = 6_000_000):
+        self.make, self.most, self.size, self.held = make, most, 0, {}
+
+    def __call__(self, key: int, value: bytes):
+        if key not in self.held:
+            made = self.make(value)
+            self.size += len(value)
+            if self.size > self.most:
+                self.held.clear()
+                self.size = len(value)
+            self.held[key] = made
+        return self.held[key]

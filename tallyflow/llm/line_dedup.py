@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import _LOWER, cut, jaccard_at_least, mix, small_side, span_hashes, text_blocks
+from tallyflow.llm.common import _LOWER, Recent, cut, jaccard_at_least, mix, small_side, span_hashes, text_blocks
 from tallyflow.llm.near import connect_buckets
 
 BANDS, ROWS = 12, 5
@@ -146,20 +146,26 @@ def _texts(batches):
 
 def shingles(line: bytes) -> np.ndarray:
     """Sorted distinct shingles of a line, exactly: eight bytes are the integer itself."""
-    return np.unique(np.lib.stride_tricks.sliding_window_view(np.frombuffer(line, np.uint8), WIDTH).copy().view("<u8").ravel()) if len(line) >= WIDTH else np.zeros(0, np.uint64)
+    if len(line) < WIDTH:
+        return np.zeros(0, np.uint64)
+    out = np.lib.stride_tricks.sliding_window_view(np.frombuffer(line, np.uint8), WIDTH).copy().view("<u8").ravel()
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def _similar(percent: int):
     def run(batches):
         import pyarrow as pa
 
-        last, one = None, np.zeros(0, np.uint64)
+        known = Recent(shingles, 8_000_000)
         for batch in batches:
             keep = []
-            for a, x, y in zip(batch.column("a").to_pylist(), batch.column("la"), batch.column("lb"), strict=True):
-                if a != last:  # the join leaves the pairs of an id together
-                    last, one = a, shingles(x.as_py())
-                keep.append(jaccard_at_least(one, shingles(y.as_py()), percent))
+            for a, b, x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("la").to_pylist(), batch.column("lb").to_pylist(), strict=True):
+                x, y = (a, x), (b, y)
+                if len(x[1]) > len(y[1]):
+                    x, y = y, x
+                larger = known(*y)  # the other line has at most as many shingles as places for them
+                keep.append(100 * (len(x[1]) - WIDTH + 1) >= percent * len(larger) and jaccard_at_least(known(*x), larger, percent))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run

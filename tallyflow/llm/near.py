@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import cut, jaccard_at_least, minima, small_side, universal
+from tallyflow.llm.common import Recent, cut, jaccard_at_least, minima, small_side, universal
 from tallyflow.llm.components import connected_components
 
 #: Members that one side of a comparison within a large bucket holds at most.
@@ -58,19 +58,18 @@ def _compared(rest: DataFrame, values: DataFrame, unpack: Callable[[bytes], np.n
 def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
     a, b = universal(128, 23)
     likely = round(128 * (percent / 100 - 0.2))
-    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def described(value: bytes) -> tuple[np.ndarray, np.ndarray]:
+        items = unpack(value)
+        return items, minima(items, a, b)
+
+    known = Recent(described, 12_000_000)
 
     def edges(bucket, lo, hi, held):
         parts = np.array([h[2] for h in held])
         left, right = np.flatnonzero(parts == lo), np.flatnonzero(parts == hi)
-        for h in held:  # the ids of a group meet again in other buckets
-            if h[0] not in known:
-                if len(known) > 4 * BLOCK:
-                    known.clear()
-                items = unpack(h[3])
-                known[h[0]] = items, minima(items, a, b)
-        sets = [known[h[0]][0] if h[0] in known else unpack(h[3]) for h in held]
-        signed = np.array([known[h[0]][1] if h[0] in known else minima(s, a, b) for h, s in zip(held, sets, strict=True)])
+        sets, signed = zip(*[known(h[0], h[3]) for h in held], strict=True)  # ids meet again in other buckets
+        signed = np.array(signed)
         agree = np.zeros((len(left), len(right)), np.uint8)
         for k in range(128):
             agree += signed[left, k][:, None] == signed[right, k][None, :]

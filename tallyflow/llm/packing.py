@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 
 import numpy as np
@@ -12,7 +13,19 @@ from pyspark.sql import functions as F
 from tallyflow.llm.common import cut
 
 #: Words kept with their ids in a worker; beyond that the table starts anew.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 900_000
+#: By tokenizer file, the ids of words that this worker has met; a worker keeps it over its tasks.
+_known: dict[str, dict[bytes, bytes]] = {}
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _bare(word: bytes) -> bytes:
+    """The word in lower case, without a comma or full stop after a letter or digit: the tokenizer lowers case and cuts there anyway, so the ids are those of this and then of the mark."""
+    word = word.lower()
+    return word[:-1] if word[-1:] in (b".", b",") and word[-2:-1].isalnum() else word
 
 
 def _pieces(tokenizer: str, size: int, end_id: int):
@@ -23,7 +36,7 @@ def _pieces(tokenizer: str, size: int, end_id: int):
         from tokenizers import Tokenizer
 
         encoder = Tokenizer.from_file(tokenizer)
-        known: dict[bytes, bytes] = {}
+        known = _known.setdefault(tokenizer, {})
         end = np.array([end_id], "<u4").tobytes()
 
         def ids_of(text: bytes) -> bytes:
@@ -32,8 +45,12 @@ def _pieces(tokenizer: str, size: int, end_id: int):
                 if len(known) + len(missing) > CACHED_WORDS:
                     known.clear()
                     missing = list(set(words))
-                for w, e in zip(missing, encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in missing], add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
+                bare = {w: _bare(w) for w in missing}
+                new = [x for x in set(bare.values()) | {w[-1:] for w, x in bare.items() if len(x) < len(w)} if x not in known]
+                for w, e in zip(new, encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
+                    known[w] = _packed(e.ids)
+                for w, x in bare.items():
+                    known[w] = known[x] if len(x) == len(w) else known[x] + known[w[-1:]]
             return b"".join([known[w] for w in words]) + end
 
         for batch in batches:
@@ -66,7 +83,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int
     """Per piece of at most ``size`` tokens: doc_id, piece, start, length, ids_crc32 (of the little-endian 32-bit ids).
 
     The ids of a text are those of ``tokenizer`` without special tokens, then ``end_id``; null texts are empty. The tokenizer
-    must drop white space before it merges, so that words at ASCII white space can be encoded once per worker.
+    must lower case and cut at white space and marks before it merges, so that words can be encoded once per worker.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_pieces(tokenizer, size, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
