@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyflow.llm.common import cut
 
 #: Words kept with their ids in a worker; beyond that the table starts anew.
-CACHED_WORDS = 900_000
+CACHED_WORDS = 1_500_000
 #: By tokenizer file, the ids of words that this worker has met; a worker keeps it over its tasks.
 _known: dict[str, dict[bytes, bytes]] = {}
 
@@ -39,32 +39,34 @@ def _pieces(tokenizer: str, size: int, end_id: int):
         known = _known.setdefault(tokenizer, {})
         end = np.array([end_id], "<u4").tobytes()
 
-        def ids_of(text: bytes) -> bytes:
-            words = text.split()
-            if missing := [w for w in set(words) if w not in known]:
-                if len(known) + len(missing) > CACHED_WORDS:
-                    known.clear()
-                    missing = list(set(words))
-                bare = {w: _bare(w) for w in missing}
-                new = [x for x in set(bare.values()) | {w[-1:] for w, x in bare.items() if len(x) < len(w)} if x not in known]
-                for w, e in zip(new, encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
-                    known[w] = _packed(e.ids)
-                for w, x in bare.items():
-                    known[w] = known[x] if len(x) == len(w) else known[x] + known[w[-1:]]
-            return b"".join([known[w] for w in words]) + end
+        def learn(words: set[bytes]) -> None:
+            if len(known) + len(words) > CACHED_WORDS:
+                known.clear()
+            bare = {w: _bare(w) for w in words}
+            new = [x for x in set(bare.values()) | {w[-1:] for w, x in bare.items() if len(x) < len(w)} if x not in known]
+            for w, e in zip(new, encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
+                known[w] = _packed(e.ids)
+            for w, x in bare.items():
+                known[w] = known[x] if len(x) == len(w) else known[x] + known[w[-1:]]
+
+        def ids_of(texts: list[bytes]):
+            split = [t.split() for t in texts]
+            found = [list(map(known.get, words)) for words in split]
+            if missing := {w for words, got in zip(split, found, strict=True) if None in got for w, x in zip(words, got, strict=True) if x is None}:
+                learn(missing)
+                found = [list(map(known.__getitem__, words)) if None in got else got for words, got in zip(split, found, strict=True)]
+            return [b"".join(got) + end for got in found]
 
         for batch in batches:
             docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             out: list[list] = [[], [], [], [], []]
-            for i, doc in enumerate(docs):
-                ids = ids_of((texts[i].as_py() or "").encode())
-                for k, at in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[at : at + 4 * size]
-                    for column, value in zip(out, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                        column.append(value)
-                if len(out[0]) >= 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _TYPES(), strict=True)], _NAMES)
-                    out = [[], [], [], [], []]
+            for at in range(0, len(docs), 64):
+                part = [(x.as_py() or "").encode() for x in texts[at : at + 64]]
+                for doc, ids in zip(docs[at : at + 64], ids_of(part), strict=True):
+                    for k, start in enumerate(range(0, len(ids), 4 * size)):
+                        piece = ids[start : start + 4 * size]
+                        for column, value in zip(out, (doc, k, start // 4, len(piece) // 4, zlib.crc32(piece)), strict=True):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _TYPES(), strict=True)], _NAMES)
 
     return run

@@ -69,38 +69,37 @@ class BlockMaxIndex:
     """Inverted lists of unit vectors, in blocks of ids, with each list's largest weight in each block."""
 
     def __init__(self, vectors: list[dict[int, float]], block: int = 64):
-        self.n, self.block = len(vectors), block
+        self.block, blocks = block, -(-len(vectors) // block)
         lists: dict[int, list[tuple[int, float]]] = {}
         for i, v in enumerate(vectors):
             for t, x in v.items():
                 lists.setdefault(t, []).append((i, x))
-        self.lists = {t: (np.array([i for i, _ in p]), np.array([x for _, x in p])) for t, p in lists.items()}
-        self.maxima = {}
-        for t, (ids, weights) in self.lists.items():
-            blocks, first = np.unique(ids // block, return_index=True)
-            self.maxima[t] = (blocks, np.maximum.reduceat(weights, first), np.append(first, len(ids)))
+        self.lists, self.maxima = {}, {}
+        for t, postings in lists.items():
+            ids, weights = np.array([i for i, _ in postings]), np.array([x for _, x in postings])
+            self.lists[t] = ids, weights, np.searchsorted(ids, np.arange(blocks + 1) * block)
+            self.maxima[t] = np.zeros(blocks)
+            np.maximum.at(self.maxima[t], ids // block, weights)
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """The k best (cosine, id), exactly; equal cosines by id. Blocks whose bound is below the k-th best are not opened."""
-        bound: dict[int, float] = {}
-        where: dict[int, list[tuple[int, int]]] = {}
-        for t, q in query.items():
-            if t in self.maxima:
-                for j, (b, m) in enumerate(zip(self.maxima[t][0].tolist(), self.maxima[t][1].tolist(), strict=True)):
-                    bound[b] = bound.get(b, 0.0) + q * m
-                    where.setdefault(b, []).append((t, j))
-        best: list[tuple[float, int]] = []
-        for b in sorted(bound, key=lambda b: (-bound[b], b)):
-            if len(best) >= k and bound[b] < best[-1][0] - 1e-12:
+        terms = [(self.lists[t], q) for t, q in query.items() if t in self.lists]
+        if not terms:
+            return []
+        bound = sum(q * self.maxima[t] for t, q in query.items() if t in self.lists)
+        cosines, found = np.zeros(0), np.zeros(0, int)
+        for b in np.argsort(-bound, kind="stable").tolist():
+            if bound[b] <= 0 or len(cosines) >= k and bound[b] < cosines[-1] - 1e-12:
                 break
             sums = np.zeros(self.block)
-            for t, j in where[b]:
-                ids, weights = self.lists[t]
-                first = self.maxima[t][2]
-                part = slice(first[j], first[j + 1])
-                sums[ids[part] - b * self.block] += query[t] * weights[part]
-            best = sorted(best + [(float(s), b * self.block + int(i)) for i in np.flatnonzero(sums) for s in [sums[i]]], key=lambda x: (-round(x[0], 12), x[1]))[:k]
-        return best
+            for (ids, weights, first), q in terms:
+                part = slice(first[b], first[b + 1])
+                sums[ids[part] - b * self.block] += q * weights[part]
+            hit = np.flatnonzero(sums)
+            cosines, found = np.concatenate([cosines, np.round(sums[hit], 12)]), np.concatenate([found, hit + b * self.block])
+            best = np.lexsort((found, -cosines))[:k]
+            cosines, found = cosines[best], found[best]
+        return list(zip(cosines.tolist(), found.tolist(), strict=True))
 
 
 def vector(terms: dict[str, int], idf: dict[str, tuple[int, float]]) -> dict[int, float]:
@@ -115,6 +114,8 @@ class Model:
 
     def __init__(self, idf, examples: list[tuple[int, int, dict[int, float]]], without: float, prior: float, k: int = 15, weight: float = 1.0):
         self.idf, self.without, self.prior, self.k, self.weight = idf, without, prior, k, weight
+        # neighbours in the order of their heaviest terms share blocks, which keeps the bounds tight
+        examples = sorted(examples, key=lambda e: (sorted(e[2], key=lambda t: (-e[2][t], t)), e[0]))
         self.ids, self.labels = [e[0] for e in examples], [e[1] for e in examples]
         self.index = BlockMaxIndex([e[2] for e in examples])
         self.seen: dict[tuple, tuple[float, list[int]]] = {}
