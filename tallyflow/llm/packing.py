@@ -10,62 +10,102 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import cut
+from tallyflow.llm.common import _LOWER, cut, text_blocks
 
-#: Words kept with their ids in a worker; beyond that the table starts anew.
+#: Words that a worker keeps with their ids, in two generations: when the younger is half of this, it becomes the older.
 CACHED_WORDS = 900_000
-#: By tokenizer file, the ids of words that this worker has met; a worker keeps it over its tasks.
-_known: dict[str, dict[bytes, bytes]] = {}
+#: Bytes of text that are split at once; a longer text is split by itself.
+_BLOCK = 4 << 20
 
 
-def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+class _Words:
+    """The ids of single words, each encoded once while it is kept."""
+
+    def __init__(self, tokenizer: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.encoder, self.merges = Tokenizer.from_file(tokenizer), Tokenizer.from_file(tokenizer)
+        # words of a-z pass the normaliser unchanged and uncut: for them the merges are all there is to do
+        self.merges.normalizer, self.merges.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Sequence([])
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """The little-endian ids of each of the distinct words."""
+        missing = [w for w in words if w not in self.young]
+        if len(self.young) + len(missing) > CACHED_WORDS // 2:
+            self.old, self.young, missing = self.young, {}, words
+        fresh = [w for w in missing if w not in self.old]
+        self.young.update((w, self.old[w]) for w in missing if w in self.old)
+        bare = {w: _bare(w) for w in fresh}
+        new = [x for x in set(bare.values()) | {w[-1:] for w, x in bare.items() if len(x) < len(w)} if x not in self.young]
+        plain = {w for w in new if w.isalpha() and w.islower()}
+        for encoder, part in ((self.merges, list(plain)), (self.encoder, [w for w in new if w not in plain])):
+            for w, e in zip(part, encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
+                ids = e.ids
+                self.young[w] = struct.pack(f"<{len(ids)}I", *ids)
+        for w, x in bare.items():
+            if len(x) < len(w):
+                self.young[w] = self.young[x] + self.young[w[-1:]]
+        return [self.young[w] for w in words]
+
+
+#: By tokenizer file; a worker keeps its words over its tasks.
+_known: dict[str, _Words] = {}
 
 
 def _bare(word: bytes) -> bytes:
-    """The word in lower case, without a comma or full stop after a letter or digit: the tokenizer lowers case and cuts there anyway, so the ids are those of this and then of the mark."""
-    word = word.lower()
+    """The word without a comma or full stop after a letter or digit: the tokenizer cuts there anyway, so the ids are those of this and then of the mark."""
     return word[:-1] if word[-1:] in (b".", b",") and word[-2:-1].isalnum() else word
 
 
+def _ids(texts, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts of an Arrow array, one after the other, and where each text's begin and end. Words are split, told apart and put together as whole columns; only distinct ones are looked up."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    split = pc.ascii_split_whitespace(texts)
+    coded = split.values.dictionary_encode()
+    found = words.ids(coded.dictionary.cast(pa.large_binary()).to_pylist())
+    flat = np.frombuffer(b"".join(found), "<u4")
+    length = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    begin = np.cumsum(length) - length
+    codes = coded.indices.to_numpy()
+    counts = length[codes]
+    ends = np.cumsum(counts)
+    places = np.repeat(begin[codes] - ends + counts, counts)
+    places += np.arange(len(places))
+    return flat[places], np.concatenate([[0], ends])[split.offsets.to_numpy()]
+
+
+def _texts(data: np.ndarray, offsets: np.ndarray):
+    """A block of texts as an Arrow array. A-Z are lower-cased, as the tokenizer does, unless the block could hold a special token, which is told by case."""
+    import pyarrow as pa
+
+    lowered = data if b"<|" in data.tobytes() else _LOWER[data]
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(np.ascontiguousarray(lowered)))
+
+
 def _pieces(tokenizer: str, size: int, end_id: int):
     def run(batches):
         import pyarrow as pa
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_file(tokenizer)
-        known = _known.setdefault(tokenizer, {})
+        if tokenizer not in _known:
+            _known[tokenizer] = _Words(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
-
-        def ids_of(text: bytes) -> bytes:
-            words = text.split()
-            if missing := [w for w in set(words) if w not in known]:
-                if len(known) + len(missing) > CACHED_WORDS:
-                    known.clear()
-                    missing = list(set(words))
-                bare = {w: _bare(w) for w in missing}
-                new = [x for x in set(bare.values()) | {w[-1:] for w, x in bare.items() if len(x) < len(w)} if x not in known]
-                for w, e in zip(new, encoder.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False), strict=True):
-                    known[w] = _packed(e.ids)
-                for w, x in bare.items():
-                    known[w] = known[x] if len(x) == len(w) else known[x] + known[w[-1:]]
-            return b"".join([known[w] for w in words]) + end
-
         for batch in batches:
-            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            out: list[list] = [[], [], [], [], []]
-            for i, doc in enumerate(docs):
-                ids = ids_of((texts[i].as_py() or "").encode())
-                for k, at in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[at : at + 4 * size]
-                    for column, value in zip(out, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                        column.append(value)
-                if len(out[0]) >= 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _TYPES(), strict=True)], _NAMES)
-                    out = [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _TYPES(), strict=True)], _NAMES)
+            docs = batch.column("doc_id").to_pylist()
+            for first, data, bounds in text_blocks(batch.column("text"), _BLOCK):
+                ids, offsets = _ids(_texts(data, bounds), _known[tokenizer])
+                out: list[list] = [[], [], [], [], []]
+                for doc, a, b in zip(docs[first : first + len(bounds) - 1], offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                    own = ids[a:b].tobytes() + end
+                    for k, at in enumerate(range(0, len(own), 4 * size)):
+                        part = own[at : at + 4 * size]
+                        for column, value in zip(out, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _TYPES(), strict=True)], _NAMES)
 
     return run
 
