@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.functions.headers import encode_headers, merge_headers, read_int_header, strip_headers
+from tallyflow.functions.headers import APP_VERSION, CORRELATION_ID, encode_headers, merge_headers, read_header, read_int_header, retry_metadata, strip_headers
 
 #: Headers that describe a failure and go on replay; the replay's own; the mark of a cut text.
 FAILURE_HEADERS = ("x-original-topic", "x-original-partition", "x-original-offset", "x-original-timestamp", "x-original-key", "x-error-type", "x-error-class", "x-error-message", "x-error-stack", "x-attempt-count", "x-first-failed-at", "x-last-failed-at", "x-consumer-group", "x-retry-not-before")
@@ -44,3 +44,32 @@ def replay_headers(headers: Column, offset: Column, at: Column) -> Column:
     """headers without those of the failure, with where and when the replay came from and its count."""
     count = F.coalesce(read_int_header(headers, REPLAY_COUNT), F.lit(0)) + 1
     return merge_headers(strip_headers(headers, FAILURE_HEADERS), encode_headers({REPLAY_OFFSET: offset, REPLAY_AT: at, REPLAY_COUNT: count}))
+
+
+def dead_letter_headers(headers: Column, source: dict[str, Column], error: dict[str, Column], attempt: Column, failed_at: Column, group: str, version: str) -> Column:
+    """The 15 headers of a dead letter, in place of the record's own.
+
+    ``source``: topic, partition, offset, timestamp, key; where the record's retry headers name its first place and failure,
+    these stand. ``error``: type, class, reason (null unless permanent), message, stack; message and stack are capped at 1024
+    and 2048 bytes. A missing key, correlation id or stack is empty text.
+    """
+    retry, empty = retry_metadata(headers), F.lit("")
+    text = F.coalesce(error["message"], empty)
+    message = F.when(error["reason"].isNotNull(), F.concat(error["reason"], F.lit(": "), text)).otherwise(text)
+    origin = {f"x-original-{c}": F.coalesce(retry[f"original_{c}"].cast("string"), source[c].cast("string")) for c in ("topic", "partition", "offset", "timestamp")}
+    return encode_headers(
+        origin
+        | {
+            "x-original-key": F.coalesce(source["key"].cast("string"), empty),
+            "x-error-type": error["type"],
+            "x-error-class": error["class"],
+            "x-error-message": truncate_utf8(message, 1024),
+            "x-error-stack": truncate_utf8(F.coalesce(error["stack"], empty), 2048),
+            "x-attempt-count": attempt,
+            "x-first-failed-at": F.coalesce(retry["first_failed_at"], failed_at),
+            "x-last-failed-at": failed_at,
+            "x-consumer-group": F.lit(group),
+            CORRELATION_ID: F.coalesce(read_header(headers, CORRELATION_ID), empty),
+            APP_VERSION: F.lit(version),
+        }
+    )

@@ -171,6 +171,19 @@ def replay_headers(spark, d):
     return _log(spark, d).select("event_id", new.alias("h")).select("event_id", F.array_join(headers.header_names(F.col("h")), ",").alias("names"), headers.read_int_header(F.col("h"), dlq.REPLAY_COUNT).alias("replays"), headers.read_header(F.col("h"), "x-correlation-id").alias("correlation_id"))
 
 
+def dead_letter_headers(spark, d):
+    rows, k = _letters(spark, d), F.col("k")
+    first = F.when(k % 2 == 0, "2024-01-01T00:00:00.000Z")
+    old = headers.encode_headers({headers.ORIGINAL_PARTITION: F.when(k % 2 == 0, 9), headers.FIRST_FAILED_AT: first, headers.CORRELATION_ID: F.when(k % 4 == 0, k)})
+    error = {"type": F.col("error_type"), "class": F.lit("Error"), "reason": F.when(F.col("error_type") == "permanent", "validation"), "message": F.lit("bad"), "stack": F.lit("    at déjà vu\n" * 400)}
+    source = {"topic": F.col("topic"), "partition": F.col("partition"), "offset": F.col("offset"), "timestamp": F.unix_millis(F.col("ts").cast("timestamp")), "key": F.col("event_type")}
+    h = dlq.dead_letter_headers(old, source, error, F.col("attempt"), F.lit("2025-01-01T00:00:00.000Z"), "group", "1.0")
+    read = lambda name: headers.read_header(F.col("h"), name)
+    texts = {"origin": "x-original-partition", "at": "x-original-offset", "key": "x-original-key", "error_type": "x-error-type", "message": "x-error-message", "attempt": "x-attempt-count", "first_failed_at": "x-first-failed-at", "last_failed_at": "x-last-failed-at", "correlation_id": "x-correlation-id"}
+    short = F.octet_length(read("x-error-stack")).between(2030, 2048).alias("stack_cut")
+    return rows.select("event_id", h.alias("h")).select("event_id", F.size("h").cast("long").alias("n"), short, *[read(name).alias(c) for c, name in texts.items()])
+
+
 def conform_schema(spark, d):
     return routing.conform(_t(spark, d, "customer"), {"c_custkey": "bigint", "c_name": "string", "region": "string"}, {"region": "none"})
 
@@ -180,6 +193,9 @@ _ROUTED = f"""(SELECT *, CASE WHEN k % 3 = 0 AND k % 5 < 3 THEN 'retried' WHEN k
 _BOUNDS = ", ".join(f"('{float(b)}', {float(b)}::DOUBLE)" for b in observe.END_TO_END)
 
 ORACLE = {
+    "dead_letter_headers": f"""SELECT event_id, CAST(15 AS BIGINT) AS n, true AS stack_cut, CASE WHEN k % 2 = 0 THEN '9' ELSE CAST(partition AS VARCHAR) END AS origin, CAST("offset" AS VARCHAR) AS at, event_type AS key, error_type,
+ CASE WHEN error_type = 'permanent' THEN 'validation: bad' ELSE 'bad' END AS message, CAST(k % 5 AS VARCHAR) AS attempt, CASE WHEN k % 2 = 0 THEN '2024-01-01T00:00:00.000Z' ELSE '2025-01-01T00:00:00.000Z' END AS first_failed_at,
+ '2025-01-01T00:00:00.000Z' AS last_failed_at, CASE WHEN k % 4 = 0 THEN CAST(k AS VARCHAR) ELSE '' END AS correlation_id FROM {_ROUTED} WHERE outcome = 'dead-lettered'""",
     "running_stats_by_key": f"SELECT l_partkey, {_sql('l_quantity', 'l_shipdate')} FROM lineitem GROUP BY l_partkey",
     "global_stats": f"SELECT {_sql('value', 'ts')} FROM events",
     "snapshot": f"SELECT event_type AS key, {_sql('value', 'ts')} FROM events GROUP BY GROUPING SETS ((event_type), ())",
@@ -208,5 +224,5 @@ ORACLE = {
 
 
 def queries() -> dict:
-    every = (running_stats_by_key, global_stats, snapshot, stats_merge_from_partials, running_state_history, latest_state_per_key, restore_partitions, validation_report, classify_errors, outcome_router, outcome_tally, due_records, dlq_list, dlq_select_range, dlq_newest, dlq_by_type, latency_histogram, throughput, throughput_10s, topic_depth, partition_lag, truncate_utf8, frame_decode, fault_mix, replay_headers, conform_schema)
+    every = (running_stats_by_key, global_stats, snapshot, stats_merge_from_partials, running_state_history, latest_state_per_key, restore_partitions, validation_report, classify_errors, outcome_router, outcome_tally, due_records, dlq_list, dlq_select_range, dlq_newest, dlq_by_type, latency_histogram, throughput, throughput_10s, topic_depth, partition_lag, truncate_utf8, frame_decode, fault_mix, replay_headers, dead_letter_headers, conform_schema)
     return {f.__name__: f for f in every}
