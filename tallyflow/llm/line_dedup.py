@@ -11,6 +11,8 @@ from tallyflow.llm.near import connect_buckets
 
 BANDS, ROWS = 12, 5
 BINS = BANDS * ROWS
+#: Bytes of text that a step of the arithmetic takes, so that its arrays stay in the processor's cache.
+STEP = 1 << 18
 #: Bytes of a shingle, and of the shortest line that is compared.
 WIDTH, SHORTEST = 8, 10
 _BLANK = np.zeros(256, bool)
@@ -39,7 +41,7 @@ def _hashed(batches):
 
     for batch in batches:
         ids, marks = batch.column("doc_id"), batch.column("mark")
-        for at, data, offsets in text_blocks(batch.column("text")):
+        for at, data, offsets in text_blocks(batch.column("text"), STEP):
             data = _LOWER[data]
             starts, ends, doc, number = _lines(data, offsets)
             long = ends - starts >= SHORTEST
@@ -48,29 +50,30 @@ def _hashed(batches):
             yield pa.RecordBatch.from_arrays([ids.take(take), marks.take(take), pa.array(number[long], pa.int32()), pa.array(h)], ["doc_id", "mark", "line", "h"])
 
 
+def packed_bytes(data: np.ndarray) -> np.ndarray:
+    """The WIDTH bytes from each place of a contiguous byte array on, as integers; a view of the bytes."""
+    if len(data) < WIDTH:
+        return np.zeros(0, np.uint64)
+    return np.ndarray(len(data) - WIDTH + 1, "<u8", data, strides=(1,))
+
+
 def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One-permutation minima of the lines' shingles, a row of BINS for each line of at least WIDTH bytes: the hash of a shingle picks its bin and its rank there. An empty bin takes over the next full one, shifted by the distance."""
-    wide = data.astype(np.uint64)
-    packed = np.zeros(max(0, len(data) - WIDTH + 1), np.uint64)
-    for k in range(WIDTH):
-        packed |= wide[k : k + len(packed)] << np.uint64(8 * k)
-    packed = mix(packed)
     counts = ends - starts - WIDTH + 1
-    line = np.repeat(np.arange(len(starts)), counts)
-    at = np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(starts, counts)
-    h = packed[at]
-    cell = line * BINS + ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+    total = int(counts.sum())
+    at = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(total)
+    h = mix(packed_bytes(data)[at])
+    cell = np.repeat(np.arange(0, len(starts) * BINS, BINS), counts) + ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).view(np.int64)
     out = np.full(len(starts) * BINS, 1 << 32, np.uint64)
     np.minimum.at(out, cell, h & np.uint64(0xFFFFFFFF))
     out = out.reshape(-1, BINS)
     full = out < np.uint64(1 << 32)
     rows = np.flatnonzero(~full.all(axis=1))
-    while len(rows):
-        part, there = out[rows], full[rows]
-        part = np.where(there, part, np.roll(part, -1, axis=1) + np.uint64(1 << 33))
-        there = there | np.roll(there, -1, axis=1)
-        out[rows], full[rows] = part, there
-        rows = rows[~there.all(axis=1)]
+    if len(rows):
+        place = np.arange(BINS, dtype=np.int16)
+        ahead = np.where(full[rows], place, np.int16(4 * BINS))
+        ahead = np.minimum.accumulate(np.concatenate([ahead, ahead + np.int16(BINS)], axis=1)[:, ::-1], axis=1)[:, ::-1][:, :BINS]
+        out[rows] = out[rows[:, None], ahead % BINS] + ((ahead - place).astype(np.uint64) << np.uint64(33))
     return out
 
 
@@ -81,7 +84,7 @@ def _banded(batches):
     met: set[int] = set()
     salt = mix(np.arange(BINS, dtype=np.uint64))
     for batch in batches:
-        for _, data, offsets in text_blocks(batch.column("text")):
+        for _, data, offsets in text_blocks(batch.column("text"), STEP):
             data = _LOWER[data]
             starts, ends, _, _ = _lines(data, offsets)
             long = ends - starts >= SHORTEST
@@ -146,11 +149,10 @@ def _texts(batches):
 
 def shingles(line: bytes) -> np.ndarray:
     """Sorted distinct shingles of a line, exactly: eight bytes are the integer itself."""
-    if len(line) < WIDTH:
-        return np.zeros(0, np.uint64)
-    out = np.lib.stride_tricks.sliding_window_view(np.frombuffer(line, np.uint8), WIDTH).copy().view("<u8").ravel()
-    out.sort()
-    return out[np.concatenate([[True], out[1:] != out[:-1]])]
+    out = np.sort(packed_bytes(np.frombuffer(line, np.uint8)))
+    first = np.ones(len(out), bool)
+    np.not_equal(out[1:], out[:-1], out=first[1:])
+    return out[first]
 
 
 def _similar(percent: int):

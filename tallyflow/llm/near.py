@@ -66,14 +66,17 @@ def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
     known = Recent(described, 12_000_000)
 
     def edges(bucket, lo, hi, held):
-        parts = np.array([h[2] for h in held])
+        root = list({h[1]: None for h in held})
+        if len(root) == 1:
+            return
+        numbers = {c: i for i, c in enumerate(root)}
+        label, parts = np.array([numbers[h[1]] for h in held]), np.array([h[2] for h in held])
         left, right = np.flatnonzero(parts == lo), np.flatnonzero(parts == hi)
         sets, signed = zip(*[known(h[0], h[3]) for h in held], strict=True)  # ids meet again in other buckets
-        signed = np.array(signed)
+        signed = np.array(signed).T.copy()
         agree = np.zeros((len(left), len(right)), np.uint8)
         for k in range(128):
-            agree += signed[left, k][:, None] == signed[right, k][None, :]
-        root = list({h[1]: None for h in held})
+            agree += signed[k, left][:, None] == signed[k, right]
         parent = {c: c for c in root}
 
         def find(c):
@@ -82,7 +85,7 @@ def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
                 c = parent[c]
             return c
 
-        for i, j in zip(*np.nonzero(agree >= likely), strict=True):
+        for i, j in zip(*np.nonzero((agree >= likely) & (label[left][:, None] != label[right])), strict=True):
             x, y = left[i], right[j]
             if lo == hi and x >= y:
                 continue
