@@ -26,6 +26,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.where("a != b").distinct()
 
 
+#: Edges that a task takes at least; rounds over few edges then write few files, however many shuffle partitions there are.
+PART = 10_000
+
+
 def _print_of(edges: DataFrame):
     return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(7)))).first()
 
@@ -38,7 +42,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.where("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = _print_of(edges)
     while seen[0]:
-        edges = cut(_small_star(_large_star(edges)))
+        parts = -(-seen[0] // PART)
+        edges = cut(_small_star(_large_star(edges.coalesce(parts)).coalesce(parts)).coalesce(parts))
         now = _print_of(edges)
         if now == seen:
             break
