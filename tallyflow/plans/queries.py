@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyflow.functions import frame, headers
-from tallyflow.operators import changelog, dlq, observe, routing, stats
+from tallyflow.operators import changelog, dlq, observe, republish, routing, stats
 from tallyflow.sources.log import tier_table
 from tallyflow.sources.synth import inject_faults
 
@@ -184,6 +184,32 @@ def dead_letter_headers(spark, d):
     return rows.select("event_id", h.alias("h")).select("event_id", F.size("h").cast("long").alias("n"), short, *[read(name).alias(c) for c, name in texts.items()])
 
 
+def retry_republish(spark, d):
+    k = F.col("k")
+    old = headers.encode_headers({"x-correlation-id": F.col("event_id"), headers.ORIGINAL_PARTITION: F.when(k % 2 == 0, 9), headers.FIRST_FAILED_AT: F.when(k % 2 == 0, "2024-01-01T00:00:00.000Z")})
+    rows = _routed(spark, d).withColumn("headers", old).withColumn("timestamp_ms", F.lit(5))
+    out = republish.escalate(rows, F.lit(1_000).cast("long"), F.lit("2025-01-01T00:00:00.000Z"))
+    number = lambda name: headers.read_int_header(F.col("headers"), name)
+    return out.select("event_id", "topic", F.size("headers").cast("long").alias("n"), number(headers.RETRY_ATTEMPT).alias("attempt"), number(headers.RETRY_NOT_BEFORE).alias("not_before"), number(headers.ORIGINAL_PARTITION).alias("origin"), headers.read_header(F.col("headers"), headers.FIRST_FAILED_AT).alias("first_failed_at"))
+
+
+def forward_due(spark, d):
+    queue = _log(spark, d).withColumn("not_before", F.when(F.col("k") >= 99, F.col("offset") + 900)).withColumn("topic", F.lit("orders.retry.5s"))
+    out = republish.forward_due(queue, queue.where("k < 30"), 1000)
+    return out.select("event_id", "topic", "retry_topic", "partition", "offset")
+
+
+def retry_plan(spark, d):
+    draw = F.col("k") % 4 * F.lit(0.25).cast("double")
+    plan = republish.retry_plan(F.col("k") % 5, F.array(draw, draw), budget_ms=120)
+    return _log(spark, d).select("event_id", plan.alias("p")).select("event_id", "p.attempts", "p.elapsed_ms", "p.succeeded")
+
+
+def decode_report(spark, d):
+    rows = _t(spark, d, "documents").select("doc_id", F.col("text").cast("binary").alias("value"), headers.encode_headers({"b": F.col("source"), "a": F.lit(1)}).alias("headers"))
+    return republish.decode_report(rows).select("doc_id", "frame_error", "hex", F.array_join("header_names", ",").alias("names"), F.col("price").isNull().alias("undecoded"))
+
+
 def conform_schema(spark, d):
     return routing.conform(_t(spark, d, "customer"), {"c_custkey": "bigint", "c_name": "string", "region": "string"}, {"region": "none"})
 
@@ -219,10 +245,15 @@ ORACLE = {
     "partition_lag": f"SELECT a.partition, a.\"end\", b.committed, greatest(0, a.\"end\" - b.committed) + b.committed - b.committed AS lag FROM (SELECT partition, max(\"offset\") + 1 AS \"end\" FROM {_LOG} GROUP BY 1) a LEFT JOIN (SELECT partition, max(\"offset\") + 1 AS committed FROM {_LOG} WHERE partition < 2 AND k < 50 GROUP BY 1) b ON a.partition = b.partition",
     "frame_decode": "SELECT CAST(7 AS INT) AS schema_id, concat('Item', l_suppkey) AS product, count(*) AS n, CAST(0 AS BIGINT) AS errors, round(sum(CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE)), 0) AS price, sum(l_orderkey * 8 + l_linenumber) AS ids FROM lineitem GROUP BY l_suppkey",
     "replay_headers": f"SELECT event_id, 'x-correlation-id,x-replay-count,x-replayed-at,x-replayed-from-dlq-offset' AS names, CAST(CASE WHEN k > 50 THEN k + 1 ELSE 1 END AS BIGINT) AS replays, CAST(event_id AS VARCHAR) AS correlation_id FROM {_LOG}",
+    "retry_republish": f"""SELECT event_id, concat('orders.retry.', CASE k % 5 WHEN 0 THEN '5s' WHEN 1 THEN '30s' ELSE '5m' END) AS topic, CAST(9 AS BIGINT) AS n, CAST(k % 5 + 1 AS BIGINT) AS attempt, CAST(1000 + CASE k % 5 WHEN 0 THEN 5000 WHEN 1 THEN 30000 ELSE 300000 END AS BIGINT) AS not_before,
+ CAST(CASE WHEN k % 2 = 0 THEN 9 ELSE partition END AS BIGINT) AS origin, CASE WHEN k % 2 = 0 THEN '2024-01-01T00:00:00.000Z' ELSE '2025-01-01T00:00:00.000Z' END AS first_failed_at FROM {_ROUTED} WHERE outcome = 'retried'""",
+    "forward_due": f"SELECT event_id, 'orders' AS topic, 'orders.retry.5s' AS retry_topic, partition, \"offset\" FROM (SELECT *, max(CASE WHEN k >= 99 THEN \"offset\" + 900 ELSE 0 END) OVER (PARTITION BY partition ORDER BY \"offset\" ROWS UNBOUNDED PRECEDING) AS m FROM {_LOG} WHERE k >= 30) WHERE m <= 1000",
+    "retry_plan": f"SELECT event_id, CAST(CASE WHEN k % 5 = 0 THEN 1 WHEN k % 5 = 1 OR k % 4 >= 2 THEN 2 ELSE 3 END AS INT) AS attempts, CAST(CASE attempts WHEN 1 THEN 0 WHEN 2 THEN k % 4 * 25 ELSE k % 4 * 75 END AS BIGINT) AS elapsed_ms, attempts > k % 5 AS succeeded FROM {_LOG}",
+    "decode_report": "SELECT doc_id, CASE WHEN text IS NULL THEN 'payload is null' WHEN strlen(text) < 5 THEN concat('payload is ', strlen(text), ' bytes; Confluent framing requires at least 5') ELSE concat('expected magic byte 0x00, found 0x', lower(hex(encode(text))[1:2])) END AS frame_error, lower(hex(encode(text))[1:128]) AS hex, CASE WHEN source IS NULL THEN 'a' ELSE 'a,b' END AS names, true AS undecoded FROM documents",
     "conform_schema": "SELECT c_custkey, c_name, 'none' AS region FROM customer",
 }
 
 
 def queries() -> dict:
-    every = (running_stats_by_key, global_stats, snapshot, stats_merge_from_partials, running_state_history, latest_state_per_key, restore_partitions, validation_report, classify_errors, outcome_router, outcome_tally, due_records, dlq_list, dlq_select_range, dlq_newest, dlq_by_type, latency_histogram, throughput, throughput_10s, topic_depth, partition_lag, truncate_utf8, frame_decode, fault_mix, replay_headers, dead_letter_headers, conform_schema)
+    every = (running_stats_by_key, global_stats, snapshot, stats_merge_from_partials, running_state_history, latest_state_per_key, restore_partitions, validation_report, classify_errors, outcome_router, outcome_tally, due_records, dlq_list, dlq_select_range, dlq_newest, dlq_by_type, latency_histogram, throughput, throughput_10s, topic_depth, partition_lag, truncate_utf8, frame_decode, fault_mix, replay_headers, dead_letter_headers, retry_republish, forward_due, retry_plan, decode_report, conform_schema)
     return {f.__name__: f for f in every}

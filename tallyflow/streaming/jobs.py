@@ -1,10 +1,13 @@
-"""Keyed running statistics as a stream, with checkpointed state and one table a batch."""
+"""Streams with one table a batch: keyed running statistics with checkpointed state, and the outcome router."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.operators.routing import route
 from tallyflow.operators.stats import fold
 
 
@@ -21,3 +24,16 @@ def latest_stats(updates: DataFrame, key: str) -> DataFrame:
     """The last written row of each key."""
     names = [c for c in updates.columns if c not in (key, "batch_id")]
     return updates.groupBy(key).agg(F.max_by(F.struct(*names), "batch_id").alias("r")).select(key, "r.*")
+
+
+def router_stream(stream: DataFrame, handler: Callable[[DataFrame], DataFrame], tiers: DataFrame, table: str, checkpoint: str):
+    """Starts the router: ``handler`` adds attempt and error_kind to the records, and each batch writes them once, by outcome, under table/batch_id=n.
+
+    The input's position is committed after a batch is written. A batch that was cut off is repeated and overwrites its folder,
+    so that every record ends with one outcome.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        route(handler(batch), tiers).write.mode("overwrite").partitionBy("outcome").parquet(f"{table}/batch_id={number}")
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()

@@ -59,3 +59,27 @@ def test_stream_equals_batch(spark, tmp_path):
         q.awaitTermination()
     got = {r.k: (r["count"], round(r["mean"], 9)) for r in latest_stats(spark.read.parquet(str(tmp_path / "out1")), "k").collect()}
     assert got == {r.k: (r["count"], round(r["mean"], 9)) for r in fold(df, "k", "v", "t").collect()}
+
+
+def test_retry_plan_stops_at_the_budget(spark):
+    from tallyflow.operators.republish import retry_plan
+
+    plan = retry_plan(F.lit(1000), F.array_repeat(F.lit(0.999), 100), attempts=100, budget_ms=120)
+    r = spark.range(1).select(plan.alias("p")).first().p
+    assert (r.attempts, r.elapsed_ms, r.succeeded) == (2, 99, False)
+
+
+def test_router_stream_equals_batch(spark, tmp_path):
+    from tallyflow.operators.routing import route
+    from tallyflow.sources.log import tier_table
+    from tallyflow.streaming.jobs import router_stream
+
+    def handler(df):
+        return df.withColumn("attempt", (F.col("id") % 5).cast("int")).withColumn("error_kind", F.when(F.col("id") % 3 == 0, "transient").when(F.col("id") % 7 == 0, "permanent"))
+
+    df = spark.range(500)
+    for part in (0, 1):
+        df.where(f"id % 2 = {part}").write.mode("append").parquet(str(tmp_path / "in"))
+        router_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), handler, tier_table(spark), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    got = sorted((r.id, r.outcome, r.tier) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == sorted((r.id, r.outcome, r.tier) for r in route(handler(df), tier_table(spark)).collect())
