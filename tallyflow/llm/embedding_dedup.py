@@ -13,6 +13,8 @@ from tallyflow.llm.components import connected_components
 
 #: Vectors that one side of a comparison holds at most.
 BLOCK = 1024
+#: Cosine that two reference points stay below, and draws of reference points at most.
+APART, DRAWS = 0.8, 8
 
 
 def reference_count(rows: int) -> int:
@@ -20,6 +22,56 @@ def reference_count(rows: int) -> int:
     return max(16, int(round(7 * rows ** (1 / 3))))
 
 
+def thinned(kept: np.ndarray, unit: np.ndarray, most: int, step: int = 256) -> np.ndarray:
+    """``kept`` with those of the ``unit`` vectors, in order, whose cosine to each one before them is below APART, ``most`` in all."""
+    for a in range(0, len(unit), step):
+        some = unit[a : a + step]
+        some = some[(some @ kept.T < APART).all(axis=1)]
+        alike, new = some @ some.T >= APART, []
+        for i in range(len(some)):
+            if not alike[i, new].any():
+                new.append(i)
+        kept = np.concatenate([kept, some[new]])[:most]
+        if len(kept) == most:
+            break
+    return kept
+
+
+def _apart_from(references: np.ndarray):
+    """The usable rows that no reference point is near to."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            lists = batch.column("embedding").to_pylist()
+            good = np.array([i for i, x in enumerate(lists) if len(x) == references.shape[1]], int)
+            raw = np.array([lists[i] for i in good], float).reshape(len(good), references.shape[1])
+            far = ((raw / np.sqrt((raw * raw).sum(axis=1))[:, None]) @ references.T < APART).all(axis=1)
+            yield batch.take(pa.array(good[far], pa.int64()))
+
+    return run
+
+
+def reference_points(usable: DataFrame, most: int, drawn: int, seed: int) -> np.ndarray:
+    """At most ``most`` unit vectors of ``usable`` (vec_id, embedding) in the order of a hash of their id, no two with a cosine of APART or more.
+
+    So a group of near copies supplies one or a few points, whatever its share of the rows, and its members agree on most of
+    the others. ``drawn`` rows are taken at a time; after the first time from those that no point is near to yet.
+    """
+    points = None
+    for _ in range(DRAWS):
+        rest = usable if points is None else usable.mapInArrow(_apart_from(points), usable.schema)
+        chosen = rest.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(drawn).toPandas()["embedding"]
+        if points is None:
+            points = np.zeros((0, chosen.map(len).mode()[0]))
+        raw = np.array([x for x in chosen if len(x) == points.shape[1]], float).reshape(-1, points.shape[1])
+        points = thinned(points, raw / np.sqrt((raw * raw).sum(axis=1))[:, None], most)
+        if len(points) == most or len(chosen) < drawn:
+            break
+    return points
+
+
 def _permutations(references: np.ndarray, nearest: int, shared: int):
     subsets = np.array(list(combinations(range(nearest), shared)))
 
@@ -130,7 +182,8 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.95, nearest: int =
     """Per row of ``vectors`` (vec_id, embedding; other columns are ignored): vec_id, n_links, component_id, kept.
 
     1. Reference points are vectors of the table: the first by a hash of their id, ``reference_count`` of the rows and at most
-       ``sample``, a bounded part.
+       ``sample``, a bounded part. They are thinned so that no two are close. Where only few such points are, lists are
+       longer and more pairs are compared; no link is lost by it.
     2. Every vector is described by its ``nearest`` reference points. Two vectors are compared if they share at least
        ``shared`` of them: the inverted lists are kept by sets of ``shared`` references, so sharing so many means to meet in a
        list. (The share of links found so is measured in the tests.)
@@ -148,11 +201,10 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.95, nearest: int =
     alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if n < 2:
         return alone
-    chosen = usable.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(min(sample, reference_count(n))).toPandas()
-    width = chosen["embedding"].map(len).mode()[0]
-    points = np.array([x for x in chosen["embedding"] if len(x) == width], float)
-    points /= np.sqrt((points * points).sum(axis=1))[:, None]
-    points = np.unique(points, axis=0)
+    most = min(sample, reference_count(n))
+    points = reference_points(usable, most, min(sample, 2 * most), seed)
+    if not len(points):
+        return alone
     nearest = min(nearest, len(points))
     shared = min(shared, nearest)
     described = cut(usable.dropDuplicates(["vec_id"]).mapInArrow(_permutations(points, nearest, shared), "vec_id long, vector binary, near binary, keys array<long>"))
