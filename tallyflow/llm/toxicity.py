@@ -8,8 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import cut, shingle_sets, small_side
-from tallyflow.llm.labelled import bounded, fold, training_rows
+from tallyflow.llm.common import cut, mix, shingle_sets
+from tallyflow.llm.labelled import fold, training_rows
 
 #: ASCII bytes that are no letters separate words.
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -35,13 +35,9 @@ def terms_of(text: str | None, idf: dict | None = None) -> Counter:
     return out
 
 
-def _sketches(batches):
-    """The least shingle hash of each text: equal for exact copies and, mostly, for near copies."""
-    import pyarrow as pa
-
-    for batch in batches:
-        least = [int(s[0].astype(np.int64)) if len(s) else 0 for s in shingle_sets(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(least, pa.int64())], ["doc_id", "sketch"])
+def _fingerprints(column) -> list[tuple[int, int, int]]:
+    """Size and 128 bits of each text's shingle set: equal for equal sets."""
+    return [(len(s), int(mix(s).sum().astype(np.int64)), int(np.bitwise_xor.reduce(mix(s + np.uint64(99))).astype(np.int64))) if len(s) else (0, 0, 0) for s in shingle_sets(column)]
 
 
 def _frequencies(batches):
@@ -135,9 +131,7 @@ class Model:
 
 
 def fit(train: DataFrame, examples: int = 20_000, terms: int = 4096, least: int = 3, share: float = 0.01, chi2: float = 30.0, lift: float = 5.0, seed: int = 5) -> Model:
-    """Of training rows with the same least shingle hash the first counts, so that a group of copies weighs about as much as one text. Term counts come from all of these. The vectors keep at most ``terms`` terms: those in at least ``least`` toxic training texts and the given ``share`` of them, at least ``lift`` times as frequent in toxic ones as in clean ones, with the largest chi-squared statistic, of ``chi2`` or more. At most ``examples`` training rows (a bounded part, by hash of the id) are indexed."""
-    first = cut(train.mapInArrow(_sketches, "doc_id long, sketch long").groupBy("sketch").agg(F.min("doc_id").alias("doc_id")).select("doc_id"))
-    train = train.join(small_side(first), "doc_id", "left_semi")
+    """Term counts, idf, prior and the share for texts without a term come from all training rows. The vectors keep at most ``terms`` terms: those in at least ``least`` toxic training texts and the given ``share`` of them, at least ``lift`` times as frequent in toxic ones as in clean ones, with the largest chi-squared statistic, of ``chi2`` or more. At most ``examples`` training rows (a bounded part, by hash of the id) are indexed; of those with one label and equal shingle sets only the first, so that the nearest examples are not all copies of one text."""
     n = {bool(r["toxic"]): r["n"] for r in train.groupBy((F.col("label") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(True, 0), n.get(False, 0)
     total = toxic + clean
@@ -155,11 +149,16 @@ def fit(train: DataFrame, examples: int = 20_000, terms: int = 4096, least: int
 
         for batch in batches:
             kept = [list(terms_of(x.as_py(), idf).items()) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(kept, pa.map_(pa.string(), pa.int64()))], ["doc_id", "label", "terms"])
+            some = np.array([i for i, x in enumerate(kept) if x], int)
+            prints = np.zeros((len(kept), 3), np.int64)
+            prints[some] = np.array(_fingerprints(batch.column("text").take(pa.array(some))), np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(kept, pa.map_(pa.string(), pa.int64())), *(pa.array(x) for x in prints.T)], ["doc_id", "label", "terms", "shingles", "f1", "f2"])
 
-    rows = cut(train.mapInArrow(near_terms, "doc_id long, label int, terms map<string, long>"))
+    rows = cut(train.mapInArrow(near_terms, "doc_id long, label int, terms map<string, long>, shingles long, f1 long, f2 long"))
     empty = rows.where("size(terms) = 0").agg(F.count("*").alias("n"), F.coalesce(F.sum((F.col("label") > 0).cast("int")), F.lit(0)).alias("t")).first()
-    some = bounded(rows.where("size(terms) > 0"), examples, seed).orderBy("doc_id").collect()
+    first = rows.where("size(terms) > 0").groupBy(F.col("label") > 0, "shingles", "f1", "f2").agg(F.min("doc_id").alias("doc_id"))
+    ids = cut(first.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(examples))
+    some = rows.where("size(terms) > 0").join(F.broadcast(ids), "doc_id", "left_semi").orderBy("doc_id").collect()
     prior = toxic / total
     return Model(idf, [(r["doc_id"], int(r["label"] > 0), vector(r["terms"], idf)) for r in some], (empty["t"] + prior) / (empty["n"] + 1), prior)
 
