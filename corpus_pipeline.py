@@ -40,8 +40,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as the mix takes them: whole, in part, or twice."""
-    return mix_documents(docs)
+    """The documents as the mix takes them: whole, in part, or twice, with the places of their blocks in the output shards."""
+    return mix_documents(docs, places=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

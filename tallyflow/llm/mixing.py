@@ -11,6 +11,7 @@ from tallyflow.llm.common import cut, small_side, words_of
 MULTIPLIERS = (1000000000039, 1000000000061, 1000000000063, 1000000000091, 1000000000121, 1000000000163, 1000000000169, 1000000000177)
 #: Rows that a window over a share of a source holds, about; and slots that one row is expanded to.
 CHUNK, SPREAD = 4096, 16384
+PLACES = "array<struct<shard:bigint,slot:int,words:bigint>>"
 
 
 def targets(sizes: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3, 1, 2), cap: float = 2.0) -> DataFrame:
@@ -59,24 +60,30 @@ def placed(docs: DataFrame, block: int, **how) -> tuple[DataFrame, DataFrame]:
 
 
 def slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
-    """(source_no, copy, block, shard, slot): one row for each block that the mix takes.
+    """(source_no, copy, block, shard, slot): one row for each block that the mix takes, with its place in the output.
 
-    Each of a source's slots falls into an output shard at random, so a shard's counts of the sources are a multinomial draw
-    given the totals. Slot i of a source takes, in pass i div blocks, the block to which that pass's permutation maps i mod blocks.
+    All slots stand in one random order, and each run of ``shard_slots`` of them is an output shard, so a shard's counts of the
+    sources are a multinomial draw given the totals, which meet the targets. Places are sums over shares of the slots, so that no
+    task orders all. Slot i of a source takes, in pass i div blocks, the block to which that pass's permutation maps i mod blocks.
     """
-    total = F.greatest(F.lit(1), F.ceil(F.sum("slots").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) / shard_slots)).cast("long")
-    parts = sources.withColumn("shards", total).where("slots > 0").select("source_no", "blocks", "slots", "shards", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SPREAD).cast("long"))).alias("part"))
-    each = parts.repartition("source_no", "part").select("source_no", "blocks", "shards", F.explode(F.sequence(F.col("part") * SPREAD, F.least(F.col("part") * SPREAD + SPREAD, F.col("slots")) - 1)).alias("slot"))
-    copy = F.floor(F.col("slot") / F.col("blocks")).cast("long")
+    chunks = F.greatest(F.lit(1), F.ceil(F.sum("slots").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) / CHUNK)).cast("long")
+    parts = sources.withColumn("chunks", chunks).where("slots > 0").select("source_no", "blocks", "slots", "chunks", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SPREAD).cast("long"))).alias("part"))
+    each = parts.repartition("source_no", "part").select("source_no", "blocks", "chunks", F.explode(F.sequence(F.col("part") * SPREAD, F.least(F.col("part") * SPREAD + SPREAD, F.col("slots")) - 1)).alias("number"))
+    each = each.withColumn("key", F.xxhash64(F.lit(seed), "source_no", "number", F.lit(3))).withColumn("chunk", F.pmod("key", "chunks"))
+    ahead = each.groupBy("chunk").agg(F.count("*").alias("n"))
+    ahead = ahead.select("chunk", F.coalesce(F.sum("n").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
+    within = F.row_number().over(Window.partitionBy("chunk").orderBy("key", "source_no", "number"))
+    each = each.withColumn("within", within).join(ahead, "chunk").withColumn("place", F.col("ahead") + F.col("within") - 1)
+    copy = F.floor(F.col("number") / F.col("blocks")).cast("long")
     draw = lambda *more: F.xxhash64(F.lit(seed), "source_no", copy, *map(F.lit, more))
     factor = F.element_at(F.array(*[F.lit(p) for p in MULTIPLIERS]), (F.pmod(draw(1), F.lit(len(MULTIPLIERS))) + 1).cast("int"))
-    index = F.col("slot") % F.col("blocks")
+    index = F.col("number") % F.col("blocks")
     mapped = ((factor % F.col("blocks")).cast("decimal(19,0)") * index.cast("decimal(19,0)") + F.pmod(draw(2), F.col("blocks"))) % F.col("blocks")
-    return each.select("source_no", copy.alias("copy"), mapped.cast("long").alias("block"), F.pmod(F.xxhash64(F.lit(seed), "source_no", "slot", F.lit(3)), F.col("shards")).alias("shard"), "slot")
+    return each.select("source_no", copy.alias("copy"), mapped.cast("long").alias("block"), F.floor(F.col("place") / shard_slots).cast("long").alias("shard"), (F.col("place") % shard_slots).cast("int").alias("slot"))
 
 
 def taken_parts(rows: DataFrame, sources: DataFrame, block: int, shard_slots: int, seed: int) -> DataFrame:
-    """(start, source_no, doc_id, mark, size, ..., copy, from, words) for each part of a document that a drawn block holds."""
+    """(start, source_no, doc_id, mark, size, ..., copy, shard, slot, from, words) for each part of a document that a drawn block holds."""
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
     parts = rows.where("size > 0").select("*", F.explode(F.sequence(first, last)).alias("block"))
     low, high = F.greatest("start", F.col("block") * block), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
@@ -85,27 +92,28 @@ def taken_parts(rows: DataFrame, sources: DataFrame, block: int, shard_slots: in
 
 
 def mix_shares(docs: DataFrame, block: int = 256, shard_slots: int = 1024, seed: int = 17, **how) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text, source; other columns are ignored): doc_id, size, source_size, target, taken.
+    """Per row of ``docs`` (doc_id, text, source; other columns are ignored): doc_id, size, source_size, target, taken, places.
 
     size counts the words between space and U+0009 to U+000D. Each source's words, document after document, are packed into
-    blocks of ``block`` words; the mix takes whole blocks, each at most twice. Null and blank texts have size 0 and are never
+    blocks of ``block`` words; the mix takes whole blocks, each at most twice. places
+    has the shard, the slot in it and the number of words for each block with words of the document. Null and blank texts have size 0 and are never
     taken. A null source is a source; rows without doc_id are mixed like others; repeated rows are rows of their own.
     """
     rows, sources = placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.lit(0).alias("mark")), block, **how)
     rows = cut(rows)
-    taken = taken_parts(rows, sources, block, shard_slots, seed).groupBy("source_no", "start").agg(F.sum("words").alias("words"))
+    taken = taken_parts(rows, sources, block, shard_slots, seed).groupBy("source_no", "start").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("shard", "slot", "words"))).alias("places"))
     some = rows.where("size > 0").join(taken, ["source_no", "start"], "left")
-    none = rows.where("size = 0").withColumn("words", F.lit(0).cast("long"))
+    none = rows.where("size = 0").withColumn("words", F.lit(0).cast("long")).withColumn("places", F.array().cast(PLACES))
     out = some.select(*none.columns).union(none)
-    return out.select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"), F.coalesce("places", F.array().cast(PLACES)).alias("places"))
 
 
-def mix_documents(docs: DataFrame, block: int = 256, shard_slots: int = 1024, seed: int = 17, **how) -> DataFrame:
-    """The mix as documents, with the columns of ``docs``: for each document and pass (at most two) a row whose text holds, in order and with the white space after them, the words of its drawn blocks. n_chars, where there is such a column, is the new length. Documents of which nothing is taken go. Identical repeated rows count as that many documents of one text."""
+def mix_documents(docs: DataFrame, block: int = 256, shard_slots: int = 1024, seed: int = 17, places: bool = False, **how) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: for each document and pass (at most two) a row whose text holds, in order and with the white space after them, the words of its drawn blocks. n_chars, where there is such a column, is the new length. Documents of which nothing is taken go. Identical repeated rows count as that many documents of one text. With ``places`` a column of that name follows: shard, slot and number of words for each drawn block, as in ``mix_shares``."""
     marked = docs.withColumn("mark", F.xxhash64("text"))
     rows, sources = placed(marked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), "mark"), block, **how)
     parts = taken_parts(cut(rows), sources, block, shard_slots, seed)
-    drawn = parts.groupBy("source_no", "start", "copy", "doc_id", "mark", "source").agg(F.sort_array(F.collect_list(F.struct("from", "words"))).alias("parts"))
+    drawn = parts.groupBy("source_no", "start", "copy", "doc_id", "mark", "source").agg(F.sort_array(F.collect_list(F.struct("from", "words", "shard", "slot"))).alias("parts"))
     units = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
     text = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(F.col("units"), (p["from"] + 1).cast("int"), p["words"].cast("int")))), "")
     originals = marked.where("text is not null").dropDuplicates(["doc_id", "source", "mark"]).alias("a")
@@ -113,4 +121,5 @@ def mix_documents(docs: DataFrame, block: int = 256, shard_slots: int = 1024, se
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    where = [F.transform("parts", lambda p: F.struct(p["shard"].alias("shard"), p["slot"].alias("slot"), p["words"].alias("words"))).alias("places")]
+    return out.select(*docs.columns, *(where if places else []))
