@@ -7,6 +7,7 @@ import tempfile
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Separators of words: space and U+0009 to U+000D; all other characters belong to words.
 WORD_SPACE = r"[\x20\x09-\x0D]+"
@@ -32,9 +33,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, limit: int = 200_000) -> DataFrame:
-    """``df``, hinted for broadcast if it has at most ``limit`` rows; beyond that Spark joins it by shuffle. Give it a materialised table."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _width(column, kind: T.DataType):
+    """Column: about how many bytes a value takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        fields = len(kind.elementType.fields) if isinstance(kind.elementType, T.StructType) else 1
+        return F.greatest(F.size(column), F.lit(0)) * (8 * fields + 8) + 16
+    return F.lit(8 * len(kind.fields) + 8 if isinstance(kind, T.StructType) else 8)
+
+
+def small_side(df: DataFrame, limit: int = 200_000, most_bytes: int = 32 << 20) -> DataFrame:
+    """``df``, hinted for broadcast if it has at most ``limit`` rows of ``most_bytes`` together; beyond that Spark joins it by shuffle. Give it a materialised table."""
+    sizes = df.limit(limit + 1).select(sum((_width(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(16)).cast("long").alias("b"))
+    rows, size = sizes.agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return F.broadcast(df) if rows <= limit and size <= most_bytes else df
+
+
+def let(value, use):
+    """Column: ``use`` of ``value``, which is worked out once however often ``use`` names it, also inside its lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def words_of(text):
@@ -47,8 +65,9 @@ def words_of(text):
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
+_PRIME, _PRIME_BASE = (1 << 31) - 1, 1_220_703_125
 _BLOCK = 1 << 20
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_tables: dict[int, tuple[np.ndarray, ...]] = {}
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, 9, 10, 11, 12, 13]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -62,23 +81,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2**64 and of its inverse, for n positions at least."""
-    n = max(_BLOCK, 1 << (n - 1).bit_length())
+def _powers(n: int) -> tuple[np.ndarray, ...]:
+    """Powers of an odd base modulo 2**64 and of its inverse, and of a base modulo a prime and of its inverse, for n positions at least."""
+    n = max(_BLOCK + 1, 1 << (n - 1).bit_length())
     if n not in _tables:
         up, down = np.full(n, _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
         _tables.clear()
-        _tables[n] = np.cumprod(up), np.cumprod(down)
+        _tables[n] = np.cumprod(up), np.cumprod(down), _prime_powers(_PRIME_BASE, n), _prime_powers(pow(_PRIME_BASE, -1, _PRIME), n)
     return _tables[n]
 
 
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    out, known = np.ones(n, np.uint64), 1
+    while known < n:  # doubles what is known
+        more = min(known, n - known)
+        out[known : known + more] = out[:more] * np.uint64(pow(base, known, _PRIME)) % np.uint64(_PRIME)
+        known += more
+    return out
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[start:end], equal for equal bytes wherever they stand."""
-    up, down = _powers(len(data) + 1)
+    """64-bit hashes of data[start:end] (bytes or 16-bit units), equal for equal contents wherever they stand.
+
+    Two polynomials make them, one modulo 2**64 and one modulo a prime: for the first alone, long words of a regular build are
+    known that differ and yet have equal hashes.
+    """
+    up, down, prime_up, prime_down = _powers(len(data) + 1)
+    wide = data.astype(np.uint64)
+    wide += np.uint64(1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] ^ ((ends - starts).astype(np.uint64) * _ODD))
+    np.cumsum(wide * up[: len(data)], out=sums[1:])
+    first = (sums[ends] - sums[starts]) * down[starts]
+    wide *= prime_up[: len(data)]
+    if len(data) >> (32 - int(data.max(initial=0) + 1).bit_length()):  # else the sum of the terms is below 2**63 as it stands
+        wide %= np.uint64(_PRIME)
+    np.cumsum(wide, out=sums[1:])
+    second = (sums[ends] - sums[starts]) % np.uint64(_PRIME) * prime_down[starts] % np.uint64(_PRIME)
+    return mix(first ^ mix(second + (ends - starts).astype(np.uint64) * _ODD))
 
 
 def text_blocks(column, size: int = _BLOCK):

@@ -6,21 +6,31 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import _LOWER, Recent, cut, jaccard_at_least, mix, small_side, span_hashes, text_blocks
+from tallyflow.llm.common import _LOWER, Recent, cut, jaccard_at_least, let, mix, small_side, span_hashes, text_blocks
 from tallyflow.llm.near import connect_buckets
 
 BANDS, ROWS = 12, 5
 BINS = BANDS * ROWS
 #: Bytes of text that a step of the arithmetic takes, so that its arrays stay in the processor's cache.
 STEP = 1 << 18
-#: Bytes of a shingle, and of the shortest line that is compared.
-WIDTH, SHORTEST = 8, 10
-_BLANK = np.zeros(256, bool)
+#: Characters of a shingle, as UTF-16 units: four of them are one 64-bit integer, so that sets of shingles are exact.
+WIDTH = 4
+_BLANK = np.zeros(1 << 16, bool)
 _BLANK[[0x20, 9, 11, 12, 13]] = True
 
 
+def _units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A block of texts as UTF-16 units with A-Z lower-cased, and the offsets of the texts in them."""
+    data = _LOWER[data]
+    if data.max(initial=0) < 128:
+        return data.astype("<u2"), offsets
+    raw = data.tobytes()
+    texts = [raw[a:b].decode("utf-8", "replace").encode("utf-16-le") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    return np.frombuffer(b"".join(texts), "<u2"), np.concatenate([[0], np.cumsum([len(t) // 2 for t in texts])])
+
+
 def _lines(data: np.ndarray, offsets: np.ndarray):
-    """Starts and ends of the lines of a block without the blanks around them, the text of each and its number there."""
+    """Starts and ends of the lines of a block without the blanks around them (blank lines are left out), the text of each and its number there."""
     breaks = np.flatnonzero(data == 10)
     starts = np.union1d(offsets[:-1], breaks + 1)
     starts = starts[starts < len(data)] if len(data) else starts[:0]
@@ -33,7 +43,7 @@ def _lines(data: np.ndarray, offsets: np.ndarray):
     some = last >= first
     starts = np.where(some, solid[np.minimum(first, len(solid) - 1)] if len(solid) else starts, starts)
     ends = np.where(some, solid[np.maximum(last, 0)] + 1 if len(solid) else starts, starts)
-    return starts, ends, doc, number
+    return starts[some], ends[some], doc[some], number[some]
 
 
 def _hashed(batches):
@@ -42,27 +52,33 @@ def _hashed(batches):
     for batch in batches:
         ids, marks = batch.column("doc_id"), batch.column("mark")
         for at, data, offsets in text_blocks(batch.column("text"), STEP):
-            data = _LOWER[data]
+            data, offsets = _units(data, offsets)
             starts, ends, doc, number = _lines(data, offsets)
-            long = ends - starts >= SHORTEST
-            take = pa.array(doc[long] + at)
-            h = span_hashes(data, starts[long], ends[long]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([ids.take(take), marks.take(take), pa.array(number[long], pa.int32()), pa.array(h)], ["doc_id", "mark", "line", "h"])
+            take = pa.array(doc + at)
+            h = span_hashes(data, starts, ends).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([ids.take(take), marks.take(take), pa.array(number, pa.int32()), pa.array(h)], ["doc_id", "mark", "line", "h"])
+
+
+def packed_units(data: np.ndarray) -> np.ndarray:
+    """The WIDTH units from each place of an array on, as integers; places behind the end hold 0xFFFF, which is no character."""
+    return np.ndarray(len(data), "<u8", np.append(data, np.full(WIDTH, 0xFFFF, "<u2")), strides=(2,))
 
 
-def packed_bytes(data: np.ndarray) -> np.ndarray:
-    """The WIDTH bytes from each place of a contiguous byte array on, as integers; a view of the bytes."""
-    if len(data) < WIDTH:
-        return np.zeros(0, np.uint64)
-    return np.ndarray(len(data) - WIDTH + 1, "<u8", data, strides=(1,))
+def _short(packed: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Shingles of lines shorter than one: what follows the line gives way to 0xFFFF."""
+    return packed | np.uint64(0xFFFFFFFFFFFFFFFF) << (length * 16).astype(np.uint64)
 
 
 def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One-permutation minima of the lines' shingles, a row of BINS for each line of at least WIDTH bytes: the hash of a shingle picks its bin and its rank there. An empty bin takes over the next full one, shifted by the distance."""
-    counts = ends - starts - WIDTH + 1
+    """One-permutation minima of the lines' shingles, a row of BINS for each non-empty line: the hash of a shingle picks its bin and its rank there. An empty bin takes over the next full one, shifted by the distance. A line shorter than a shingle is its own shingle."""
+    counts = np.maximum(ends - starts - WIDTH + 1, 1)
     total = int(counts.sum())
-    at = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(total)
-    h = mix(packed_bytes(data)[at])
+    first = np.cumsum(counts) - counts
+    at = np.repeat(starts - first, counts) + np.arange(total)
+    packed = packed_units(data)[at]
+    short = np.flatnonzero(ends - starts < WIDTH)
+    packed[first[short]] = _short(packed[first[short]], (ends - starts)[short])
+    h = mix(packed)
     cell = np.repeat(np.arange(0, len(starts) * BINS, BINS), counts) + ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).view(np.int64)
     out = np.full(len(starts) * BINS, 1 << 32, np.uint64)
     np.minimum.at(out, cell, h & np.uint64(0xFFFFFFFF))
@@ -85,10 +101,8 @@ def _banded(batches):
     salt = mix(np.arange(BINS, dtype=np.uint64))
     for batch in batches:
         for _, data, offsets in text_blocks(batch.column("text"), STEP):
-            data = _LOWER[data]
+            data, offsets = _units(data, offsets)
             starts, ends, _, _ = _lines(data, offsets)
-            long = ends - starts >= SHORTEST
-            starts, ends = starts[long], ends[long]
             h, first = np.unique(span_hashes(data, starts, ends), return_index=True)
             new = np.array([x not in met for x in h.tolist()], bool)
             if len(met) > 500_000:
@@ -148,8 +162,10 @@ def _texts(batches):
 
 
 def shingles(line: bytes) -> np.ndarray:
-    """Sorted distinct shingles of a line, exactly: eight bytes are the integer itself."""
-    out = np.sort(packed_bytes(np.frombuffer(line, np.uint8)))
+    """Sorted distinct shingles of a line of UTF-8, exactly: four units are the integer itself."""
+    units = np.frombuffer(line.decode("utf-8", "replace").encode("utf-16-le"), "<u2")
+    packed = packed_units(units)
+    out = np.sort(packed[: len(units) - WIDTH + 1] if len(units) >= WIDTH else _short(packed[:1], np.array([len(units)])))
     first = np.ones(len(out), bool)
     np.not_equal(out[1:], out[:-1], out=first[1:])
     return out[first]
@@ -167,7 +183,7 @@ def _similar(percent: int):
                 if len(x[1]) > len(y[1]):
                     x, y = y, x
                 larger = known(*y)  # the other line has at most as many shingles as places for them
-                keep.append(100 * (len(x[1]) - WIDTH + 1) >= percent * len(larger) and jaccard_at_least(known(*x), larger, percent))
+                keep.append(100 * max(1, len(x[1]) - WIDTH + 1) >= percent * len(larger) and jaccard_at_least(known(*x), larger, percent))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -176,15 +192,15 @@ def _similar(percent: int):
 def line_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs`` with its columns, text without the lines that repeat an earlier one, and n_lines, n_kept; clashing columns of these two names are replaced.
 
-    Lines end at \\n. They are compared without blanks around them and with A-Z lower-cased, as sets of 8-byte shingles of their
-    UTF-8 form. Lines are linked if 100 * intersection >= percent * union; of each component the line with the least
-    (doc_id, text hash, line number) stays. Lines under 10 bytes always stay.
+    Lines end at \\n. They are compared without blanks around them and with A-Z lower-cased, as sets of shingles of four
+    characters (UTF-16 units); a shorter line is its own shingle. Lines are linked if 100 * intersection >= percent * union;
+    of each component the line with the least (doc_id, text hash, line number) stays. Blank lines always stay.
 
     Equal lines form one class (64-bit hash). Classes get one-permutation MinHash signatures in 12 bands of 5: at 0.85 a pair
     shares a band with probability 0.999. Candidates are verified on their full shingle sets. Texts are read three times and
-    only candidate lines are shuffled; documents move only if over 200,000 of them lose lines.
+    only candidate lines are shuffled; documents move only if those that lose lines are too many to broadcast.
 
-    Null texts stay null with 0 lines. Identical repeated rows are one document and get the same result; rows without doc_id
+    Null texts stay null with 0 lines. Very long texts and lines take time in proportion to their length. Identical repeated rows are one document and get the same result; rows without doc_id
     come before others. An empty table gives an empty result.
     """
     marked = docs.withColumn("__mark", F.xxhash64("text")).withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
@@ -207,9 +223,10 @@ def line_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     keepers = labelled.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("all")).where(F.col("all") > 1)
     several = labelled.select("h", "component").join(keepers, "component").select("h", "keep")
     dropped = lines.join(several, "h").where(place != F.col("keep")).select("doc_id", "mark", "line").distinct()
-    dropped = cut(dropped.groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).agg(F.collect_list("line").alias("__lines")))
+    dropped = cut(dropped.groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).agg(F.sort_array(F.collect_list("line")).alias("__lines")))
     split = F.split("text", "\n")
-    kept = F.filter(split, lambda x, i: ~F.array_contains("__lines", i))
+    between = lambda parts, k: F.slice(parts, F.coalesce(F.get("__lines", k - 1), F.lit(-1)) + 2, F.coalesce(F.get("__lines", k), F.size(parts)) - F.coalesce(F.get("__lines", k - 1), F.lit(-1)) - 1)
+    kept = let(split, lambda parts: F.flatten(F.transform(F.sequence(F.lit(0), F.size("__lines")), lambda k: between(parts, k))))
     size = F.coalesce(F.size(split), F.lit(0)).cast("long")
     joined = marked.join(small_side(dropped), ["__id", "__mark"], "left")
     out = joined.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(size).cast("long")).withColumn("n_kept", F.col("n_lines") - F.coalesce(F.size("__lines"), F.lit(0)))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import cut, small_side, words_of
+from tallyflow.llm.common import cut, let, small_side, words_of
 
-#: Primes above any number of blocks in a source, so that each is coprime to it and multiplying by it permutes the indexes.
-MULTIPLIERS = (1000000000039, 1000000000061, 1000000000063, 1000000000091, 1000000000121, 1000000000163, 1000000000169, 1000000000177)
-#: Rows that a window over a share of a source holds, about; and slots that one row is expanded to.
-CHUNK, SPREAD = 4096, 16384
+#: Rows that a window over a share of a source holds, about.
+CHUNK = 1024
+#: Half rounds of the permutation of block indexes, and steps that it may take until it is back inside them.
+ROUNDS, STEPS = 6, 70
 PLACES = "array<struct<shard:bigint,slot:int,words:bigint>>"
 
 
@@ -40,12 +40,12 @@ def targets(sizes: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (
 def placed(docs: DataFrame, block: int, **how) -> tuple[DataFrame, DataFrame]:
     """The documents with their place in their source's stream of words, and the table of the sources.
 
-    A stream's order is that of a hash share, then of the id: sums within a share, then of the shares before, so that no task
-    orders a whole source.
+    A stream's order is that of a hash share, then of the id and the text's hash: sums within a share, then of the shares before, so that no task
+    orders a whole source. Only equal rows tie.
     """
     sized = cut(docs.select("*", F.size(words_of(F.col("text"))).cast("long").alias("size")).drop("text"))
     chunks = max(1, -(-sized.count() // CHUNK))
-    sized = sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(chunks)))
+    sized = sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "mark", F.lit(1)), F.lit(chunks)))
     shares = sized.groupBy("source", "chunk").agg(F.sum("size").alias("words"))
     sources = targets(shares.groupBy("source").agg(F.sum("words").alias("source_size")), **how)
     blocks = F.ceil(F.col("source_size") / block).cast("long")
@@ -53,33 +53,74 @@ def placed(docs: DataFrame, block: int, **how) -> tuple[DataFrame, DataFrame]:
     known = small_side(sources)
     earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     shares = shares.select("source", "chunk", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("ahead")).alias("a").join(known.alias("b"), F.expr("a.source <=> b.source")).select("a.source", "chunk", "ahead", "source_no", "source_size", "target")
-    within = Window.partitionBy("source", "chunk").orderBy("doc_id", "mark").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "chunk").orderBy("doc_id", "mark", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = sized.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     joined = rows.alias("a").join(shares.alias("b"), F.expr("a.source <=> b.source and a.chunk = b.chunk"))
     return joined.select("a.*", "source_no", "source_size", "target", (F.col("ahead") + F.col("inside")).alias("start")).drop("chunk", "inside"), sources
 
 
+def permuted(index, size, *key):
+    """Column: where a permutation of 0 to size-1, drawn by ``key``, takes ``index``.
+
+    A keyed Feistel network over two digits, each about the root of ``size``; a place behind the end is mapped on until it is
+    inside. Up to 4096 the steps always suffice; beyond that a step leads outside with a chance below 1 in 64.
+    """
+    wide = F.ceil(F.sqrt(size.cast("double"))).cast("long")
+
+    def once(x):
+        start = F.struct(F.floor(x / wide).cast("long").alias("l"), (x % wide).alias("r"), F.ceil(size / wide).cast("long").alias("a"), wide.alias("b"))
+        step = lambda s, i: F.struct(s["r"].alias("l"), F.pmod(s["l"] + F.pmod(F.xxhash64(*key, i, s["r"]), s["a"]), s["a"]).alias("r"), s["b"].alias("a"), s["a"].alias("b"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: s["l"] * wide + s["r"])
+
+    return F.aggregate(F.sequence(F.lit(2), F.lit(STEPS)), once(index), lambda x, _: F.when(x < size, x).otherwise(once(x)))
+
+
+def draws(sources: DataFrame, total: int, shard_slots: int, seed: int) -> DataFrame:
+    """(shard, slot, source_no) for ``total`` slots: the counts of a shard's sources are a multinomial draw, slot for slot by the inverse of the distribution.
+
+    The distribution is cut into as many equal parts as there are sources, so that a slot meets only the sources of its part:
+    two on average.
+    """
+    parts = sources.count()
+    order = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, 0)  # one row for each source
+    to = F.sum("slots").over(order)
+    ends = sources.where("slots > 0").select("source_no", "slots", to.alias("to"))
+    spans = ends.select("source_no", "to", F.explode(F.sequence(F.floor((F.col("to") - F.col("slots")) * parts / total).cast("long"), F.floor((F.col("to") - 1) * parts / total).cast("long"))).alias("part"))
+    guide = cut(spans.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("to", "source_no"))).alias("ends")))
+    at = F.pmod(F.xxhash64(F.lit(seed), "id", F.lit(3)), F.lit(total))
+    rows = sources.sparkSession.range(total).select((F.col("id") / shard_slots).cast("long").alias("shard"), (F.col("id") % shard_slots).cast("int").alias("slot"), at.alias("at"))
+    rows = rows.withColumn("part", F.floor(F.col("at") * parts / total).cast("long")).join(small_side(guide), "part")
+    return rows.select("shard", "slot", F.get(F.filter("ends", lambda x: x["to"] > F.col("at")), F.lit(0))["source_no"].alias("source_no"))
+
+
 def slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     """(source_no, copy, block, shard, slot): one row for each block that the mix takes, with its place in the output.
 
-    All slots stand in one random order, and each run of ``shard_slots`` of them is an output shard, so a shard's counts of the
-    sources are a multinomial draw given the totals, which meet the targets. Places are sums over shares of the slots, so that no
-    task orders all. Slot i of a source takes, in pass i div blocks, the block to which that pass's permutation maps i mod blocks.
+    Each output shard draws how many of its ``shard_slots`` slots go to each source. The slots of a source are numbered on
+    from shard to shard. Draws vary, targets do not: numbers beyond a source's slots pass to the sources that drew too few.
+    Number i of a source takes, in pass i div blocks, the block to which that pass's permutation maps i mod blocks.
     """
-    chunks = F.greatest(F.lit(1), F.ceil(F.sum("slots").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) / CHUNK)).cast("long")
-    parts = sources.withColumn("chunks", chunks).where("slots > 0").select("source_no", "blocks", "slots", "chunks", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / SPREAD).cast("long"))).alias("part"))
-    each = parts.repartition("source_no", "part").select("source_no", "blocks", "chunks", F.explode(F.sequence(F.col("part") * SPREAD, F.least(F.col("part") * SPREAD + SPREAD, F.col("slots")) - 1)).alias("number"))
-    each = each.withColumn("key", F.xxhash64(F.lit(seed), "source_no", "number", F.lit(3))).withColumn("chunk", F.pmod("key", "chunks"))
-    ahead = each.groupBy("chunk").agg(F.count("*").alias("n"))
-    ahead = ahead.select("chunk", F.coalesce(F.sum("n").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    within = F.row_number().over(Window.partitionBy("chunk").orderBy("key", "source_no", "number"))
-    each = each.withColumn("within", within).join(ahead, "chunk").withColumn("place", F.col("ahead") + F.col("within") - 1)
+    total = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    drawn = cut(draws(sources, total, shard_slots, seed)) if total else sources.sparkSession.createDataFrame([], "shard long, slot int, source_no int")
+    counts = drawn.groupBy("source_no", "shard").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.select("source_no", "shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
+    within = F.row_number().over(Window.partitionBy("shard", "source_no").orderBy("slot")) - 1
+    known = small_side(sources.select("source_no", "blocks", "slots"))
+    numbered = drawn.withColumn("within", within).join(ahead, ["source_no", "shard"]).join(known, "source_no")
+    numbered = cut(numbered.select("source_no", "shard", "slot", "blocks", "slots", (F.col("ahead") + F.col("within")).alias("number")))
+    sums = sources.select("source_no", "blocks", "slots").join(counts.groupBy("source_no").agg(F.sum("n").alias("n")), "source_no", "left")
+    sums = sums.select("source_no", "blocks", F.coalesce("n", F.lit(0)).alias("n"), "slots")
+    below = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)  # one row for each source
+    over = sums.select("source_no", F.coalesce(F.sum(F.greatest(F.col("n") - F.col("slots"), F.lit(0))).over(below), F.lit(0)).alias("base"))
+    lack = sums.select("source_no", "blocks", "n", "slots", F.coalesce(F.sum(F.greatest(F.col("slots") - F.col("n"), F.lit(0))).over(below), F.lit(0)).alias("base"))
+    left = numbered.where("number >= slots").join(over, "source_no").select("shard", "slot", (F.col("base") + F.col("number") - F.col("slots")).alias("turn"))
+    wanted = lack.where("slots > n").select("source_no", "blocks", "n", "base", F.explode(F.sequence("n", F.col("slots") - 1)).alias("number")).select("source_no", "blocks", "number", (F.col("base") + F.col("number") - F.col("n")).alias("turn"))
+    names = ["source_no", "blocks", "number", "shard", "slot"]
+    each = numbered.where("number < slots").select(*names).union(wanted.join(left, "turn").select(*names))
     copy = F.floor(F.col("number") / F.col("blocks")).cast("long")
-    draw = lambda *more: F.xxhash64(F.lit(seed), "source_no", copy, *map(F.lit, more))
-    factor = F.element_at(F.array(*[F.lit(p) for p in MULTIPLIERS]), (F.pmod(draw(1), F.lit(len(MULTIPLIERS))) + 1).cast("int"))
-    index = F.col("number") % F.col("blocks")
-    mapped = ((factor % F.col("blocks")).cast("decimal(19,0)") * index.cast("decimal(19,0)") + F.pmod(draw(2), F.col("blocks"))) % F.col("blocks")
-    return each.select("source_no", copy.alias("copy"), mapped.cast("long").alias("block"), F.floor(F.col("place") / shard_slots).cast("long").alias("shard"), (F.col("place") % shard_slots).cast("int").alias("slot"))
+    mapped = permuted(F.col("number") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("source_no"), copy)
+    return each.select("source_no", copy.alias("copy"), mapped.alias("block"), "shard", "slot")
 
 
 def taken_parts(rows: DataFrame, sources: DataFrame, block: int, shard_slots: int, seed: int) -> DataFrame:
@@ -97,9 +138,10 @@ def mix_shares(docs: DataFrame, block: int = 256, shard_slots: int = 1024, seed:
     size counts the words between space and U+0009 to U+000D. Each source's words, document after document, are packed into
     blocks of ``block`` words; the mix takes whole blocks, each at most twice. places
     has the shard, the slot in it and the number of words for each block with words of the document. Null and blank texts have size 0 and are never
-    taken. A null source is a source; rows without doc_id are mixed like others; repeated rows are rows of their own.
+    taken. A null source is a source; rows without doc_id are mixed like others. Repeated rows are rows of their own: as they
+    tie, what is taken of each may change hands between equal rows, so that reruns agree on the rows in whatever layout. A very long text costs its own row alone.
     """
-    rows, sources = placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.lit(0).alias("mark")), block, **how)
+    rows, sources = placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("mark")), block, **how)
     rows = cut(rows)
     taken = taken_parts(rows, sources, block, shard_slots, seed).groupBy("source_no", "start").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("shard", "slot", "words"))).alias("places"))
     some = rows.where("size > 0").join(taken, ["source_no", "start"], "left")
@@ -115,9 +157,9 @@ def mix_documents(docs: DataFrame, block: int = 256, shard_slots: int = 1024, se
     parts = taken_parts(cut(rows), sources, block, shard_slots, seed)
     drawn = parts.groupBy("source_no", "start", "copy", "doc_id", "mark", "source").agg(F.sort_array(F.collect_list(F.struct("from", "words", "shard", "slot"))).alias("parts"))
     units = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
-    text = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(F.col("units"), (p["from"] + 1).cast("int"), p["words"].cast("int")))), "")
+    text = let(units, lambda u: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(u, (p["from"] + 1).cast("int"), p["words"].cast("int")))), ""))
     originals = marked.where("text is not null").dropDuplicates(["doc_id", "source", "mark"]).alias("a")
-    joined = originals.join(drawn.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.source <=> b.source and a.mark = b.mark")).select("a.*", "parts").drop("mark").withColumn("units", units)
+    joined = originals.join(drawn.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.source <=> b.source and a.mark = b.mark")).select("a.*", "parts").drop("mark")
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
