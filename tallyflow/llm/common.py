@@ -66,8 +66,8 @@ def words_of(text):
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
 _PRIME, _PRIME_BASE = (1 << 31) - 1, 1_220_703_125
-_BLOCK = 1 << 20
-_tables: dict[int, tuple[np.ndarray, ...]] = {}
+_BLOCK = 1 << 18
+_tables: list[np.ndarray] = [np.zeros(0, np.uint64)]
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, 9, 10, 11, 12, 13]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -81,15 +81,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, ...]:
+def _powers(n: int) -> list[np.ndarray]:
     """Powers of an odd base modulo 2**64 and of its inverse, and of a base modulo a prime and of its inverse, for n positions at least."""
-    n = max(_BLOCK + 1, 1 << (n - 1).bit_length())
-    if n not in _tables:
+    if len(_tables[0]) < n:
+        n = max(n, _BLOCK + 1)
         up, down = np.full(n, _BASE, np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
-        _tables.clear()
-        _tables[n] = np.cumprod(up), np.cumprod(down), _prime_powers(_PRIME_BASE, n), _prime_powers(pow(_PRIME_BASE, -1, _PRIME), n)
-    return _tables[n]
+        _tables[:] = [np.cumprod(up), np.cumprod(down), *(_prime_powers(x, n).astype(np.uint32) for x in (_PRIME_BASE, pow(_PRIME_BASE, -1, _PRIME)))]
+    return _tables
 
 
 def _prime_powers(base: int, n: int) -> np.ndarray:

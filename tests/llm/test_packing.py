@@ -31,7 +31,13 @@ def test_pieces_are_those_of_the_tokenizer(spark):
 
 
 def test_words_that_were_dropped_are_encoded_anew(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 4)
+    monkeypatch.setattr(packing, "CACHED_BYTES", 100)
+    monkeypatch.setattr(packing, "_LATELY", 2)
     words = packing._Words(tokenizer_path("word_bpe_49k.json"))
-    first = words.ids([b"alpha", b"beta.", b"gamma"])
-    assert words.ids([b"delta", b"alpha", b"x1,"])[1] == first[0] and words.ids([b"beta.", b"gamma"]) == first[1:]
+
+    def ids(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return packing._ids(data, np.array([0, len(data)]), words)[0].tolist()
+
+    for text in ("alpha beta. gamma", "delta alpha x1,", "beta. gamma", "alpha beta. gamma delta"):
+        assert ids(text) == words.encoder.encode(text, add_special_tokens=False).ids
