@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.llm.common import mix, span_hashes, text_blocks, word_spans
-from tallyflow.llm.labelled import bounded, fold, training_rows
+from tallyflow.llm.labelled import bounded, fold, logistic, training_rows
 
 #: Hashed features: half for character 3-grams, half for 3-grams of word shapes.
 HALF = 1 << 15
@@ -59,7 +59,7 @@ def _features(batches):
     import pyarrow as pa
 
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([f.astype(np.uint16).tobytes() for f in feature_sets(batch.column("text"))], pa.binary())], ["label", "features"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array([f.astype(np.uint16).tobytes() for f in feature_sets(batch.column("text"))], pa.binary())], ["doc_id", "label", "features"])
 
 
 def log_count_ratios(high: np.ndarray, low: np.ndarray, smooth: float = 1.0) -> np.ndarray:
@@ -88,35 +88,18 @@ def dual_coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], y: np.nda
     return w
 
 
-def logistic(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through (margin, label), by damped Newton steps with smoothed targets."""
-    high, low = (y > 0).sum(), (y <= 0).sum()
-    target = np.where(y > 0, (high + 1) / (high + 2), 1 / (low + 2))
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * margins + b, -30, 30)))
-        g = np.array([((p - target) * margins).sum(), (p - target).sum()])
-        s = p * (1 - p) + 1e-9
-        h = np.array([[(s * margins * margins).sum() + 1e-3, (s * margins).sum()], [(s * margins).sum(), s.sum() + 1e-3]])
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-6:
-            break
-    return max(a, 1e-3), b
-
-
 def fit(train: DataFrame, sample: int = 6000, c: float = 4.0, epochs: int = 20, keep: float = 0.9, seed: int = 3) -> tuple[np.ndarray, np.ndarray, float, float]:
-    """(weights, ratios, slope, offset). Log-count ratios come from all training rows, the hinge-loss fit from at most ``sample`` of them: a bounded part of fixed size; every fifth of those calibrates the scores."""
+    """(weights, ratios, slope, offset). Log-count ratios come from all training rows, the hinge-loss fit from at most ``sample`` of them: a bounded part of fixed size, drawn and ordered by hash and id, so that the layout of the table does not matter; a fifth of those, by hash of the id, calibrates the scores."""
     counts = train.mapInArrow(_counts, "feature int, high long, low long").groupBy("feature").agg(F.sum("high").alias("high"), F.sum("low").alias("low")).toPandas()
     high, low = np.zeros(2 * HALF), np.zeros(2 * HALF)
     high[counts["feature"]], low[counts["feature"]] = counts["high"], counts["low"]
     ratio = log_count_ratios(high, low)
-    part = bounded(train, sample, seed).mapInArrow(_features, "label int, features binary").toPandas()
+    part = bounded(train, sample, seed).mapInArrow(_features, "doc_id long, label int, features binary").toPandas().sort_values(["doc_id", "features"], kind="stable")
     y = np.where(part["label"].to_numpy() > 0, 1.0, -1.0)
     if not (y > 0).any() or not (y < 0).any():
         return np.zeros(2 * HALF + 1), ratio, 1.0, 30.0 if (y > 0).any() else -30.0 if len(y) else 0.0
     rows = [_scaled(np.frombuffer(f, np.uint16).astype(np.int64), ratio) for f in part["features"]]
-    aside = np.arange(len(y)) % 5 == 4 if len(y) >= 200 else np.zeros(len(y), bool)
+    aside = mix(part["doc_id"].to_numpy().astype(np.uint64)) % np.uint64(5) == 4 if len(y) >= 200 else np.zeros(len(y), bool)
     w = dual_coordinate_descent([r for r, x in zip(rows, aside, strict=True) if not x], y[~aside], 2 * HALF + 1, c, epochs, seed)
     w = keep * w + (1 - keep) * np.abs(w).mean()
     use = aside if aside.any() and len(set(y[aside])) == 2 else ~aside
@@ -133,8 +116,9 @@ def _scaled(found: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def quality_scores(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted. Other columns, clashing or not, are ignored.
 
-    Learns ``labels.quality`` from rows whose crc32(doc_id) mod 3 is not 1 and scores every whole text. Null texts are scored as
+    Learns ``labels.quality`` from rows whose crc32(doc_id) mod 3 is not 1 and scores every whole text, however long. Null texts are scored as
     empty ones; without labels of both classes every score is 0, 0.5 or 1. Rows without doc_id are scored and not held out.
+    Repeated rows are scored each; equal texts get equal scores.
     """
     weights, ratio, slope, offset = fit(training_rows(docs, labels, "quality", 1, 3), **how)
 

@@ -120,18 +120,25 @@ def test_token_counts_by_brute_force():
 
 
 def test_block_max_is_exact():
-    import random
+    import numpy as np
 
     from tallyflow.llm.toxicity import BlockMaxIndex
 
-    random.seed(3)
-    vectors = []
-    for _ in range(500):
-        v = {random.randrange(30): random.random() for _ in range(4)}
-        n = sum(x * x for x in v.values()) ** 0.5
-        vectors.append({t: x / n for t, x in v.items()})
-    index = BlockMaxIndex(vectors, 16)
-    for q in vectors[:40]:
-        plain = sorted(((-round(sum(q[t] * v.get(t, 0.0) for t in q), 12), i) for i, v in enumerate(vectors)))[:15]
-        got = index.nearest(q, 15)
-        assert [round(s, 9) for s, _ in got] == [round(-s, 9) for s, _ in plain]
+    rng = np.random.default_rng(3)
+
+    def made(n):
+        terms = np.sort(rng.choice(60, size=n, replace=False, p=np.arange(60, 0, -1) / 1830))
+        weights = rng.random(n)
+        return terms, weights / np.sqrt(weights @ weights)
+
+    vectors = [made(1 + i % 9) for i in range(500)] + [made(3)] * 20
+    dense = np.zeros((len(vectors), 60))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
+    for block, long in ((16, 4), (64, 24), (1024, 1000)):
+        index = BlockMaxIndex(vectors, 60, block, long)
+        for q in vectors[:60] + vectors[-1:]:
+            cosines = np.round(dense[:, q[0]] @ q[1], 12)
+            plain = [i for i in np.lexsort((np.arange(len(cosines)), -cosines))[:15] if cosines[i] > 0]
+            near, ids = index.nearest(*q, 15)
+            assert ids.tolist() == plain and np.allclose(near, cosines[plain])
