@@ -13,8 +13,8 @@ BANDS, ROWS = 12, 5
 BINS = BANDS * ROWS
 #: Bytes of text that a step of the arithmetic takes, so that its arrays stay in the processor's cache.
 STEP = 1 << 18
-#: Characters of a shingle, as UTF-16 units: four of them are one 64-bit integer, so that sets of shingles are exact.
-WIDTH = 4
+#: Characters of a shingle, as UTF-16 units. With five or fewer, unlike lines of one language share so many shingles that false candidates grow out of hand.
+WIDTH = 6
 _BLANK = np.zeros(1 << 16, bool)
 _BLANK[[0x20, 9, 11, 12, 13]] = True
 
@@ -59,26 +59,32 @@ def _hashed(batches):
             yield pa.RecordBatch.from_arrays([ids.take(take), marks.take(take), pa.array(number, pa.int32()), pa.array(h)], ["doc_id", "mark", "line", "h"])
 
 
-def packed_units(data: np.ndarray) -> np.ndarray:
-    """The WIDTH units from each place of an array on, as integers; places behind the end hold 0xFFFF, which is no character."""
-    return np.ndarray(len(data), "<u8", np.append(data, np.full(WIDTH, 0xFFFF, "<u2")), strides=(2,))
+def _fours(data: np.ndarray) -> np.ndarray:
+    """Four units from each place of an array on, as integers; a view."""
+    return np.ndarray(max(0, len(data) - 3), "<u8", data, strides=(2,))
 
 
-def _short(packed: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Shingles of lines shorter than one: what follows the line gives way to 0xFFFF."""
-    return packed | np.uint64(0xFFFFFFFFFFFFFFFF) << (length * 16).astype(np.uint64)
+def line_shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles of non-empty lines, one line after the other, and how many each has. A shorter line is filled up with 0xFFFF, which is no character, and is its own shingle."""
+    counts = np.maximum(ends - starts - WIDTH + 1, 1)
+    first = np.cumsum(counts) - counts
+    at = np.repeat(starts - first, counts) + np.arange(int(counts.sum()))
+    short = np.flatnonzero(ends - starts < WIDTH)
+    filled = data
+    if len(short):  # their units go behind the others, filled up
+        units = np.full((len(short), WIDTH), 0xFFFF, "<u2")
+        for k in range(WIDTH - 1):
+            some = np.flatnonzero(ends[short] - starts[short] > k)
+            units[some, k] = data[starts[short[some]] + k]
+        filled = np.concatenate([data, units.ravel()])
+        at[first[short]] = len(data) + np.arange(len(short)) * WIDTH
+    fours = _fours(filled)
+    return mix(mix(fours[at]) ^ fours[at + WIDTH - 4]), counts
 
 
 def signatures(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One-permutation minima of the lines' shingles, a row of BINS for each non-empty line: the hash of a shingle picks its bin and its rank there. An empty bin takes over the next full one, shifted by the distance. A line shorter than a shingle is its own shingle."""
-    counts = np.maximum(ends - starts - WIDTH + 1, 1)
-    total = int(counts.sum())
-    first = np.cumsum(counts) - counts
-    at = np.repeat(starts - first, counts) + np.arange(total)
-    packed = packed_units(data)[at]
-    short = np.flatnonzero(ends - starts < WIDTH)
-    packed[first[short]] = _short(packed[first[short]], (ends - starts)[short])
-    h = mix(packed)
+    h, counts = line_shingles(data, starts, ends)
     cell = np.repeat(np.arange(0, len(starts) * BINS, BINS), counts) + ((h >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).view(np.int64)
     out = np.full(len(starts) * BINS, 1 << 32, np.uint64)
     np.minimum.at(out, cell, h & np.uint64(0xFFFFFFFF))
@@ -162,10 +168,9 @@ def _texts(batches):
 
 
 def shingles(line: bytes) -> np.ndarray:
-    """Sorted distinct shingles of a line of UTF-8, exactly: four units are the integer itself."""
+    """Sorted distinct shingles of a line of UTF-8."""
     units = np.frombuffer(line.decode("utf-8", "replace").encode("utf-16-le"), "<u2")
-    packed = packed_units(units)
-    out = np.sort(packed[: len(units) - WIDTH + 1] if len(units) >= WIDTH else _short(packed[:1], np.array([len(units)])))
+    out = np.sort(line_shingles(units, np.array([0]), np.array([len(units)]))[0])
     first = np.ones(len(out), bool)
     np.not_equal(out[1:], out[:-1], out=first[1:])
     return out[first]
@@ -192,8 +197,8 @@ def _similar(percent: int):
 def line_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs`` with its columns, text without the lines that repeat an earlier one, and n_lines, n_kept; clashing columns of these two names are replaced.
 
-    Lines end at \\n. They are compared without blanks around them and with A-Z lower-cased, as sets of shingles of four
-    characters (UTF-16 units); a shorter line is its own shingle. Lines are linked if 100 * intersection >= percent * union;
+    Lines end at \\n. They are compared without blanks around them and with A-Z lower-cased, as sets of shingles of six
+    characters (UTF-16 units, by 64-bit hashes); a shorter line is its own shingle. Lines are linked if 100 * intersection >= percent * union;
     of each component the line with the least (doc_id, text hash, line number) stays. Blank lines always stay.
 
     Equal lines form one class (64-bit hash). Classes get one-permutation MinHash signatures in 12 bands of 5: at 0.85 a pair
