@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 HEADER = 5
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of ``value``, worked out once however often ``use`` names it: lambdas keep Spark from writing the value out at each place."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _number(data: Column, start, length: int) -> Column:
     return F.conv(F.hex(F.substring(data, start, length)), 16, 10).cast("long")
 
@@ -38,26 +43,33 @@ def build_frame(identifier: Column, body: Column) -> Column:
 
 def _varint(number: Column) -> Column:
     """Zig-zag variable-length bytes of a non-negative length below 2**27."""
-    z = F.shiftleft(number.cast("long"), 1)
-    byte = lambda shift, more: F.unhex(F.lpad(F.hex(F.shiftright(z, shift).bitwiseAND(F.lit(127)).bitwiseOR(F.lit(128 if more else 0))), 2, "0"))
-    out = F.concat(byte(0, True), byte(7, True), byte(14, True), byte(21, False))
-    for n, limit in ((3, 1 << 21), (2, 1 << 14), (1, 1 << 7)):
-        out = F.when(z < limit, F.concat(*[byte(7 * k, k < n - 1) for k in range(n)])).otherwise(out)
-    return out
+    byte = lambda z, shift, more: F.unhex(F.lpad(F.hex(F.shiftright(z, shift).bitwiseAND(F.lit(127)).bitwiseOR(F.lit(128 if more else 0))), 2, "0"))
+
+    def written(z: Column) -> Column:
+        out = F.concat(*[byte(z, 7 * k, k < 3) for k in range(4)])
+        for n in (3, 2, 1):
+            out = F.when(z < 1 << 7 * n, F.concat(*[byte(z, 7 * k, k < n - 1) for k in range(n)])).otherwise(out)
+        return out
+
+    return bound(F.shiftleft(number.cast("long"), 1), written)
 
 
 def _float_bytes(x: Column) -> Column:
     """Little-endian IEEE single of a float column, by arithmetic on sign, exponent and fraction."""
-    d = x.cast("float").cast("double")
-    size = F.abs(d)
-    exponent = F.when(size < 2.0**-126, -126.0).otherwise(F.floor(F.log2(F.greatest(size, F.lit(2.0**-126)))).cast("double"))
-    exponent = F.when(F.pow(F.lit(2.0), exponent) > size, F.greatest(exponent - 1, F.lit(-126.0))).when(F.pow(F.lit(2.0), exponent + 1) <= size, exponent + 1).otherwise(exponent)
-    units = size / F.pow(F.lit(2.0), exponent - 23)
-    bits = F.when(size < 2.0**-126, units).otherwise((exponent + 126) * 8388608.0 + units).cast("long")
-    bits = F.when(F.isnan(d), F.lit(0x7FC00000)).when(size == float("inf"), F.lit(0x7F800000)).otherwise(bits)
-    bits = bits + F.when(d < 0, F.lit(1 << 31)).otherwise(F.lit(0))
-    text = F.lpad(F.hex(bits), 8, "0")
-    return F.unhex(F.concat(*[F.substring(text, k, 2) for k in (7, 5, 3, 1)]))
+    two, least = F.lit(2.0), F.lit(-126.0)
+
+    def exponent(size: Column) -> Column:
+        near = F.greatest(F.floor(F.log2(F.greatest(size, F.lit(2.0**-126)))).cast("double"), least)  # the logarithm may be off by one
+        return bound(near, lambda e: F.when(F.pow(two, e) > size, F.greatest(e - 1, least)).when(F.pow(two, e + 1) <= size, e + 1).otherwise(e))
+
+    def bits(d: Column) -> Column:
+        size = F.abs(d)
+        units = bound(exponent(size), lambda e: F.when(size < 2.0**-126, size / F.pow(two, e - 23)).otherwise((e + 126) * 8388608.0 + size / F.pow(two, e - 23)))
+        whole = F.when(F.isnan(d), F.lit(0x7FC00000)).when(size == float("inf"), F.lit(0x7F800000)).otherwise(units.cast("long"))
+        return whole + F.when(d < 0, F.lit(1 << 31)).otherwise(F.lit(0))
+
+    text = bound(x.cast("float").cast("double"), lambda d: F.lpad(F.hex(bits(d)), 8, "0"))
+    return F.unhex(bound(text, lambda t: F.concat(*[F.substring(t, k, 2) for k in (7, 5, 3, 1)])))
 
 
 def encode_order(identifier: Column, order_id: Column, product: Column, price: Column) -> Column:
@@ -80,23 +92,25 @@ def _read_length(body: Column, at: Column) -> Column:
 def decode_orders(df: DataFrame, value: str = "value") -> DataFrame:
     """df with schema_id, order_id, product, price and error from framed records of the order schema.
 
-    error: no frame, or the bytes end early, go on after the record, or hold a bad length; the fields are null then. The places
-    are worked out column after column, so that no expression repeats another.
+    error: no frame, or the bytes end early, go on after the record, or hold a bad length; the fields are null then.
     """
-    v, body = F.col(value), F.col("__body")
-    rows = df.withColumn("schema_id", schema_id(v)).withColumn("__frame", frame_error(v)).withColumn("__body", payload(v))
-    rows = rows.withColumn("__a", _read_length(body, F.lit(1))).withColumn("__p", (F.col("__a.next") + F.col("__a.n")).cast("int"))
-    rows = rows.withColumn("__b", _read_length(body, F.col("__p"))).withColumn("__q", (F.col("__b.next") + F.col("__b.n")).cast("int"))
-    rows = rows.withColumn("__left", F.octet_length(body) - F.col("__q") + 1)
-    bits = F.col("__bits")
-    rows = rows.withColumn("__bits", F.conv(F.concat(*[F.hex(F.substring(body, F.col("__q") + k, 1)) for k in (3, 2, 1, 0)]), 16, 10).cast("long"))
+    v = F.col(value)
+
+    def fields(body: Column, a: Column, b: Column) -> Column:
+        text = lambda x: F.substring(body, x["next"], x["n"].cast("int"))
+        after = b["next"] + b["n"].cast("int")
+        number = F.conv(F.concat(*[F.hex(F.substring(body, after + k, 1)) for k in (3, 2, 1, 0)]), 16, 10).cast("long")
+        return F.struct(text(a).alias("o"), text(b).alias("p"), number.alias("bits"), (F.octet_length(body) - after + 1).alias("left"))
+
+    second = lambda body, a: bound(_read_length(body, (a["next"] + a["n"]).cast("int")), lambda b: fields(body, a, b))
+    read = bound(payload(v), lambda body: bound(_read_length(body, F.lit(1)), lambda a: second(body, a)))
+    rows = df.withColumn("schema_id", schema_id(v)).withColumn("__frame", frame_error(v)).withColumn("__d", read)
+    bits, left = F.col("__d.bits"), F.col("__d.left")
     exponent, fraction = F.shiftright(bits, 23).bitwiseAND(F.lit(255)), bits.bitwiseAND(F.lit(8388607))
     sign = F.when(bits >= 1 << 31, -1.0).otherwise(1.0)
     number = F.when(exponent == 255, F.when(fraction == 0, sign * float("inf")).otherwise(float("nan"))).when(exponent == 0, sign * fraction * 2.0**-149).otherwise(sign * (1 + fraction / 8388608.0) * F.pow(F.lit(2.0), exponent - 127))
-    left = F.col("__left")
     error = F.when(F.col("__frame").isNotNull(), F.col("__frame")).when(left.isNull() | (left < 4), "payload ends before the record does").when(left > 4, "bytes follow the record")
     rows = rows.withColumn("error", error)
-    ok = F.col("error").isNull()
-    part = lambda x: F.when(ok, F.make_valid_utf8(F.substring(body, F.col(f"{x}.next"), F.col(f"{x}.n").cast("int")).cast("string")))
-    rows = rows.withColumn("order_id", part("__a")).withColumn("product", part("__b")).withColumn("price", F.when(ok, number.cast("float")))
-    return rows.drop("__frame", "__body", "__a", "__p", "__b", "__q", "__left", "__bits")
+    when = lambda x: F.when(F.col("error").isNull(), x)
+    rows = rows.withColumns({"order_id": when(F.make_valid_utf8(F.col("__d.o").cast("string"))), "product": when(F.make_valid_utf8(F.col("__d.p").cast("string"))), "price": when(number.cast("float"))})
+    return rows.drop("__frame", "__d")

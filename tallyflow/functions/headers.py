@@ -20,6 +20,11 @@ def encode_headers(values: dict[str, Column]) -> Column:
     return F.filter(F.array(*[one(n, c) for n, c in values.items()]), lambda h: h["value"].isNotNull()).cast(HEADER_TYPE)
 
 
+def producer_headers(version: str) -> Column:
+    """The headers of a produced record: a new correlation id and the version."""
+    return encode_headers({CORRELATION_ID: F.uuid(), APP_VERSION: F.lit(version)})
+
+
 def merge_headers(old: Column, new: Column) -> Column:
     """``old`` without null values and without the names in ``new``, then ``new``."""
     names = F.transform(new, lambda h: h["key"])

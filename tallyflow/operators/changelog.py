@@ -24,10 +24,10 @@ def restore_partitions(current: DataFrame, restored: DataFrame, partitions) -> D
     return drop_partitions(current, partitions).unionByName(restored.where(F.col("partition").isin(*partitions)))
 
 
-def encode(entries: DataFrame) -> DataFrame:
-    """(key, value) from product, partition, last_offset and the state columns."""
+def encode(entries: DataFrame, *kept: str) -> DataFrame:
+    """(key, value) from product, partition, last_offset and the state columns, with the ``kept`` columns before them."""
     state = F.struct("count", "mean", "m2", "min", "max", F.unix_millis("last_updated").alias("lastUpdated"))
-    return entries.select(F.col("product").cast("binary").alias("key"), F.to_json(F.struct(F.lit(1).alias("v"), "product", "partition", F.col("last_offset").cast("string").alias("lastOffset"), state.alias("state"))).cast("binary").alias("value"))
+    return entries.select(*kept, F.col("product").cast("binary").alias("key"), F.to_json(F.struct(F.lit(1).alias("v"), "product", "partition", F.col("last_offset").cast("string").alias("lastOffset"), state.alias("state"))).cast("binary").alias("value"))
 
 
 def decode(rows: DataFrame) -> DataFrame:
@@ -37,3 +37,33 @@ def decode(rows: DataFrame) -> DataFrame:
     finite = lambda c: f"entry.state.{c} is not null and not isnan(entry.state.{c}) and abs(entry.state.{c}) < double('infinity')"
     test = " and ".join(["entry.v = 1", "entry.product != ''", "entry.partition >= 0", "try_cast(entry.lastOffset as bigint) is not null", "entry.state.count > 0", "entry.state.m2 >= 0", "entry.state.lastUpdated >= 0", *map(finite, ("mean", "m2", "min", "max"))])
     return rows.withColumn("valid", F.coalesce(F.expr(test), F.lit(False)))
+
+
+def entries(rows: DataFrame) -> DataFrame:
+    """product, partition, last_offset and the state columns of decoded, valid changelog rows, with the place of each in the log."""
+    e = "entry."
+    state = [F.col(f"{e}state.{c}").alias(c) for c in ("count", "mean", "m2", "min", "max")]
+    return rows.where("valid").select(F.col(f"{e}product").alias("product"), F.col(f"{e}partition").alias("partition"), F.col(f"{e}lastOffset").cast("long").alias("last_offset"), *state, F.timestamp_millis(f"{e}state.lastUpdated").alias("last_updated"), F.col("timestamp").alias("log_timestamp"), F.col("partition").alias("log_partition"), F.col("offset").alias("log_offset"))
+
+
+def restore(log: DataFrame, partitions=None) -> DataFrame:
+    """The state of each product after a scan of the changelog (log records): bad and null values are skipped, entries of other ``partitions`` go first, then the last of each product stands."""
+    return latest(entries(decode(log)), "product", ["log_timestamp", "log_partition", "log_offset"], partitions)
+
+
+def skipped(log: DataFrame) -> DataFrame:
+    """One row: how many values of the changelog are null (empty) and how many do not decode (bad)."""
+    bad = decode(log).where("not valid").agg(F.count("*").alias("bad"))
+    return log.agg(F.count(F.when(F.col("value").isNull(), 1)).alias("empty")).join(F.broadcast(bad))  # both are one row
+
+
+def compact(log: DataFrame) -> DataFrame:
+    """The last record of each key, as a compacted topic keeps them; records without key stay."""
+    names = log.columns
+    keyed = log.where("key is not null").groupBy("key").agg(F.max_by(F.struct(*names), F.struct("timestamp", "partition", "offset")).alias("r")).select("r.*")
+    return keyed.select(*names).unionByName(log.where("key is null"))
+
+
+def dropped_count(current: DataFrame, partitions) -> DataFrame:
+    """One row: how many entries ``drop_partitions`` takes away."""
+    return current.agg(F.count(F.when(F.col("partition").isin(*partitions), 1)).alias("dropped"))

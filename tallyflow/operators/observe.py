@@ -19,10 +19,15 @@ def histogram(df: DataFrame, label: str, value: str, bounds) -> DataFrame:
 
 
 def throughput(df: DataFrame, key: str, at: str, seconds: int = 10) -> DataFrame:
-    """df with the records of its key in the closed last ``seconds`` a second, two decimals."""
-    micros = F.unix_micros(F.col(at).cast("timestamp"))
-    w = Window.partitionBy(key).orderBy(micros).rangeBetween(-seconds * 1_000_000, 0)
-    return df.withColumn("per_second", F.round(F.count("*").over(w) / seconds, 2))
+    """df with the records of its key in the closed last ``seconds`` a second, two decimals.
+
+    A key's records are cut into spans of time, and each span also gets those of the span before, so that a hot key is spread over tasks.
+    """
+    micros, span = F.unix_micros(F.col(at).cast("timestamp")), max(seconds, 600) * 1_000_000
+    own = F.floor(micros / span).cast("long")
+    rows = df.select("*", micros.alias("__at"), own.alias("__own"), F.explode(F.array(own, own + 1)).alias("__span"))
+    w = Window.partitionBy(key, "__span").orderBy("__at").rangeBetween(-seconds * 1_000_000, 0)
+    return rows.withColumn("per_second", F.round(F.count("*").over(w) / seconds, 2)).where("__own = __span").drop("__at", "__own", "__span")
 
 
 def depth(log: DataFrame) -> DataFrame:
@@ -31,6 +36,38 @@ def depth(log: DataFrame) -> DataFrame:
     return parts.groupBy("topic").agg(F.sum("depth").alias("depth"))
 
 
-def lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
-    """partition, end, committed and lag; without a commit the lag is null."""
-    return ends.join(committed, "partition", "left").select("partition", "end", "committed", F.when(F.col("committed").isNotNull(), F.greatest(F.lit(0), F.col("end") - F.col("committed"))).alias("lag"))
+def lag(ends: DataFrame, committed: DataFrame, owned=()) -> DataFrame:
+    """partition, end, committed, lag and owned, by partition; without a commit the lag is null."""
+    known = F.when(F.col("committed").isNotNull(), F.greatest(F.lit(0), F.col("end") - F.col("committed")))
+    return ends.join(committed, "partition", "left").select("partition", "end", "committed", known.alias("lag"), F.col("partition").isin(*owned).alias("owned")).orderBy("partition")
+
+
+def total_lag(lags: DataFrame) -> DataFrame:
+    """One row: the sum of the known lags; null where none is known."""
+    return lags.agg(F.sum("lag").alias("total"))
+
+
+def counter(rows: DataFrame, label: str, domain=()) -> DataFrame:
+    """label and n: rows of each value, zeros for the values of ``domain`` that do not occur."""
+    counts = rows.groupBy(label).agg(F.count("*").alias("n"))
+    if not domain:
+        return counts
+    every = rows.sparkSession.createDataFrame([(x,) for x in domain], f"{label} string")
+    return every.join(counts, label, "full").select(label, F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
+def forwarded_by_tier(forwarded: DataFrame, tiers: DataFrame, topic: str = "retry_topic") -> DataFrame:
+    """tier and n of forwarded records: the label of the topic where they waited, or that topic's name where no tier has it."""
+    known = F.broadcast(tiers.select(F.col("tier_topic").alias(topic), "label"))  # a row for each tier
+    return counter(forwarded.join(known, topic, "left").withColumn("tier", F.coalesce("label", topic)), "tier")
+
+
+def held_partitions(gated: DataFrame, partition: list[str]) -> DataFrame:
+    """One row from records with due: how many partitions are held (paused), and how many records wait in them."""
+    held = gated.where("not due").groupBy(*partition).agg(F.count("*").alias("n"))
+    return held.agg(F.count("*").alias("partitions"), F.coalesce(F.sum("n"), F.lit(0)).alias("records"))
+
+
+def batch_counts(runs: DataFrame) -> DataFrame:
+    """One row of a table of batches (handled, committed: boolean): records handled, records of committed batches, failed batches."""
+    return runs.agg(F.coalesce(F.sum("handled"), F.lit(0)).alias("handled"), F.coalesce(F.sum(F.when(F.col("committed"), F.col("handled"))), F.lit(0)).alias("committed"), F.count(F.when(~F.col("committed"), 1)).alias("failed"))

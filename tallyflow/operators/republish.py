@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.functions.frame import decode_orders, frame_error
+from tallyflow.functions.frame import bound, decode_orders, frame_error
 from tallyflow.functions.headers import FIRST_FAILED_AT, LAST_FAILED_AT, ORIGINAL_OFFSET, ORIGINAL_PARTITION, ORIGINAL_TIMESTAMP, ORIGINAL_TOPIC, RETRY_ATTEMPT, RETRY_NOT_BEFORE, encode_headers, header_names, merge_headers, retry_metadata
 from tallyflow.operators.routing import due, jittered_delay
 
 
 def retry_headers(headers: Column, source: dict[str, Column], attempt: Column, not_before: Column, failed_at: Column) -> Column:
     """The record's headers with those of its next try. Where it first came from and first failed stays as the first hop wrote it."""
-    old = retry_metadata(headers)
     places = {ORIGINAL_TOPIC: "topic", ORIGINAL_PARTITION: "partition", ORIGINAL_OFFSET: "offset", ORIGINAL_TIMESTAMP: "timestamp"}
-    origin = {name: F.coalesce(old[f"original_{c}"].cast("string"), source[c].cast("string")) for name, c in places.items()}
-    new = {RETRY_ATTEMPT: attempt, RETRY_NOT_BEFORE: not_before, FIRST_FAILED_AT: F.coalesce(old["first_failed_at"], failed_at), LAST_FAILED_AT: failed_at}
-    return merge_headers(headers, encode_headers(new | origin))
+
+    def updated(h: Column) -> Column:
+        old = retry_metadata(h)
+        origin = {name: F.coalesce(old[f"original_{c}"].cast("string"), source[c].cast("string")) for name, c in places.items()}
+        new = {RETRY_ATTEMPT: attempt, RETRY_NOT_BEFORE: not_before, FIRST_FAILED_AT: F.coalesce(old["first_failed_at"], failed_at), LAST_FAILED_AT: failed_at}
+        return bound(encode_headers(new | origin), lambda made: merge_headers(h, made))
+
+    return bound(headers, updated)
 
 
 def escalate(routed: DataFrame, now_ms: Column, failed_at: Column, prefix: str = "orders") -> DataFrame:

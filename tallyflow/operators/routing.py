@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Connection errors and statuses that pass by themselves.
+#: The marker product of transient failures; connection errors and statuses that pass by themselves.
+MARKER = "__TRANSIENT_FAIL__"
 TRANSIENT_CODES = ("ECONNRESET", "ECONNREFUSED", "ECONNABORTED", "ETIMEDOUT", "EPIPE", "EAI_AGAIN", "ENOTFOUND", "EHOSTUNREACH", "ENETUNREACH", "UND_ERR_CONNECT_TIMEOUT", "UND_ERR_HEADERS_TIMEOUT", "UND_ERR_SOCKET")
 TRANSIENT_STATUSES = (408, 425, 429, 500, 502, 503, 504)
 #: The messages of the order rules.
@@ -26,6 +27,16 @@ def violations(order_id: Column, product: Column, price: Column) -> Column:
     return F.array_join(F.array_compact(found), "; ")
 
 
+def is_order(order_id: Column, product: Column, price: Column) -> Column:
+    """Whether an order breaks no rule."""
+    return violations(order_id, product, price) == ""
+
+
+def marker_fails(product: Column, delivery: Column, succeed_after: int, marker: str = MARKER) -> Column:
+    """Whether a record simulates an outage: the marker product fails until delivery ``succeed_after``."""
+    return F.coalesce((product == marker) & (delivery < succeed_after), F.lit(False))
+
+
 def classify(kind: Column, reason: Column, code: Column, status: Column, status_code: Column, retriable: Column, message: Column) -> Column:
     """Struct (kind, reason, message): the first rule that speaks decides; what none knows is permanent."""
     text, http = F.coalesce(message, F.lit("")), F.coalesce(status, status_code)
@@ -68,10 +79,18 @@ def tally(outcomes: DataFrame) -> DataFrame:
     return domain.join(outcomes.groupBy("outcome").agg(F.count("*").alias("n")), "outcome", "left").select("outcome", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def due(records: DataFrame, now_ms, partition: list[str], order: str = "offset", not_before: str = "not_before") -> DataFrame:
-    """records with due: whether the record and all before it in its partition may go on; a missing time is due."""
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return records.withColumn("due", F.max(F.coalesce(not_before, F.lit(0))).over(w) <= now_ms)
+def due(records: DataFrame, now_ms, partition: list[str], order: str = "offset", not_before: str = "not_before", chunk: int = 100_000) -> DataFrame:
+    """records with due: whether the record and all before it in its partition may go on; a missing time is due.
+
+    Partitions are cut into ranges of ``chunk`` offsets: running maxima within a range, and those of the ranges before.
+    """
+    time = F.coalesce(not_before, F.lit(0)).cast("long")
+    rows = records.withColumn("__range", F.floor(F.col(order) / chunk))
+    earlier = Window.partitionBy(*partition).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy(*partition, "__range").agg(F.max(time).alias("__max")).withColumn("__max", F.max("__max").over(earlier))
+    w = Window.partitionBy(*partition, "__range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("__own", F.max(time).over(w)).join(before, [*partition, "__range"])
+    return rows.select(*records.columns, (F.greatest("__own", "__max") <= now_ms).alias("due"))
 
 
 def jittered_delay(attempt: Column, base_ms: int, cap_ms: int, draw: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyflow.functions import frame, headers
 from tallyflow.operators import changelog, dlq, observe, republish, routing, stats
-from tallyflow.sources.log import tier_table
+from tallyflow.sources.log import tier_table, with_offsets
 from tallyflow.sources.synth import inject_faults
 
 
@@ -18,43 +18,47 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 def _log(spark: SparkSession, d: str) -> DataFrame:
     """events as a log: partition by user, offset in the partition."""
     e = _t(spark, d, "events").withColumn("partition", (F.col("user_id") % 3).cast("int"))
-    w = Window.partitionBy("partition").orderBy("ts", "event_id")
+    e = with_offsets(e, "partition", ["ts", "event_id"], F.date_trunc("hour", "ts"))
     k = F.get_json_object("props", "$.k").cast("int")
-    return e.select(F.lit("orders").alias("topic"), "partition", (F.row_number().over(w) - 1).cast("long").alias("offset"), "ts", "event_id", "event_type", "value", k.alias("k"))
+    return e.select(F.lit("orders").alias("topic"), "partition", "offset", "ts", "event_id", "event_type", "value", k.alias("k"))
 
 
 _LOG = "(SELECT 'orders' AS topic, CAST(user_id % 3 AS INT) AS partition, row_number() OVER (PARTITION BY user_id % 3 ORDER BY ts, event_id) - 1 AS \"offset\", ts, event_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events) AS log"
-_ROUND = {"count": "count", "mean": "round(mean + 1e-9, 4)", "m2": "round(m2, 0)", "min": "min", "max": "max", "variance": "round(variance, 2)", "stddev": "round(stddev, 4)", "last_updated": "last_updated"}
+#: Digits after the point: of figures over few values, which are fractions with few of them, and over many.
+FEW = {"mean": 6, "m2": 6, "variance": 6, "stddev": 6}
+MANY = {"mean": 7, "m2": 2, "variance": 5, "stddev": 5}
 
 
-def _rounded(df: DataFrame, *keys: str) -> DataFrame:
-    return df.select(*keys, *[F.expr(e).alias(c) for c, e in _ROUND.items() if c in df.columns])
+def _rounded(df: DataFrame, digits: dict[str, int], *keys: str) -> DataFrame:
+    names = [c for c in ("count", "mean", "m2", "min", "max", "variance", "stddev", "last_updated") if c in df.columns]
+    return df.select(*keys, *[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in names])
 
 
-def _sql(value: str, at: str, m2: bool = True) -> str:
-    v = f"CAST({value} AS DOUBLE)"
-    return f"count({v}) AS count, round(coalesce(avg({v}), 0) + 1e-9, 4) AS mean, " + (f"round(coalesce(var_pop({v}) * count({v}), 0), 0) AS m2, " if m2 else "") + f"min({v}) AS min, max({v}) AS max, round(var_samp({v}), 2) AS variance, round(stddev_samp({v}), 4) AS stddev, max({at}) AS last_updated"
+def _sql(value: str, at: str, digits: dict[str, int], spread: bool = True) -> str:
+    v, d = f"CAST({value} AS DOUBLE)", digits
+    more = f", round(var_samp({v}), {d['variance']}) AS variance, round(stddev_samp({v}), {d['stddev']}) AS stddev" if spread else ""
+    return f"count({v}) AS count, round(coalesce(avg({v}), 0), {d['mean']}) AS mean, round(coalesce(var_pop({v}) * count({v}), 0), {d['m2']}) AS m2, min({v}) AS min, max({v}) AS max{more}, max({at}) AS last_updated"
 
 
 def running_stats_by_key(spark, d):
-    return _rounded(stats.fold(_t(spark, d, "lineitem"), "l_partkey", "l_quantity", "l_shipdate"), "l_partkey")
+    return _rounded(stats.fold(_t(spark, d, "lineitem"), "l_partkey", "l_quantity", "l_shipdate"), FEW, "l_partkey")
 
 
 def global_stats(spark, d):
-    return _rounded(stats.overall(_t(spark, d, "events"), "value", "ts"))
+    return _rounded(stats.overall(_t(spark, d, "events"), "value", "ts"), MANY)
 
 
 def snapshot(spark, d):
-    return _rounded(stats.snapshot(_t(spark, d, "events"), "event_type", "value", "ts"), "key")
+    return _rounded(stats.snapshot(_t(spark, d, "events"), "event_type", "value", "ts"), MANY, "key")
 
 
 def stats_merge_from_partials(spark, d):
     parts = stats.fold(_t(spark, d, "events").withColumn("part", F.struct("event_type", "user_id")), "part", "value", "ts")
-    return _rounded(stats.merge_states(parts.withColumn("event_type", F.col("part.event_type")), "event_type"), "event_type")
+    return _rounded(stats.merge_states(parts.withColumn("event_type", F.col("part.event_type")), "event_type"), MANY, "event_type")
 
 
 def running_state_history(spark, d):
-    rows = stats.history(_log(spark, d), "event_type", "value", "ts", ["ts", "event_id"])
+    rows = stats.history(_log(spark, d), "event_type", "value", "ts", ["ts", "event_id"], F.date_trunc("day", "ts"))
     return rows.select("event_id", "event_type", "count", F.round(F.col("mean") + 1e-9, 4).alias("mean"), F.round("variance", 2).alias("variance"), "min", "max", "last_updated")
 
 
@@ -144,7 +148,7 @@ def topic_depth(spark, d):
 def partition_lag(spark, d):
     log = _log(spark, d)
     ends = log.groupBy("partition").agg((F.max("offset") + 1).alias("end"))
-    return observe.lag(ends, log.where("partition < 2 and k < 50").groupBy("partition").agg((F.max("offset") + 1).alias("committed")))
+    return observe.lag(ends, log.where("partition < 2 and k < 50").groupBy("partition").agg((F.max("offset") + 1).alias("committed")), [0, 2])
 
 
 def truncate_utf8(spark, d):
@@ -222,10 +226,10 @@ ORACLE = {
     "dead_letter_headers": f"""SELECT event_id, CAST(15 AS BIGINT) AS n, true AS stack_cut, CASE WHEN k % 2 = 0 THEN '9' ELSE CAST(partition AS VARCHAR) END AS origin, CAST("offset" AS VARCHAR) AS at, event_type AS key, error_type,
  CASE WHEN error_type = 'permanent' THEN 'validation: bad' ELSE 'bad' END AS message, CAST(k % 5 AS VARCHAR) AS attempt, CASE WHEN k % 2 = 0 THEN '2024-01-01T00:00:00.000Z' ELSE '2025-01-01T00:00:00.000Z' END AS first_failed_at,
  '2025-01-01T00:00:00.000Z' AS last_failed_at, CASE WHEN k % 4 = 0 THEN CAST(k AS VARCHAR) ELSE '' END AS correlation_id FROM {_ROUTED} WHERE outcome = 'dead-lettered'""",
-    "running_stats_by_key": f"SELECT l_partkey, {_sql('l_quantity', 'l_shipdate')} FROM lineitem GROUP BY l_partkey",
-    "global_stats": f"SELECT {_sql('value', 'ts')} FROM events",
-    "snapshot": f"SELECT event_type AS key, {_sql('value', 'ts')} FROM events GROUP BY GROUPING SETS ((event_type), ())",
-    "stats_merge_from_partials": "SELECT event_type, count(value) AS count, round(avg(value) + 1e-9, 4) AS mean, round(var_pop(value) * count(value), 0) AS m2, min(value) AS min, max(value) AS max, max(ts) AS last_updated FROM events GROUP BY event_type",
+    "running_stats_by_key": f"SELECT l_partkey, {_sql('l_quantity', 'l_shipdate', FEW)} FROM lineitem GROUP BY l_partkey",
+    "global_stats": f"SELECT {_sql('value', 'ts', MANY)} FROM events",
+    "snapshot": f"SELECT event_type AS key, {_sql('value', 'ts', MANY)} FROM events GROUP BY GROUPING SETS ((event_type), ())",
+    "stats_merge_from_partials": f"SELECT event_type, {_sql('value', 'ts', MANY, False)} FROM events GROUP BY event_type",
     "running_state_history": "SELECT event_id, event_type, count(value) OVER w AS count, round(avg(value) OVER w + 1e-9, 4) AS mean, round(var_samp(value) OVER w, 2) AS variance, min(value) OVER w AS min, max(value) OVER w AS max, max(ts) OVER w AS last_updated FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)",
     "latest_state_per_key": f"SELECT k, partition, \"offset\", event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC, partition DESC, \"offset\" DESC) AS r FROM {_LOG} WHERE partition IN (0, 2)) WHERE r = 1",
     "restore_partitions": f"SELECT event_id, partition, round(value, 4) AS value FROM {_LOG} WHERE partition NOT IN (0, 1) UNION ALL SELECT event_id, partition, round(value + 1, 4) FROM {_LOG} WHERE k < 50 AND partition IN (0, 1)",
@@ -242,7 +246,7 @@ ORACLE = {
     "throughput": "SELECT event_id, round(count(*) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 86400 SECONDS PRECEDING AND CURRENT ROW) / 86400.0, 2) AS per_second FROM events",
     "throughput_10s": "SELECT event_id, round(count(*) OVER (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 10 SECONDS PRECEDING AND CURRENT ROW) / 10.0, 2) AS per_second FROM events",
     "topic_depth": f"SELECT topic, CAST(count(*) AS BIGINT) AS depth FROM {_LOG} GROUP BY topic",
-    "partition_lag": f"SELECT a.partition, a.\"end\", b.committed, greatest(0, a.\"end\" - b.committed) + b.committed - b.committed AS lag FROM (SELECT partition, max(\"offset\") + 1 AS \"end\" FROM {_LOG} GROUP BY 1) a LEFT JOIN (SELECT partition, max(\"offset\") + 1 AS committed FROM {_LOG} WHERE partition < 2 AND k < 50 GROUP BY 1) b ON a.partition = b.partition",
+    "partition_lag": f"SELECT a.partition, a.\"end\", b.committed, CASE WHEN b.committed IS NOT NULL THEN greatest(0, a.\"end\" - b.committed) END AS lag, a.partition IN (0, 2) AS owned FROM (SELECT partition, max(\"offset\") + 1 AS \"end\" FROM {_LOG} GROUP BY 1) a LEFT JOIN (SELECT partition, max(\"offset\") + 1 AS committed FROM {_LOG} WHERE partition < 2 AND k < 50 GROUP BY 1) b ON a.partition = b.partition",
     "frame_decode": "SELECT CAST(7 AS INT) AS schema_id, concat('Item', l_suppkey) AS product, count(*) AS n, CAST(0 AS BIGINT) AS errors, round(sum(CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE)), 0) AS price, sum(l_orderkey * 8 + l_linenumber) AS ids FROM lineitem GROUP BY l_suppkey",
     "replay_headers": f"SELECT event_id, 'x-correlation-id,x-replay-count,x-replayed-at,x-replayed-from-dlq-offset' AS names, CAST(CASE WHEN k > 50 THEN k + 1 ELSE 1 END AS BIGINT) AS replays, CAST(event_id AS VARCHAR) AS correlation_id FROM {_LOG}",
     "retry_republish": f"""SELECT event_id, concat('orders.retry.', CASE k % 5 WHEN 0 THEN '5s' WHEN 1 THEN '30s' ELSE '5m' END) AS topic, CAST(9 AS BIGINT) AS n, CAST(k % 5 + 1 AS BIGINT) AS attempt, CAST(1000 + CASE k % 5 WHEN 0 THEN 5000 WHEN 1 THEN 30000 ELSE 300000 END AS BIGINT) AS not_before,
@@ -250,6 +254,9 @@ ORACLE = {
     "forward_due": f"SELECT event_id, 'orders' AS topic, 'orders.retry.5s' AS retry_topic, partition, \"offset\" FROM (SELECT *, max(CASE WHEN k >= 99 THEN \"offset\" + 900 ELSE 0 END) OVER (PARTITION BY partition ORDER BY \"offset\" ROWS UNBOUNDED PRECEDING) AS m FROM {_LOG} WHERE k >= 30) WHERE m <= 1000",
     "retry_plan": f"SELECT event_id, CAST(CASE WHEN k % 5 = 0 THEN 1 WHEN k % 5 = 1 OR k % 4 >= 2 THEN 2 ELSE 3 END AS INT) AS attempts, CAST(CASE attempts WHEN 1 THEN 0 WHEN 2 THEN k % 4 * 25 ELSE k % 4 * 75 END AS BIGINT) AS elapsed_ms, attempts > k % 5 AS succeeded FROM {_LOG}",
     "decode_report": "SELECT doc_id, CASE WHEN text IS NULL THEN 'payload is null' WHEN strlen(text) < 5 THEN concat('payload is ', strlen(text), ' bytes; Confluent framing requires at least 5') ELSE concat('expected magic byte 0x00, found 0x', lower(hex(encode(text))[1:2])) END AS frame_error, lower(hex(encode(text))[1:128]) AS hex, CASE WHEN source IS NULL THEN 'a' ELSE 'a,b' END AS names, true AS undecoded FROM documents",
+    "truncate_utf8": f"SELECT doc_id, strlen(s) AS bytes, md5(s) AS digest FROM (SELECT doc_id, CASE WHEN strlen(text) > 1024 THEN concat(coalesce({', '.join(f'try(decode(encode(text)[1:{n}]))' for n in (1010, 1009, 1008, 1007))}), '{dlq.CUT}') ELSE text END AS s FROM documents)",
+    "fault_mix": """SELECT fault, CASE WHEN fault = 'poison' THEN ['json', 'unknown-schema', 'truncated'][(turn - 1) % 3 + 1] END AS flavour, count(*) AS n, CAST(count(*) FILTER (fault = 'poison' AND (turn - 1) % 3 = 0) AS BIGINT) AS no_frame FROM
+ (SELECT fault, row_number() OVER (PARTITION BY fault ORDER BY id) AS turn FROM (SELECT l_orderkey * 8 + l_linenumber AS id, CASE WHEN id % 100 < 5 THEN 'poison' WHEN id % 100 < 20 THEN 'transient' ELSE 'valid' END AS fault FROM lineitem)) GROUP BY 1, 2""",
     "conform_schema": "SELECT c_custkey, c_name, 'none' AS region FROM customer",
 }
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,11 +50,13 @@ def read_log(spark: SparkSession, path: str | None = None, topics: Sequence[str]
 
 
 def read_log_stream(spark: SparkSession, path: str | None = None, topics: Sequence[str] = (), kafka: dict | None = None, starting: str = "earliest", max_files: int | None = None) -> DataFrame:
-    """The topics as one stream. ``starting`` (earliest or latest) counts only before a checkpoint exists. For files, latest means what arrives after the start is for the caller's path filter."""
+    """The topics as one stream. ``starting`` (earliest or latest) counts only before a checkpoint exists; for files, latest leaves out those that are older than the start."""
     if kafka is not None:
         reader = spark.readStream.format("kafka").options(**kafka).option("subscribe", ",".join(topics)).option("includeHeaders", "true")
         return _kafka_columns(reader.option("startingOffsets", starting).load())
     reader = spark.readStream.schema(LOG)
+    if starting == "latest":
+        reader = reader.option("modifiedAfter", datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
     df = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
     return df.where(F.col("topic").isin(*topics)) if topics else df
 
@@ -69,3 +72,16 @@ def write_log(df: DataFrame, path: str | None = None, kafka: dict | None = None,
 def read_dead_letters(spark: SparkSession, path: str, topic: str = "orders.dlq") -> DataFrame:
     """The dead letters, oldest first by partition and offset."""
     return read_log(spark, path, [topic]).orderBy("partition", "offset")
+
+
+def with_offsets(records: DataFrame, partition: str, order: list[str], span: Column) -> DataFrame:
+    """records with offset, from 0 in each partition in the given order.
+
+    ``span``, a column that never falls along the order, cuts the partitions: rows are counted by span, numbered within it, and
+    shifted by the counts before, so that no task orders a whole partition.
+    """
+    rows = records.withColumn("__span", span)
+    earlier = Window.partitionBy(partition).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = rows.groupBy(partition, "__span").agg(F.count("*").alias("n")).select(partition, "__span", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__ahead"))
+    within = F.row_number().over(Window.partitionBy(partition, "__span").orderBy(*order)) - 1
+    return rows.withColumn("__within", within).join(ahead, [partition, "__span"]).select(*records.columns, (F.col("__ahead") + F.col("__within")).cast("long").alias("offset"))

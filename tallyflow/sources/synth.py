@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyflow.functions.frame import encode_order
+from tallyflow.operators.routing import MARKER
 
-#: The marker product of transient failures, and the poison payloads.
-MARKER = "__TRANSIENT_FAIL__"
+#: The poison payloads.
 POISON_JSON = '{"orderId":"9999","product":"Item1","price":42,"note":"not avro"}'
 UNKNOWN_SCHEMA_ID = 999999
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
-from tallyflow.operators.routing import route
-from tallyflow.operators.stats import fold
+from tallyflow.operators.routing import due, route
+from tallyflow.operators.stats import fold, merge_states
 
 
 def stats_stream(stream: DataFrame, key: str, value: str, at: str, table: str, checkpoint: str):
@@ -37,3 +38,102 @@ def router_stream(stream: DataFrame, handler: Callable[[DataFrame], DataFrame],
         route(handler(batch), tiers).write.mode("overwrite").partitionBy("outcome").parquet(f"{table}/batch_id={number}")
 
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
+def snapshot_stream(stream: DataFrame, key: str, value: str, at: str, table: str, checkpoint: str, every: str | None = None):
+    """Starts the query: each batch writes the whole snapshot (all keys, then the overall row) under table/batch_id=n; readers take the newest. ``every``: the least time between snapshots; without it what is there is read and the query ends.
+
+    The stream keeps the keys' states; the overall row is merged from them in the batch.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.select(F.col(key).cast("string").alias("key"), "count", "mean", "m2", "min", "max", "last_updated")
+        rows.unionByName(merge_states(rows).withColumn("key", F.lit(None).cast("string"))).write.mode("overwrite").parquet(f"{table}/batch_id={number}")
+
+    query = fold(stream, key, value, at).writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+    return (query.trigger(processingTime=every) if every else query.trigger(availableNow=True)).foreachBatch(write).start()
+
+
+def newest_batch(rows: DataFrame) -> DataFrame:
+    """The rows of the newest batch of a table of batches."""
+    last = rows.agg(F.max("batch_id").alias("batch_id"))  # one row
+    return rows.join(F.broadcast(last), "batch_id", "left_semi").drop("batch_id")
+
+
+def gate(waiting: DataFrame, now_ms: int, topic: str = "orders") -> tuple[DataFrame, DataFrame]:
+    """(forwarded, pending) of the records that wait in retry topics: a record is due only if all before it in its partition are. Forwarded ones are addressed to ``topic``, with retry_topic for where they waited and outcome."""
+    gated = due(waiting, now_ms, ["topic", "partition"])
+    forwarded = gated.where("due").drop("due").withColumnRenamed("topic", "retry_topic").withColumns({"topic": F.lit(topic), "outcome": F.lit("forwarded")})
+    return forwarded, gated.where("not due").drop("due")
+
+
+def delay_stream(stream: DataFrame, table: str, checkpoint: str, now_ms: Callable[[], int]):
+    """Starts the delay queue of the retry topics (records with not_before, in milliseconds).
+
+    A batch joins its records with those that wait from the batch before, writes what is due under table/forwarded/batch_id=n
+    and what is not under table/pending/batch_id=n. A repeated batch overwrites both. Between batches ``release`` does the same
+    for what has become due since.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        _step(batch if number == 0 else batch.unionByName(spark.read.schema(batch.schema).parquet(f"{table}/pending/batch_id={number - 1}")), table, number, now_ms())
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
+def _step(waiting: DataFrame, table: str, number: int | str, now_ms: int) -> None:
+    forwarded, pending = gate(waiting, now_ms)
+    forwarded.write.mode("overwrite").parquet(f"{table}/forwarded/batch_id={number}")
+    pending.write.mode("overwrite").parquet(f"{table}/pending/batch_id={number}")
+
+
+def release(pending: DataFrame, forwarded: DataFrame, now_ms: int) -> DataFrame:
+    """What has become due of the newest batch's ``pending`` records and is not ``forwarded`` yet."""
+    place = ["partition", "offset"]
+    sent = forwarded.select(F.col("retry_topic").alias("topic"), *place)
+    return gate(pending.join(sent, ["topic", *place], "left_anti"), now_ms)[0]
+
+
+def outcome_stream(stream: DataFrame, handler: Callable[[DataFrame], DataFrame], tiers: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], table: str, checkpoint: str):
+    """Starts the router with a sink for each outcome: ``sinks`` makes the records of an outcome (retry records, dead letters, state rows) from its routed rows, and each batch writes them under table/outcome/batch_id=n.
+
+    The batch is routed once and kept while its sinks are written; the input's position is committed when all are.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        routed = route(handler(batch), tiers).persist()
+        for outcome, made in sinks.items():
+            made(routed.where(F.col("outcome") == outcome)).write.mode("overwrite").parquet(f"{table}/{outcome}/batch_id={number}")
+        routed.unpersist()
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
+class BatchLog(StreamingQueryListener):
+    """One record for each batch of the session's streams: what it handled, how long its steps took and how far its sources lag; a failed sample keeps the last good figures."""
+
+    def __init__(self):
+        self.rows: list[tuple] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        took = dict(p.durationMs)
+        try:
+            lags = [int(s.metrics.get("maxOffsetsBehindLatest", 0)) for s in p.sources]
+        except (TypeError, ValueError):
+            lags = [self.rows[-1][5]] if self.rows else [0]
+        self.rows.append((str(p.id), p.batchId, p.numInputRows, int(took.get("addBatch", 0)), int(took.get("commitOffsets", 0)), max(lags, default=0), True))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.rows.append((str(event.id), -1, 0, 0, 0, 0, False))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """query, batch_id, handled, sink_ms, commit_ms, lag and committed: the input of ``observe.batch_counts`` and, in seconds, of ``observe.histogram``."""
+        return spark.createDataFrame(self.rows, "query string, batch_id long, handled long, sink_ms long, commit_ms long, lag long, committed boolean")

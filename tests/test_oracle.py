@@ -6,8 +6,9 @@ import os
 import duckdb
 import pytest
 
-from tallyflow.plans.queries import ORACLE, queries
+from tallyflow.plans import log_queries, queries as core
 
+ORACLE, EVERY = core.ORACLE | log_queries.ORACLE, core.queries() | log_queries.queries()
 DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -26,9 +27,9 @@ def duck():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(EVERY))
 def test_same_rows(spark, duck, name):
-    df = queries()[name](spark, DIR)
+    df = EVERY[name](spark, DIR)
     names = sorted(df.columns)
     ours = sorted(([_number(r[c]) for c in names] for r in df.collect()), key=repr)
     if name not in ORACLE:
