@@ -37,6 +37,16 @@ def thinned(kept: np.ndarray, unit: np.ndarray, most: int, step: int = 256) -> n
     return kept
 
 
+def scaled(lists: list) -> np.ndarray:
+    """The vectors as rows, each divided by a power of two, so that its largest component is about 1: cosines stay as they are, and no norm overflows or vanishes."""
+    raw = np.array(lists, float)
+    return np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1, keepdims=True))[1]) if len(raw) else raw
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
+
+
 def _apart_from(references: np.ndarray):
     """The usable rows that no reference point is near to."""
 
@@ -46,9 +56,8 @@ def _apart_from(references: np.ndarray):
         for batch in batches:
             lists = batch.column("embedding").to_pylist()
             good = np.array([i for i, x in enumerate(lists) if len(x) == references.shape[1]], int)
-            raw = np.array([lists[i] for i in good], float).reshape(len(good), references.shape[1])
-            far = ((raw / np.sqrt((raw * raw).sum(axis=1))[:, None]) @ references.T < APART).all(axis=1)
-            yield batch.take(pa.array(good[far], pa.int64()))
+            unit = _unit(scaled([lists[i] for i in good]).reshape(len(good), references.shape[1]))
+            yield batch.take(pa.array(good[(unit @ references.T < APART).all(axis=1)], pa.int64()))
 
     return run
 
@@ -65,13 +74,40 @@ def reference_points(usable: DataFrame, most: int, drawn: int, seed: int) -> np.
         chosen = rest.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(drawn).toPandas()["embedding"]
         if points is None:
             points = np.zeros((0, chosen.map(len).mode()[0]))
-        raw = np.array([x for x in chosen if len(x) == points.shape[1]], float).reshape(-1, points.shape[1])
-        points = thinned(points, raw / np.sqrt((raw * raw).sum(axis=1))[:, None], most)
+        rows = [x for x in chosen if len(x) == points.shape[1]]
+        points = thinned(points, _unit(scaled(rows).reshape(len(rows), points.shape[1])), most)
         if len(points) == most or len(chosen) < drawn:
             break
     return points
 
 
+def nearest_points(unit: np.ndarray, references: np.ndarray, nearest: int) -> np.ndarray:
+    """The numbers of each vector's nearest reference points, nearest first; equal cosines by number."""
+    cosines = unit @ references.T
+    near = np.sort(np.argpartition(-cosines, nearest - 1, axis=1)[:, :nearest], axis=1)
+    order = np.argsort(-np.take_along_axis(cosines, near, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(near, order, axis=1)
+
+
+def _key(points: np.ndarray) -> np.ndarray:
+    """The inverted list of each row's points, given in the order of their numbers."""
+    key = np.zeros(len(points), np.uint64)
+    for k in range(points.shape[1]):
+        key = mix(key + points[:, k].astype(np.uint64) + np.uint64(1))
+    return key.astype(np.int64)
+
+
+def meeting_key(left: np.ndarray, right: np.ndarray, shared: int) -> np.ndarray:
+    """The one list of all those that two permutations share to which the pair belongs: that of the ``shared`` common points with the least sum of ranks, equal sums by number."""
+    width = left.shape[1]
+    ranks = np.full(left.shape, 2 * width, np.int64)
+    for k in range(width):
+        same = left[:, k][:, None] == right
+        ranks[:, k] = np.where(same.any(axis=1), k + same.argmax(axis=1), 2 * width)
+    order = np.argsort(ranks * (1 << 32) + left, axis=1)[:, :shared]
+    return _key(np.sort(np.take_along_axis(left, order, axis=1), axis=1))
+
+
 def _permutations(references: np.ndarray, nearest: int, shared: int):
     subsets = np.array(list(combinations(range(nearest), shared)))
 
@@ -79,21 +115,15 @@ def _permutations(references: np.ndarray, nearest: int, shared: int):
         import pyarrow as pa
 
         for batch in batches:
-            lists, ids = batch.column("embedding").to_pylist(), batch.column("vec_id").to_pylist()
-            out: list[list] = [[], [], [], []]
-            good = [i for i, x in enumerate(lists) if x and len(x) == references.shape[1] and all(c is not None for c in x)]
-            raw = np.array([lists[i] for i in good], float).reshape(len(good), references.shape[1])
-            norm = np.sqrt((raw * raw).sum(axis=1))
-            ok = np.isfinite(raw).all(axis=1) & np.isfinite(norm) & (norm > 0)
-            raw, rows = raw[ok], np.array(good, int)[ok]
-            near = np.sort(np.argpartition(-(raw / norm[ok][:, None]) @ references.T, nearest - 1, axis=1)[:, :nearest], axis=1) if len(rows) else np.zeros((0, nearest), int)
-            keys = np.zeros((len(rows), len(subsets)), np.uint64)
-            for k in range(shared):
-                keys = mix(keys + near[:, subsets[:, k]].astype(np.uint64) + np.uint64(1))
-            for n, i in enumerate(rows):
-                for column, value in zip(out, (ids[i], raw[n].tobytes(), near[n].astype("<i4").tobytes(), keys[n].astype(np.int64)), strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.list_(pa.int64()))], ["vec_id", "vector", "near", "keys"])
+            lists = batch.column("embedding").to_pylist()
+            good = np.array([i for i, x in enumerate(lists) if len(x) == references.shape[1]], int)
+            rows = scaled([lists[i] for i in good]).reshape(len(good), references.shape[1])
+            near = nearest_points(_unit(rows), references, nearest) if len(good) else np.zeros((0, nearest), int)
+            ordered = np.sort(near, axis=1)
+            keys = np.stack([_key(ordered[:, s]) for s in subsets], axis=1) if len(good) else np.zeros((0, len(subsets)), np.int64)
+            take = pa.array(good, pa.int64())
+            packed = [pa.array([x.tobytes() for x in rows], pa.binary()), pa.array([x.astype("<i4").tobytes() for x in near], pa.binary()), pa.array(keys.tolist(), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id").take(take), batch.column("n").take(take), *packed], ["vec_id", "n", "vector", "near", "keys"])
 
     return run
 
@@ -112,9 +142,9 @@ def _roots(n: int, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
 
 
 def _compare(threshold: float, shared: int):
-    """From rows of (key, lo, hi, part, vec_id, vector, near) in the order of (key, lo, hi): for each pair of blocks, the links that were found at this key for the first time, as counts for each vector and an edge to a vector of its component."""
+    """From rows of (key, lo, hi, part, vec_id, n, vector, near) in the order of (key, lo, hi): for each pair of blocks, the links that belong to this key, as counts for each vector (one that stands for n equal ones counts n times) and an edge to a vector of its component."""
 
-    def links(ids, parts, vectors, near, key, lo, hi):
+    def links(ids, parts, weights, vectors, near, key, lo, hi):
         left, right = (np.flatnonzero(parts == lo), np.flatnonzero(parts == hi))
         if not len(left) or not len(right):
             return
@@ -128,19 +158,13 @@ def _compare(threshold: float, shared: int):
                 i, j = i[i < j], j[i < j]
             exact = (vectors[i] * vectors[j]).sum(axis=1) / (np.sqrt((vectors[i] * vectors[i]).sum(axis=1)) * np.sqrt((vectors[j] * vectors[j]).sum(axis=1))) >= threshold
             i, j = i[exact], j[exact]
-            if len(i):  # a pair belongs to the key of its first shared references
-                first = np.zeros(len(i), np.uint64)
-                count = np.zeros(len(i), int)
-                for k in range(near.shape[1]):
-                    use = (near[i, k][:, None] == near[j]).any(axis=1) & (count < shared)
-                    first[use] = mix(first[use] + near[i, k][use].astype(np.uint64) + np.uint64(1))
-                    count += use
-                mine = first.astype(np.int64) == key
+            if len(i):
+                mine = meeting_key(near[i], near[j], shared) == key
                 found.append((i[mine], j[mine]))
         if not found:
             return
         i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-        n = np.bincount(np.concatenate([i, j]), minlength=len(ids))
+        n = np.bincount(np.concatenate([i, j]), np.concatenate([weights[j], weights[i]]), minlength=len(ids)).astype(np.int64)
         root = _roots(len(ids), i, j)
         some = np.flatnonzero(n)
         yield ids[some], n[some], ids[root[some]]
@@ -155,9 +179,10 @@ def _compare(threshold: float, shared: int):
                 return
             ids = np.array([h[0] for h in held])
             parts = np.array([h[1] for h in held])
-            vectors = np.frombuffer(b"".join(h[2] for h in held), float).reshape(len(held), -1)
-            near = np.frombuffer(b"".join(h[3] for h in held), "<i4").reshape(len(held), -1)
-            yield from links(ids, parts, vectors, near, *group)
+            weights = np.array([h[2] for h in held], np.int64)
+            vectors = np.frombuffer(b"".join(h[3] for h in held), float).reshape(len(held), -1)
+            near = np.frombuffer(b"".join(h[4] for h in held), "<i4").reshape(len(held), -1)
+            yield from links(ids, parts, weights, vectors, near, *group)
 
         def table(out):
             a, b, c = ([np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3)
@@ -166,7 +191,7 @@ def _compare(threshold: float, shared: int):
         group = None
         for batch in batches:
             out = []
-            columns = [batch.column(c).to_pylist() for c in ("key", "lo", "hi", "vec_id", "part", "vector", "near")]
+            columns = [batch.column(c).to_pylist() for c in ("key", "lo", "hi", "vec_id", "part", "n", "vector", "near")]
             for key, lo, hi, *row in zip(*columns, strict=True):
                 if group != (key, lo, hi):
                     out += flush()
@@ -184,16 +209,18 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.95, nearest: int =
     1. Reference points are vectors of the table: the first by a hash of their id, ``reference_count`` of the rows and at most
        ``sample``, a bounded part. They are thinned so that no two are close. Where only few such points are, lists are
        longer and more pairs are compared; no link is lost by it.
-    2. Every vector is described by its ``nearest`` reference points. Two vectors are compared if they share at least
-       ``shared`` of them: the inverted lists are kept by sets of ``shared`` references, so sharing so many means to meet in a
-       list. (The share of links found so is measured in the tests.)
+    2. Equal vectors are one class (128-bit hash), so that a hot group of copies never meets pair by pair. Every class is
+       described by its ``nearest`` reference points, nearest first. Two are compared if they share at least ``shared`` of
+       them: the inverted lists are kept by sets of ``shared`` points, so that sharing so many means to meet in a list. The
+       share of links found so is measured in the tests.
     3. Lists with over 1024 vectors are split into blocks, and pairs of blocks go to different tasks; no pair is written out.
-       A pair counts only in the list of its first shared references. Cosines are computed in double precision from the
-       vectors as stored, and links are those of at least ``threshold``.
+       A pair counts only in the list of its common points with the least ranks. Cosines are computed in double precision from
+       the vectors, scaled by powers of two, and links are those of at least ``threshold``.
     4. Tasks hand on, for each vector, its number of links and one edge to its component; the rest is star contraction.
 
-    Vectors that are null, zero, of another length than the table's first, or with null or non-finite components link with
-    nothing. Equal vectors link like any others. Rows of a repeated vec_id count as one vector. A null vec_id stays alone.
+    Vectors that are null, zero, of another length than most, or with null or non-finite components link with
+    nothing; very large and very small ones link like any others. Rows of a repeated vec_id count as one vector, the least. A null vec_id stays alone.
+    An empty table gives no rows.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     usable = rows.where("vec_id is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(embedding, x -> x != 0)")
@@ -207,15 +234,22 @@ def embedding_dedup(vectors: DataFrame, threshold: float = 0.95, nearest: int =
         return alone
     nearest = min(nearest, len(points))
     shared = min(shared, nearest)
-    described = cut(usable.dropDuplicates(["vec_id"]).mapInArrow(_permutations(points, nearest, shared), "vec_id long, vector binary, near binary, keys array<long>"))
+    hashes = [F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding").alias("h2")]
+    single = cut(usable.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).select("vec_id", "embedding", *hashes))
+    classes = cut(single.groupBy("h1", "h2").agg(F.min("vec_id").alias("first"), F.count("*").alias("n")))
+    of_each = classes.select(F.col("first").alias("vec_id"), "n")
+    described = cut(single.join(of_each, "vec_id").select("vec_id", "n", "embedding").mapInArrow(_permutations(points, nearest, shared), "vec_id long, n long, vector binary, near binary, keys array<long>"))
     lists = described.select(F.explode("keys").alias("key"), "vec_id")
     long = cut(lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")).withColumn("parts", F.ceil(F.col("n") / BLOCK).cast("int"))
     parted = lists.join(long, "key").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
     met = parted.select("key", "vec_id", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("key", "vec_id", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
-    met = met.join(described.select("vec_id", "vector", "near"), "vec_id").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    met = met.join(described.select("vec_id", "n", "vector", "near"), "vec_id").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     found = cut(met.mapInArrow(_compare(threshold, shared), "id long, n long, other long"))
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     components = connected_components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    joined = rows.select("vec_id").join(links.withColumnRenamed("id", "vec_id"), "vec_id", "left").join(components.withColumnRenamed("id", "vec_id"), "vec_id", "left")
+    first = classes.join(links.withColumnRenamed("id", "first").withColumnRenamed("n", "links"), "first", "left").join(components.withColumnRenamed("id", "first"), "first", "left")
+    first = first.select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "first").alias("component"))
+    known = single.select("vec_id", "h1", "h2").join(first, ["h1", "h2"]).select("vec_id", "links", "component")
+    joined = rows.select("vec_id").join(known, "vec_id", "left")
     component = F.coalesce("component", "vec_id")
-    return joined.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+    return joined.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
