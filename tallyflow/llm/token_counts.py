@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Distinct pre-tokens whose counts a worker keeps; beyond that the table starts anew.
-CACHED = 400_000
+#: Nodes and distinct pre-tokens that a worker keeps; beyond that its trie starts anew. Longer words stay out of the trie.
+NODES, CACHED, LONGEST = 500_000, 300_000, 200
 
 
 def unigram_scores(model: str) -> dict[str, float]:
-    """Log probabilities of the pieces of a public sentencepiece vocabulary. Its scores are merge ranks, so the probabilities follow Zipf's law over the rank: log(1 / (rank * H))."""
+    """Log probabilities of the pieces of a public sentencepiece vocabulary.
+
+    None of the public files at hand holds a unigram model: the scores of this one are ranks of its merges. So the probabilities
+    follow Zipf's law over the rank: log(1 / (rank * H)).
+    """
     from sentencepiece import SentencePieceProcessor
 
     p = SentencePieceProcessor(model_file=model)
@@ -23,65 +27,95 @@ def unigram_scores(model: str) -> dict[str, float]:
     return {p.id_to_piece(i): -math.log(r) - total for r, i in enumerate(pieces, 1)}
 
 
-def best_counts(words: list[str], scores: dict[str, float], longest: int, byte_score: float) -> list[int]:
-    """Tokens of the best segmentation of each of the sorted distinct ``words``, the mark of a word's start included.
+class Trie:
+    """A trie of pre-tokens whose nodes hold the best forward score of their prefix and its number of tokens; terminal counts are kept by word.
 
-    Sorted words walk the trie depth first: the forward scores of the prefix that a word shares with the one before stand on
-    the stack already, and only its own trie nodes are computed. A character that no piece covers costs its UTF-8 bytes. Of
-    equal scores the segmentation with fewer tokens counts.
+    A character that no piece covers costs its UTF-8 bytes. Of equal scores the segmentation with fewer tokens counts.
     """
-    out, before = [], ""
-    stack: list[tuple[float, int]] = [(0.0, 0)]
-    for word in words:
+
+    def __init__(self, scores: dict[str, float]):
+        self.scores, self.longest, self.byte_score = scores, max(map(len, scores)), min(scores.values()) - 10.0
+        self.clear()
+
+    def clear(self) -> None:
+        self.child: dict[tuple[int, str], int] = {}
+        self.score, self.count = [0.0], [0]
+        self.terminal: dict[bytes, int] = {}
+
+    def step(self, text: str, end: int, at: list[int], score: list[float], count: list[int]) -> tuple[float, int]:
+        """The best score of text[:end] and its tokens, from those of the prefixes before: prefix k stands at ``at[k]`` of the two lists."""
+        cost = len(text[end - 1].encode("utf-8", "surrogatepass"))
+        best, tokens = score[at[-1]] + cost * self.byte_score, count[at[-1]] + cost
+        known = self.scores
+        for start in range(max(0, end - self.longest), end):
+            s = known.get(text[start:end])
+            if s is not None:
+                k = at[start - end]
+                total = score[k] + s
+                if total > best or total == best and count[k] + 1 < tokens:
+                    best, tokens = total, count[k] + 1
+        return best, tokens
+
+    def insert(self, word: str) -> int:
+        """Tokens of the best segmentation of the word, the mark of its start included. Only nodes that no word had before are scored."""
         text = MARK + word
-        shared, most = 0, min(len(text), len(before))
-        while shared < most and text[shared] == before[shared]:
-            shared += 1
-        del stack[shared + 1 :]
-        for end in range(shared + 1, len(text) + 1):
-            cost = len(text[end - 1].encode("utf-8", "surrogatepass"))
-            score, count = stack[end - 1][0] + cost * byte_score, stack[end - 1][1] + cost
-            for start in range(max(0, end - longest), end):
-                s = scores.get(text[start:end])
-                if s is not None:
-                    total = stack[start][0] + s
-                    if total > score or total == score and stack[start][1] + 1 < count:
-                        score, count = total, stack[start][1] + 1
-            stack.append((score, count))
-        out.append(stack[-1][1])
-        before = text
-    return out
+        if len(text) > LONGEST:
+            return self.alone(text)
+        node, path = 0, [0]
+        for end in range(1, len(text) + 1):
+            key = (node, text[end - 1])
+            node = self.child.get(key, 0)
+            if not node:
+                best, tokens = self.step(text, end, path, self.score, self.count)
+                node = self.child[key] = len(self.score)
+                self.score.append(best)
+                self.count.append(tokens)
+            path.append(node)
+        return self.count[node]
+
+    def alone(self, text: str) -> int:
+        """The same for a very long word, with the last prefixes alone in memory."""
+        score, count = [0.0], [0]
+        for end in range(1, len(text) + 1):
+            best, tokens = self.step(text, end, list(range(len(score))), score, count)
+            score, count = [*score[-self.longest + 1 :], best], [*count[-self.longest + 1 :], tokens]
+        return count[-1]
+
+    def counts(self, words: list[bytes]) -> list[int]:
+        """The terminal count of each word."""
+        new = {w for w in words if w not in self.terminal}
+        if len(self.score) > NODES or len(self.terminal) + len(new) > CACHED:
+            self.clear()
+            new = set(words)
+        for w in new:
+            self.terminal[w] = self.insert(w.decode())
+        return [self.terminal[w] for w in words]
+
+
+#: By vocabulary file; a worker keeps its trie over its tasks.
+_tries: dict[str, Trie] = {}
 
 
 def token_counts(docs: DataFrame, model: str) -> DataFrame:
     """Per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, n_pretokens, n_tokens.
 
-    Pre-tokens are the words between space and U+0009 to U+000D. In each task the distinct pre-tokens of a batch that are new go
-    into a trie; every pre-token's terminal count is then looked up. Null and blank texts have 0 tokens; repeated rows are
-    counted each; a null doc_id is carried along.
+    Pre-tokens are the words between space and U+0009 to U+000D, however long. A worker's distinct pre-tokens go into one trie; forward scores are
+    worked out once for each shared prefix, and every pre-token's terminal count is then looked up. Null and blank texts have 0
+    tokens; repeated rows are counted each; a null doc_id is carried along; an empty table gives no rows.
     """
 
     def run(batches):
         import pyarrow as pa
 
-        scores = unigram_scores(model)
-        longest = max(map(len, scores))
-        byte_score = min(scores.values()) - 10.0
-        known: dict[bytes, int] = {}
+        if model not in _tries:
+            _tries[model] = Trie(unigram_scores(model))
+        trie = _tries[model]
         for batch in batches:
             pre, tokens = [], []
-            texts = batch.column("text")
-            for at in range(0, len(texts), 256):
-                split = [(x.as_py() or "").encode().split() for x in texts[at : at + 256]]
-                new = {w for words in split for w in words if w not in known}
-                if len(known) + len(new) > CACHED:
-                    known.clear()
-                    new = {w for words in split for w in words}
-                order = sorted(w.decode() for w in new)
-                known.update(zip((w.encode() for w in order), best_counts(order, scores, longest, byte_score), strict=True))
-                for words in split:
-                    pre.append(len(words))
-                    tokens.append(sum([known[w] for w in words]))
+            for text in batch.column("text"):
+                words = (text.as_py() or "").encode().split()
+                pre.append(len(words))
+                tokens.append(sum(trie.counts(words)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(pre, pa.int64()), pa.array(tokens, pa.int64())], ["doc_id", "n_pretokens", "n_tokens"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_pretokens long, n_tokens long")

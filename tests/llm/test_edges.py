@@ -93,30 +93,34 @@ def test_vectors(spark):
     assert embedding_dedup(df.where("false")).count() == 0
 
 
-def test_token_counts_by_brute_force():
-    from functools import cache
+def test_token_counts_by_brute_force(spark, monkeypatch):
+    from tallyflow.llm import token_counts as module
 
-    from tallyflow.llm.token_counts import MARK, best_counts, unigram_scores
-
-    scores = unigram_scores(tokenizer_path("piece_bpe_32k.model"))
+    path = tokenizer_path("piece_bpe_32k.model")
+    scores = module.unigram_scores(path)
     longest, byte = max(map(len, scores)), min(scores.values()) - 10.0
 
     def plain(text):
-        @cache
-        def best(end):
-            if end == 0:
-                return 0.0, 0
+        best = [(0.0, 0)]
+        for end in range(1, len(text) + 1):
             n = len(text[end - 1].encode())
-            s, c = best(end - 1)
-            options = [(s + n * byte, -(c + n))]
-            options += [(best(k)[0] + scores[text[k:end]], -best(k)[1] - 1) for k in range(max(0, end - longest), end) if text[k:end] in scores]
-            s, c = max(options)
-            return s, -c
-
-        return best(len(text))[1]
-
-    words = sorted({"the", "there", "therein", "thé", "x", "ñandú", "interoperability", "漢字", "aaaaaaaa"})
-    assert best_counts(words, scores, longest, byte) == [plain(MARK + w) for w in words]
+            options = [(best[-1][0] + n * byte, -(best[-1][1] + n))]
+            options += [(best[k][0] + scores[text[k:end]], -best[k][1] - 1) for k in range(max(0, end - longest), end) if text[k:end] in scores]
+            top = max(options)
+            best.append((top[0], -top[1]))
+        return best[-1][1]
+
+    words = ["the", "there", "therein", "thé", "x", "ñandú", "interoperability", "漢字", "aaaaaaaa", "abc" * 300, "\U0001f600" * 90]
+    trie = module.Trie(scores)
+    assert trie.counts([w.encode() for w in words + words[::-1]]) == [plain(module.MARK + w) for w in words + words[::-1]]
+    assert len(trie.score) < sum(len(w) + 1 for w in words if len(w) < 199)  # prefixes are shared
+    monkeypatch.setattr(module, "NODES", 3)
+    assert trie.counts([b"there"]) == [plain(module.MARK + "there")] and len(trie.score) == 7
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: (r.text or "").encode().split() for r in docs.collect()}
+    known = {w: plain(module.MARK + w.decode()) for ws in texts.values() for w in ws}
+    for r in token_counts(docs, path).collect():
+        assert (r.n_pretokens, r.n_tokens) == (len(texts[r.doc_id]), sum(known[w] for w in texts[r.doc_id]))
 
 
 def test_block_max_is_exact():
