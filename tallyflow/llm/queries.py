@@ -71,11 +71,44 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
 
+def quality_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op4 that SQL can state."""
+    return op4_quality_rules(spark, sf_dir).drop("kept", "posterior")
+
+
+def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op8 that SQL can state."""
+    return op8_secret_scan(spark, sf_dir).drop("base_sha256", "spans")
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op6 that SQL can state."""
+    return op6_source_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 4).alias("target"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_line_dedup, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_minhash_dedup, op6_source_mixing, op7_toxicity, op8_secret_scan, op9_best_fit_packing, op10_embedding_dedup)
+    every = (op1_line_dedup, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_minhash_dedup, op6_source_mixing, op7_toxicity, op8_secret_scan, op9_best_fit_packing, op10_embedding_dedup, quality_base_columns, secret_base_counts, mix_targets)
     return {f.__name__: f for f in every}
 
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
 def oracle_sql() -> dict[str, str]:
-    """None: where SQL could state these results, it is too slow on whole tables; the tests hold them against brute force."""
-    return {}
+    """SQL for the parts that it can state; ``tests/llm`` holds the operators against brute force."""
+    return {
+        "quality_base_columns": rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS} AS words FROM documents),
+ w AS (SELECT rid, i, array_to_string(words[i:i + 4], ' ') AS win FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS i FROM d WHERE len(words) >= 5)),
+ g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS c FROM w),
+ r AS (SELECT rid, count(DISTINCT i + o) AS n FROM g, (VALUES (0), (1), (2), (3), (4)) AS v(o) WHERE c > 1 GROUP BY rid),
+ b AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+ list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN r ON d.rid = r.rid)
+ SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b""",
+        "secret_base_counts": r"""SELECT doc_id, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '(?i:(password|passwd|secret|token|api_?key))["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda x: length(x) >= 12)) AS BIGINT) AS n_assign,
+ CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 18)) AS BIGINT) AS n_access, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 16)) AS BIGINT) AS n_hex FROM documents""",
+        "mix_targets": rf"""WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents), s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+ n AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS no, CAST([3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS DOUBLE) AS w FROM s),
+ f AS (SELECT *, 2.0::DOUBLE * source_size AS cap, coalesce(sum(2.0::DOUBLE * source_size) OVER (ORDER BY 2.0::DOUBLE * source_size / w, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(w) OVER (ORDER BY 2.0::DOUBLE * source_size / w, no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open, 1.5::DOUBLE * sum(source_size) OVER () AS total FROM n),
+ l AS (SELECT level FROM (SELECT greatest((total - before) / open, 0) AS level, cap, w, no FROM f) WHERE level * w <= cap ORDER BY cap / w, no LIMIT 1)
+ SELECT d.doc_id, d.size, f.source_size, round(least(f.cap, coalesce((SELECT level FROM l) * f.w, f.cap)), 4) AS target FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source""",
+    }

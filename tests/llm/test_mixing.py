@@ -25,3 +25,32 @@ def test_blocks_have_places_in_shards(spark):
     got = Counter((r.doc_id, p.shard, p.slot, p.words) for r in mixed for p in r.places)
     assert got == Counter((r.doc_id, p.shard, p.slot, p.words) for r in shares for p in r.places)
     assert all(len(r.text.split()) == sum(p.words for p in r.places) for r in mixed)
+
+
+def test_reruns_over_other_layouts_agree(spark):
+    rows = [(i % 90 if i % 7 else None, " ".join(f"w{(i * 7) % 40}x{k}" for k in range(5 + (i * 13) % 60)), ["a", "a", "a", "b", None][i % 5]) for i in range(600)]
+    rows += rows[:20] + [(1, None, "a"), (2, "", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def result(df):
+        return Counter((r.doc_id, r.size, r.source_size, r.target, r.taken, tuple(map(tuple, r.places))) for r in mix_shares(df, block=16, shard_slots=32).collect())
+
+    first = result(docs.repartition(1))
+    assert result(docs.repartition(7)) == first == result(docs.orderBy("text"))
+    sizes: dict = {}
+    for (_, size, source_size, target, taken, _), n in first.items():
+        assert taken <= 2 * size
+        x = sizes.setdefault((source_size, target), [0, 0])
+        x[0] += n * size
+        x[1] += n * taken
+    assert all(size == source_size and abs(taken - target) <= 32 for (source_size, target), (size, taken) in sizes.items())
+
+
+def test_permutations(spark):
+    from pyspark.sql import functions as F
+
+    from tallyflow.llm.mixing import permuted
+
+    for n in (1, 2, 3, 7, 64, 65, 1000):
+        got = [r[0] for r in spark.range(n).select(permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5))).collect()]
+        assert sorted(got) == list(range(n)) and (n < 50 or got != list(range(n)))
