@@ -120,22 +120,26 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(first ^ mix(second + (ends - starts).astype(np.uint64) * _ODD))
 
 
-def text_blocks(column, size: int = _BLOCK):
-    """The texts of an Arrow string array as (first row, bytes, offsets), in blocks of about ``size`` bytes; a longer text is a block of its own. Null texts are empty."""
+#: Rows of a batch that are worked on at once, so that copies of texts stay small beside the batch.
+SLICE = 512
+
+
+def text_blocks(column, size: int = _BLOCK, change=None):
+    """The texts of an Arrow string array as (first row, bytes, offsets), in blocks of about ``size`` bytes; a longer text is a block of its own. Null texts are empty. ``change``, a function of Arrow arrays, is applied first, some rows at a time."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    column = pc.fill_null(column, "").cast(pa.large_binary())
-    if len(column) == 0:
-        return
-    _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    at = 0
-    while at < len(column):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
-        yield at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
-        at = to
+    for low in range(0, len(column), SLICE):
+        part = pc.fill_null(column.slice(low, SLICE), "").cast(pa.large_string())
+        part = (change(part) if change else part).cast(pa.large_binary())
+        _, offsets, data = part.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[part.offset : part.offset + len(part) + 1]
+        data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        at = 0
+        while at < len(part):
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
+            yield low + at, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+            at = to
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyflow.llm.common import _LOWER, cut, span_hashes, text_blocks, word_spans
 
 #: Bytes that a worker's kept words take with their ids, in two generations: when the younger has half of this, it becomes the older.
-CACHED_BYTES = 56 << 20
+CACHED_BYTES = 32 << 20
 #: Words that are added to a generation before its index is sorted anew.
 _LATELY = 50_000
 #: Bytes of text that are split at once; a longer text is split by itself. Documents that Spark hands over at once.

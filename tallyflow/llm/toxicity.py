@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import cut, small_side, span_hashes, text_blocks
+from tallyflow.llm.common import SLICE, cut, small_side, span_hashes, text_blocks
 from tallyflow.llm.labelled import fold, logistic, training_rows
 
 #: Bytes of letters; all others separate words. Bytes of other scripts count as letters.
@@ -17,10 +17,9 @@ _FLUSH = 400_000
 
 def term_sets(column):
     """For each text of an Arrow string array, in order: the sorted 64-bit hashes of its distinct lower-cased words, and how often each occurs."""
-    import pyarrow as pa
     import pyarrow.compute as pc
 
-    for _, data, offsets in text_blocks(pc.utf8_lower(column.cast(pa.large_string()))):
+    for _, data, offsets in text_blocks(column, change=pc.utf8_lower):
         letter = np.zeros(len(data) + 2, np.int8)
         letter[1:-1] = _LETTER[data]
         first = np.zeros(len(data) + 1, bool)
@@ -132,7 +131,7 @@ class Model:
 
     def __init__(self, terms: np.ndarray, weights: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]], prior: float, k: int = 15):
         self.terms, self.weights, self.prior, self.k = terms, weights, prior, k
-        self.slope, self.offset = None, 0.0
+        self.slope, self.offset, self.share = None, 0.0, None
         vectors = [self.vector(e[2], e[3]) for e in examples]
         # neighbours in the order of their heaviest terms share blocks, which keeps the bounds tight
         order = sorted(range(len(examples)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")[:4]].tolist(), examples[i][0]))
@@ -158,8 +157,16 @@ class Model:
         one = float(near.mean())
         return float((near @ self.labels[ids] + one * self.prior) / (near.sum() + one)), self.ids[ids]
 
-    def score(self, vote: float) -> float:
-        return vote if self.slope is None else float(1 / (1 + np.exp(-np.clip(self.slope * vote + self.offset, -30, 30))))
+    def scorer(self, spark: SparkSession):
+        """A function of (terms, counts) for tasks: (score, ids of the nearest). The model itself is broadcast once."""
+        self.share = share = self.share or spark.sparkContext.broadcast(self)
+        slope, offset = self.slope, self.offset
+
+        def score(terms: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
+            vote, near = share.value.vote(terms, counts)
+            return (vote if slope is None else float(1 / (1 + np.exp(-np.clip(slope * vote + offset, -30, 30))))), near
+
+        return score
 
 
 def _terms_of_rows(batches):
@@ -223,13 +230,13 @@ def fit(train: DataFrame, examples: int = 4096, aside: int = 2048, smooth: float
     odds -= np.log(prior * (clean + smooth) / ((1 - prior) * (toxic + smooth)))  # of a term that no text holds: 0
     model = Model(terms, idf * np.abs(odds), rows, prior, **how)
     if calibrated:
-        share = spark.sparkContext.broadcast(model)
+        vote = model.scorer(spark)  # without a curve yet
 
         def votes(batches):
             import pyarrow as pa
 
             for batch in batches:
-                found = [share.value.vote(np.frombuffer(t, np.uint64), np.frombuffer(c, "<i4"))[0] for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+                found = [vote(np.frombuffer(t, np.uint64), np.frombuffer(c, "<i4"))[0] for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(found, pa.float64())], ["doc_id", "label", "vote"])
 
         voted = drawn(train.where(apart), aside, seed).mapInArrow(votes, "doc_id long, label int, vote double").orderBy("doc_id", "label", "vote").collect()
@@ -252,15 +259,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     equal cosines the first in the index counts. Without labels of both classes all get the only label, or 0; with few, votes
     are not calibrated. Repeated rows are scored each; rows without doc_id are scored and not held out.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, labels, "toxic", 0, 5), **how))
+    score = fit(training_rows(docs, labels, "toxic", 0, 5), **how).scorer(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
-        known = model.value
         for batch in batches:
-            found = [known.vote(*x) for x in term_sets(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([known.score(v) for v, _ in found], pa.float64()), pa.array([e[:3].tolist() for _, e in found], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
+            found = [score(*x) for x in term_sets(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()), pa.array([e[:3].tolist() for _, e in found], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, score double, evidence array<long>")
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
@@ -268,13 +274,15 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **how) -> DataFrame:
     """The rows of ``docs`` whose text scores below ``threshold``, with all their columns; the order of columns stays."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, labels, "toxic", 0, 5), **how))
+    score = fit(training_rows(docs, labels, "toxic", 0, 5), **how).scorer(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
 
-        known = model.value
         for batch in batches:
-            yield batch.filter(pa.array([known.score(known.vote(*x)[0]) < threshold for x in term_sets(batch.column("text"))], pa.bool_()))
+            for low in range(0, batch.num_rows, SLICE):
+                part = batch.slice(low, SLICE)
+                yield part.filter(pa.array([score(*x)[0] < threshold for x in term_sets(part.column("text"))], pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)
