@@ -55,9 +55,9 @@ def read_log_stream(spark: SparkSession, path: str | None = None, topics: Sequen
         reader = spark.readStream.format("kafka").options(**kafka).option("subscribe", ",".join(topics)).option("includeHeaders", "true")
         return _kafka_columns(reader.option("startingOffsets", starting).load())
     reader = spark.readStream.schema(LOG)
-    if starting == "latest":
-        reader = reader.option("modifiedAfter", datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
     df = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
+    if starting == "latest":
+        df = df.where(F.col("_metadata.file_modification_time") >= F.lit(datetime.now(timezone.utc)))
     return df.where(F.col("topic").isin(*topics)) if topics else df
 
 
