@@ -20,7 +20,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tallyflow-")
     context.setCheckpointDir(configured)

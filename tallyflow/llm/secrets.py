@@ -82,14 +82,18 @@ def _measured(token):
     """Column: (kind of encoding, p value against text-like tokens, p value against random ones) of a token struct, null where no encoding fits."""
     t = token["text"]
     alphabet = F.coalesce(*[F.when(t.rlike(pattern), F.lit(letters)) for _, pattern, letters in ENCODINGS])
-    k, n = F.length(alphabet).cast("double"), F.length(t).cast("double")
-    codes = F.transform(F.split(t, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
-    times = lambda c: (F.length(t) - F.length(F.replace(t, c, F.lit("")))).cast("double")
-    squares = F.aggregate(F.transform(F.split(alphabet, ""), times), F.lit(0.0), lambda a, x: a + x * x)
-    kinds = F.translate(t, _LOWER + _UPPER + _DIGITS + "+/_-", "a" * 26 + "A" * 26 + "0" * 10)
-    changes = F.length(F.regexp_replace(kinds, "A?a+|A+|0+", "x")) - 1
-    fields = {"start": token["start"], "end": token["end"], "k": k, "n": n, "codes": codes, "chi2": squares * k / n - n, "changes": changes.cast("double"), "mean": F.aggregate(codes, F.lit(0.0), lambda a, x: a + x) / n}
-    return F.struct(*[x.alias(c) for c, x in fields.items()])
+
+    def measured(alphabet):
+        k, n = F.length(alphabet).cast("double"), F.length(t).cast("double")
+        codes = F.transform(F.split(t, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
+        times = lambda c: (F.length(t) - F.length(F.replace(t, c, F.lit("")))).cast("double")
+        squares = F.aggregate(F.transform(F.split(alphabet, ""), times), F.lit(0.0), lambda a, x: a + x * x)
+        kinds = F.translate(t, _LOWER + _UPPER + _DIGITS + "+/_-", "a" * 26 + "A" * 26 + "0" * 10)
+        changes = F.length(F.regexp_replace(kinds, "A?a+|A+|0+", "x")) - 1
+        fields = {"start": token["start"], "end": token["end"], "k": k, "n": n, "codes": codes, "chi2": squares * k / n - n, "changes": changes.cast("double"), "mean": F.aggregate(codes, F.lit(0.0), lambda a, x: a + x) / n}
+        return F.struct(*[x.alias(c) for c, x in fields.items()])
+
+    return let(alphabet, measured)  # found once, not for each character
 
 
 def _tested(m):
