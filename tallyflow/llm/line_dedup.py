@@ -180,7 +180,7 @@ def _similar(percent: int):
     def run(batches):
         import pyarrow as pa
 
-        known = Recent(shingles, 8_000_000)
+        known = Recent(shingles, 1_500_000)
         for batch in batches:
             keep = []
             for a, b, x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("la").to_pylist(), batch.column("lb").to_pylist(), strict=True):

@@ -63,7 +63,7 @@ def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
         items = unpack(value)
         return items, minima(items, a, b)
 
-    known = Recent(described, 12_000_000)
+    known = Recent(described, 3_000_000)
 
     def edges(bucket, lo, hi, held):
         root = list({h[1]: None for h in held})
