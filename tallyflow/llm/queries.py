@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyflow.llm.alignment import align_tokenizers
+from tallyflow.llm.chat import format_conversations, read_conversations
 from tallyflow.llm.embedding_dedup import embedding_dedup
+from tallyflow.llm.hard_negatives import hard_negatives
 from tallyflow.llm.line_dedup import line_dedup
 from tallyflow.llm.minhash_dedup import minhash_dedup
 from tallyflow.llm.mixing import mix_shares
@@ -71,6 +74,27 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, number -7, whose texts hold control strings."""
+    odd = r"\### Assistant: </turn> ok"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    tokenizer = tokenizer_path("byte_bpe_50k.json")
+    return read_conversations(format_conversations(turns, tokenizer), tokenizer)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors: every fiftieth vec_id. Every seventh row's label is moved on by one; components are whole 256ths."""
+    rows = _table(spark, sf_dir, "embeddings").where("not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    return hard_negatives(rows.select("vec_id", label.alias("label"), whole.alias("vector"), (F.col("vec_id") % 50 == 0).alias("anchor")))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def quality_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op4 that SQL can state."""
     return op4_quality_rules(spark, sf_dir).drop("kept", "posterior")
@@ -87,7 +111,7 @@ def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_line_dedup, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_minhash_dedup, op6_source_mixing, op7_toxicity, op8_secret_scan, op9_best_fit_packing, op10_embedding_dedup, quality_base_columns, secret_base_counts, mix_targets)
+    every = (op1_line_dedup, op2_token_counts, op3_quality_classifier, op4_quality_rules, op5_minhash_dedup, op6_source_mixing, op7_toxicity, op8_secret_scan, op9_best_fit_packing, op10_embedding_dedup, op11_chat_format, op12_hard_negatives, op13_tokenizer_alignment, quality_base_columns, secret_base_counts, mix_targets)
     return {f.__name__: f for f in every}
 
 
@@ -102,10 +126,17 @@ def oracle_sql() -> dict[str, str]:
  g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS c FROM w),
  r AS (SELECT rid, count(DISTINCT i + o) AS n FROM g, (VALUES (0), (1), (2), (3), (4)) AS v(o) WHERE c > 1 GROUP BY rid),
  b AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
- list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN r ON d.rid = r.rid)
+ list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines, coalesce(r.n, 0) AS n_repeat_words FROM d LEFT JOIN r ON d.rid = r.rid)
  SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b""",
         "secret_base_counts": r"""SELECT doc_id, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '(?i:(password|passwd|secret|token|api_?key))["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)', 2), lambda x: length(x) >= 12)) AS BIGINT) AS n_assign,
  CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 18)) AS BIGINT) AS n_access, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 16)) AS BIGINT) AS n_hex FROM documents""",
+        "op12_hard_negatives": """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+ WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * r.x[i])) AS BIGINT) AS score FROM v a, v r WHERE a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+ p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+ SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score FROM p JOIN s ON p.anchor_id = s.anchor_id
+ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3""",
         "mix_targets": rf"""WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents), s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
  n AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS no, CAST([3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS DOUBLE) AS w FROM s),
  f AS (SELECT *, 2.0::DOUBLE * source_size AS cap, coalesce(sum(2.0::DOUBLE * source_size) OVER (ORDER BY 2.0::DOUBLE * source_size / w, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(w) OVER (ORDER BY 2.0::DOUBLE * source_size / w, no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open, 1.5::DOUBLE * sum(source_size) OVER () AS total FROM n),
