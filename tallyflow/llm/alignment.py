@@ -65,7 +65,7 @@ class Aligned:
         self.b, self.b_bytes = _pieces(piece_path)
         self.lead = len(self.b.encode("a"))
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.names = [f"{mark}{i}" for mark in ",|;" for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self._clear()
 
     def _clear(self) -> None:
@@ -86,49 +86,57 @@ class Aligned:
         return np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
 
     def _add(self, new: list[str]) -> None:
-        raw = [x.encode() for x in new]
-        a_lists = [x.ids for x in self.a.encode_batch(new, add_special_tokens=False)]
-        b_lists = [x[self.lead :] for x in self.b.encode(["a" + x for x in new], num_threads=1)]  # the letter keeps leading space as it is
-        a_ids, b_ids = (np.fromiter((i for x in lists for i in x), np.int64) for lists in (a_lists, b_lists))
-        a_n, b_n = (np.fromiter(map(len, lists), np.int64, len(new)) for lists in (a_lists, b_lists))
-        same = np.fromiter((b"".join(map(self.a_bytes.__getitem__, x)) == r and b"".join(map(self.b_bytes.__getitem__, y)) == r for x, y, r in zip(a_lists, b_lists, raw, strict=True)), bool, len(new))
-        room = np.cumsum([max(len(r), int(self.a_size[x].sum()), int(self.b_size[y].sum())) for x, y, r in zip(a_lists, b_lists, raw, strict=True)])  # each piece has its own stretch of offsets
-
-        def placed(ids, n, size):
-            of = np.repeat(np.arange(len(n)), n)
-            ends = np.cumsum(size[ids])
-            before = np.concatenate([[0], ends])[np.cumsum(n) - n]
-            shift = np.concatenate([[0], room[:-1]]) - before
-            ends = ends + shift[of]
-            return of, ends - size[ids], ends
-
-        a_of, a_starts, a_ends = placed(a_ids, a_n, self.a_size)
-        b_of, b_starts, b_ends = placed(b_ids, b_n, self.b_size)
-        of, ids = np.concatenate([a_of, b_of]), np.concatenate([a_ids, b_ids])
+        # one after the other they have the tokens they have apart, but for those that end in white space, or hold the mark of a space
+        joined = [x for x in new if not x[-1].isspace() and "▁" not in x]
+        self._add_joined(joined)
+        for x in new:
+            if x not in self.index:
+                self._add_joined([x])
+
+    def _add_joined(self, new: list[str]) -> None:
+        if not new:
+            return
+        text = "".join(new)
+        raw = text.encode()
+        a_list = self.a.encode(text, add_special_tokens=False).ids
+        b_list = self.b.encode("a" + text)[self.lead :]  # the letter keeps leading space as it is
+        same = b"".join(map(self.a_bytes.__getitem__, a_list)) == b"".join(map(self.b_bytes.__getitem__, b_list)) == raw
+        if not same and len(new) > 1:
+            self._add_joined(new[: len(new) // 2])
+            self._add_joined(new[len(new) // 2 :])
+            return
+        if not same:
+            a_list = b_list = []
+        a_ids, b_ids = np.array(a_list, np.int64), np.array(b_list, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_size[a_ids]), np.cumsum(self.b_size[b_ids])
+        a_starts, b_starts = a_ends - self.a_size[a_ids], b_ends - self.b_size[b_ids]
+        edges = np.cumsum([len(x.encode()) for x in new])
+        ids, starts = np.concatenate([a_ids, b_ids]), np.concatenate([a_starts, b_starts])
         side = np.repeat([0, 1], [len(a_ids), len(b_ids)])
-        starts = np.concatenate([a_starts, b_starts])
         group = coalesced(starts, np.concatenate([a_ends, b_ends]), side)
         order = np.lexsort((starts, side, group))
-        groups = np.bincount(of[order][np.diff(group[order], prepend=-1) > 0], minlength=len(new))
+        of, side, group = np.searchsorted(edges, starts[order], "right"), side[order], group[order]
+        fresh = np.diff(group, prepend=-1) > 0
         left, right = overlaps(a_starts, a_ends, b_starts, b_ends)
-        links = np.bincount(a_of[left], minlength=len(new))
+        link_of = np.searchsorted(edges, a_starts[left], "right")
+        count = lambda x: np.bincount(x, minlength=len(new))
+        links = count(link_of)
 
-        of, side, group = of[order], side[order], group[order]
-        joint = np.where(np.diff(group, prepend=-1) > 0, 2, np.diff(side, prepend=0))  # what stands before a token: comma, bar, semicolon
-        written = [",|;"[j] + self.names[i] for j, i in zip(joint.tolist(), ids[order].tolist(), strict=True)]
+        joint = np.where(fresh, 2, np.diff(side, prepend=0))  # what stands before a token: comma, bar or semicolon
+        written = list(map(self.names.__getitem__, (joint * (len(self.names) // 3) + ids[order]).tolist()))
         cuts = np.searchsorted(of, np.arange(len(new) + 1)).tolist()
-        self.texts += ["".join(written[x:y])[1:] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-
-        base = len(self.index)
-        self.index.update(zip(new, range(base, base + len(new)), strict=True))
+        texts = ["".join(written[x:y])[1:] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        base, end = len(self.index), len(self.index) + len(new)
+        self.index.update(zip(new, range(base, end), strict=True))
+        self.texts += texts
         codes = a_ids[left].astype(np.uint64) * np.uint64(len(self.b_bytes)) + b_ids[right].astype(np.uint64)
-        self.figures = _room(self.figures, len(self.index))
-        self.figures[base : len(self.index)] = np.stack([a_n, b_n, groups, links, same], axis=1)
+        self.figures = _room(self.figures, end)
+        self.figures[base:end] = np.stack([count(of[side == 0]), count(of[side == 1]), count(of[fresh]), links, np.full(len(new), same)], axis=1)
         at = int(self.bounds[base])
-        self.codes, self.bounds = _room(self.codes, at + len(codes)), _room(self.bounds, len(self.index) + 1)
+        self.codes, self.bounds = _room(self.codes, at + len(codes)), _room(self.bounds, end + 1)
         self.codes[at : at + len(codes)] = codes
-        self.bounds[base + 1 : len(self.index) + 1] = at + np.cumsum(links)
-        self.held += sum(map(len, raw)) + sum(map(len, self.texts[base:])) + 8 * len(codes) + 250 * len(new)
+        self.bounds[base + 1 : end + 1] = at + np.cumsum(links)
+        self.held += len(raw) + sum(map(len, texts)) + 8 * len(codes) + 250 * len(new)
 
     def pairs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The distinct linked id pairs of some pieces, in order, and how often each is linked."""
