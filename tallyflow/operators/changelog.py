@@ -47,8 +47,8 @@ def entries(rows: DataFrame) -> DataFrame:
 
 
 def restore(log: DataFrame, partitions=None) -> DataFrame:
-    """The state of each product after a scan of the changelog (log records): bad and null values are skipped, entries of other ``partitions`` go first, then the last of each product stands."""
-    return latest(entries(decode(log)), "product", ["log_timestamp", "log_partition", "log_offset"], partitions)
+    """The state of each product after a scan of the changelog (log records): bad and null values are skipped, entries of other ``partitions`` go first, then the one with the last offset stands, whatever its time. A product's records share a partition of the log."""
+    return latest(entries(decode(log)), "product", ["log_partition", "log_offset"], partitions)
 
 
 def skipped(log: DataFrame) -> DataFrame:
@@ -58,9 +58,9 @@ def skipped(log: DataFrame) -> DataFrame:
 
 
 def compact(log: DataFrame) -> DataFrame:
-    """The last record of each key, as a compacted topic keeps them; records without key stay."""
+    """The record of each key with the last offset, as a compacted topic keeps them; records without key stay."""
     names = log.columns
-    keyed = log.where("key is not null").groupBy("key").agg(F.max_by(F.struct(*names), F.struct("timestamp", "partition", "offset")).alias("r")).select("r.*")
+    keyed = log.where("key is not null").groupBy("key").agg(F.max_by(F.struct(*names), F.struct("partition", "offset")).alias("r")).select("r.*")
     return keyed.select(*names).unionByName(log.where("key is null"))
 
 

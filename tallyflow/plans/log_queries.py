@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyflow.functions import frame, headers, text
 from tallyflow.operators import changelog, decode, dlq, observe, republish, routing, stats
 from tallyflow.plans.queries import _LOG, _ROUTED, MANY, _letters, _log, _routed, _rounded, _sql, _t
-from tallyflow.sources.log import tier_table
+from tallyflow.sources.log import tier_table, with_offsets
 from tallyflow.sources.synth import POISON_JSON, truncated_payload, unknown_schema_payload
 from tallyflow.streaming.jobs import gate
 
@@ -97,12 +97,15 @@ def dlq_replay(spark, d):
 
 
 def _states(spark, d) -> DataFrame:
-    """A changelog made of the log: a state row for each record, some of them bad, null or of another version."""
+    """A changelog made of the events: a state row for each, keyed by k, with partitions by key and times that go back again and again; some are bad, null or of another version."""
     k, v = F.col("k"), F.col("value")
-    log = _log(spark, d).withColumns({"product": F.concat(F.lit("p"), F.col("k").cast("string")), "last_offset": F.col("offset"), "timestamp": F.col("ts").cast("timestamp")})
-    state = log.withColumns({"count": F.col("offset") + 1, "mean": v, "m2": v, "min": v, "max": v, "last_updated": F.col("timestamp")})
+    e = _t(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn("partition", (k % 3).cast("int"))
+    e = with_offsets(e, "partition", ["event_id"], F.floor(F.col("event_id") / 10_000))
+    at = F.col("ts").cast("timestamp") - F.make_dt_interval(days=(F.col("event_id") % 50).cast("int"))
+    log = e.withColumns({"product": F.concat(F.lit("p"), k.cast("string")), "last_offset": F.col("offset"), "timestamp": at})
+    state = log.withColumns({"count": F.col("offset") + 1, "mean": v, "m2": v, "min": v, "max": v, "last_updated": F.col("ts").cast("timestamp")})
     at = F.struct("timestamp", "partition", "offset")
-    rows = changelog.encode(state.select("product", (k % 3).cast("int").alias("partition"), "last_offset", "count", "mean", "m2", "min", "max", "last_updated", at.alias("at")), "at")
+    rows = changelog.encode(state.select("product", "partition", "last_offset", "count", "mean", "m2", "min", "max", "last_updated", at.alias("at")), "at")
     good = F.col("value")
     changed = F.when(F.col("at.offset") % 10 == 0, F.lit(None).cast("binary")).when(F.col("at.offset") % 10 == 1, F.lit("garbage").cast("binary")).when(F.col("at.offset") % 10 == 2, F.replace(good.cast("string"), F.lit('"v":1'), F.lit('"v":2')).cast("binary")).otherwise(good)
     return rows.select(F.lit("orders.aggregate.state").alias("topic"), "at.partition", "at.offset", "at.timestamp", "key", changed.alias("value"))
@@ -220,7 +223,7 @@ _LETTER = f"""(SELECT *, CASE WHEN k % 5 <> 0 THEN event_type END AS key, strfti
 _MESSAGE = "CASE WHEN error_type = 'permanent' THEN 'validation: bad' ELSE 'bad' END"
 _WAITING = f"(SELECT *, CASE k % 4 WHEN 0 THEN 'orders.retry.5s' WHEN 1 THEN 'orders.retry.30s' WHEN 2 THEN 'orders.retry.5m' ELSE 'orders.retry.old' END AS retry_topic, CASE WHEN k % 9 = 0 THEN \"offset\" + 800 ELSE 0 END AS wait FROM {_LOG}) AS waiting"
 _GATED = f"(SELECT *, max(wait) OVER (PARTITION BY retry_topic, partition ORDER BY \"offset\" ROWS UNBOUNDED PRECEDING) <= 1000 AS due FROM {_WAITING}) AS gated"
-_STATE = f"(SELECT concat('p', k) AS product, k % 3 AS home, * FROM {_LOG}) AS states"
+_STATE = "(SELECT concat('p', k) AS product, k % 3 AS home, row_number() OVER (PARTITION BY k % 3 ORDER BY event_id) - 1 AS \"offset\", * FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)) AS states"
 _FAULTS = """(SELECT (l_orderkey * 8 + l_linenumber) % 16 AS f, l_orderkey, l_linenumber, CAST(l_orderkey AS VARCHAR) AS o, concat('Item', l_suppkey) AS p, CAST(l_extendedprice AS FLOAT) AS price FROM lineitem) AS faults"""
 
 
@@ -248,9 +251,9 @@ ORACLE = {
     "dlq_listing": f"WITH l AS (SELECT * FROM {_LETTER}), newest AS (SELECT * FROM l ORDER BY partition DESC, \"offset\" DESC LIMIT 50) SELECT error_type, count(*) AS n, (SELECT count(*) FROM newest) AS shown, (SELECT count(*) FROM l) AS total FROM newest GROUP BY 1",
     "dlq_select_offsets": f"SELECT event_id, partition, \"offset\" FROM {_ROUTED} WHERE outcome = 'dead-lettered' AND \"offset\" IN (SELECT \"offset\" FROM {_LOG} WHERE k = 12)",
     "dlq_replay": f"SELECT \"offset\" AS dlq_offset, 'orders' AS target, count(*) AS n, CAST(sum(CASE WHEN \"offset\" % 2 = 0 THEN \"offset\" + 1 ELSE 1 END) AS BIGINT) AS replays, 'x-app-version,x-correlation-id,x-replay-count,x-replayed-at,x-replayed-from-dlq-offset' AS names, CAST(sum(event_id) AS BIGINT) AS ids FROM {_LETTER} WHERE \"offset\" >= 100 GROUP BY \"offset\"",
-    "changelog_restore": f"SELECT product, CAST(home AS INT) AS partition, \"offset\" AS last_offset, \"offset\" + 1 AS count, value AS mean, (epoch_us(ts) // 1000) AS last_updated FROM {_STATE} WHERE home IN (0, 2) AND \"offset\" % 10 > 2 QUALIFY row_number() OVER (PARTITION BY product ORDER BY ts DESC, partition DESC, \"offset\" DESC) = 1",
+    "changelog_restore": f"SELECT product, CAST(home AS INT) AS partition, \"offset\" AS last_offset, \"offset\" + 1 AS count, value AS mean, (epoch_us(ts) // 1000) AS last_updated FROM {_STATE} WHERE home IN (0, 2) AND \"offset\" % 10 > 2 QUALIFY row_number() OVER (PARTITION BY product ORDER BY \"offset\" DESC) = 1",
     "changelog_skipped": f"SELECT count(*) FILTER (\"offset\" % 10 = 0) AS empty, count(*) FILTER (\"offset\" % 10 IN (1, 2)) AS bad FROM {_STATE}",
-    "changelog_compact": f"SELECT product AS key, partition, \"offset\", \"offset\" % 10 = 0 AS empty FROM {_STATE} QUALIFY row_number() OVER (PARTITION BY product ORDER BY ts DESC, partition DESC, \"offset\" DESC) = 1",
+    "changelog_compact": f"SELECT product AS key, CAST(home AS INT) AS partition, \"offset\", \"offset\" % 10 = 0 AS empty FROM {_STATE} QUALIFY row_number() OVER (PARTITION BY product ORDER BY \"offset\" DESC) = 1",
     "dropped_entries": f"SELECT count(*) FILTER (partition = 0) AS dropped FROM {_LOG}",
     "last_offsets": f"SELECT k, \"offset\" AS last_offset FROM {_LOG} QUALIFY row_number() OVER (PARTITION BY k ORDER BY ts DESC, partition DESC, \"offset\" DESC) = 1",
     "product_count": "SELECT count(DISTINCT l_partkey) AS keys FROM lineitem",

@@ -66,34 +66,6 @@ def gate(waiting: DataFrame, now_ms: int, topic: str = "orders") -> tuple[DataFr
     return forwarded, gated.where("not due").drop("due")
 
 
-def delay_stream(stream: DataFrame, table: str, checkpoint: str, now_ms: Callable[[], int]):
-    """Starts the delay queue of the retry topics (records with not_before, in milliseconds).
-
-    A batch joins its records with those that wait from the batch before, writes what is due under table/forwarded/batch_id=n
-    and what is not under table/pending/batch_id=n. A repeated batch overwrites both. Between batches ``release`` does the same
-    for what has become due since.
-    """
-
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        _step(batch if number == 0 else batch.unionByName(spark.read.schema(batch.schema).parquet(f"{table}/pending/batch_id={number - 1}")), table, number, now_ms())
-
-    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
-
-
-def _step(waiting: DataFrame, table: str, number: int | str, now_ms: int) -> None:
-    forwarded, pending = gate(waiting, now_ms)
-    forwarded.write.mode("overwrite").parquet(f"{table}/forwarded/batch_id={number}")
-    pending.write.mode("overwrite").parquet(f"{table}/pending/batch_id={number}")
-
-
-def release(pending: DataFrame, forwarded: DataFrame, now_ms: int) -> DataFrame:
-    """What has become due of the newest batch's ``pending`` records and is not ``forwarded`` yet."""
-    place = ["partition", "offset"]
-    sent = forwarded.select(F.col("retry_topic").alias("topic"), *place)
-    return gate(pending.join(sent, ["topic", *place], "left_anti"), now_ms)[0]
-
-
 def outcome_stream(stream: DataFrame, handler: Callable[[DataFrame], DataFrame], tiers: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], table: str, checkpoint: str):
     """Starts the router with a sink for each outcome: ``sinks`` makes the records of an outcome (retry records, dead letters, state rows) from its routed rows, and each batch writes them under table/outcome/batch_id=n.
 

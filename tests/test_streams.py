@@ -51,23 +51,6 @@ def test_synthetic_orders(spark):
     assert turns[:4] == ["json", "unknown-schema", "truncated", "json"]
 
 
-def test_delay_queue_equals_batch(spark, tmp_path):
-    rows = _log(spark, 300, "orders.retry.5s").withColumn("not_before", F.when(F.col("offset") % 10 == 5, F.col("offset") * 100))
-    table, clock = str(tmp_path / "t"), [2000]
-    for part in (0, 1, 2):
-        rows.where(f"floor(offset / 40) = {part}").write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-        jobs.delay_stream(stream, table, str(tmp_path / "c"), lambda: clock[0]).awaitTermination()
-        clock[0] += 3000
-    forwarded, pending = (spark.read.parquet(f"{table}/{x}") for x in ("forwarded", "pending"))
-    last = jobs.newest_batch(pending)
-    sent = {(r.partition, r.offset) for r in forwarded.collect()}
-    assert forwarded.count() == len(sent) and sent == {(r.partition, r.offset) for r in jobs.gate(rows, 8000)[0].collect()}
-    assert last.count() + len(sent) == 300 and {r.topic for r in forwarded.collect()} == {"orders"}
-    more = jobs.release(last, forwarded, 10_000_000)
-    assert more.count() == 300 - len(sent)
-
-
 def test_outcomes_go_to_their_sinks(spark, tmp_path):
     df = _log(spark, 200)
     df.write.parquet(str(tmp_path / "in"))
@@ -120,3 +103,13 @@ def test_changelog_control_data(spark):
     assert changelog.restore(log, [0]).count() == 0
     s = changelog.skipped(log).first()
     assert (s.empty, s.bad) == (1, 5)
+
+
+def test_later_offsets_win_whatever_the_time(spark):
+    rows = [("s", 0, o, t, bytearray(k), None if v is None else bytearray(v)) for o, t, k, v in [(10, 2000, b"a", b"old"), (11, 1000, b"a", b"new"), (12, 500, b"b", b"x"), (13, 400, b"b", None)]]
+    log = spark.createDataFrame(rows, "topic string, partition int, offset long, at long, key binary, value binary").withColumn("timestamp", F.timestamp_millis("at")).drop("at")
+    assert sorted((bytes(r.key), r.offset) for r in changelog.compact(log).collect()) == [(b"a", 11), (b"b", 13)]
+    state = spark.createDataFrame([("a", 0, o, o, 1.0, 0.0, 1.0, 1.0, 5) for o in (10, 11)], "product string, partition int, last_offset long, count long, mean double, m2 double, min double, max double, at long").withColumn("last_updated", F.timestamp_millis("at"))
+    values = {r.last_offset: r.value for r in changelog.encode(state, "last_offset").collect()}
+    log = spark.createDataFrame([("s", 0, 10, 2000, bytearray(b"a"), values[10]), ("s", 0, 11, 1000, bytearray(b"a"), values[11])], "topic string, partition int, offset long, at long, key binary, value binary").withColumn("timestamp", F.timestamp_millis("at"))
+    assert [r.last_offset for r in changelog.restore(log).collect()] == [11]
