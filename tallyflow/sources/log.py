@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,14 +49,14 @@ def read_log(spark: SparkSession, path: str | None = None, topics: Sequence[str]
 
 
 def read_log_stream(spark: SparkSession, path: str | None = None, topics: Sequence[str] = (), kafka: dict | None = None, starting: str = "earliest", max_files: int | None = None) -> DataFrame:
-    """The topics as one stream. ``starting`` (earliest or latest) counts only before a checkpoint exists; for files, latest leaves out those that are older than the start."""
+    """The topics as one stream. ``starting`` (earliest or latest) counts only before a checkpoint exists. Plain files have no offsets to begin from: they are read from the earliest on; ``segments.log_stream`` starts a log anywhere."""
+    if kafka is None and starting != "earliest":
+        raise ValueError("plain files are read from the earliest on; see segments.log_stream")
     if kafka is not None:
         reader = spark.readStream.format("kafka").options(**kafka).option("subscribe", ",".join(topics)).option("includeHeaders", "true")
         return _kafka_columns(reader.option("startingOffsets", starting).load())
     reader = spark.readStream.schema(LOG)
     df = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
-    if starting == "latest":
-        df = df.where(F.col("_metadata.file_modification_time") >= F.lit(datetime.now(timezone.utc)))
     return df.where(F.col("topic").isin(*topics)) if topics else df
 
 

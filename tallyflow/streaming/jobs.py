@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from tallyflow.operators.routing import due, route
 from tallyflow.operators.stats import fold, merge_states
+from tallyflow.sources.segments import append_log
 
 
 def stats_stream(stream: DataFrame, key: str, value: str, at: str, table: str, checkpoint: str):
@@ -81,6 +83,22 @@ def outcome_stream(stream: DataFrame, handler: Callable[[DataFrame], DataFrame],
     return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
 
 
+def outcome_log_stream(stream: DataFrame, handler: Callable[[DataFrame], DataFrame], tiers: DataFrame, sinks: dict[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str, writer: str, partitions: int = 12):
+    """Starts the router into a segment log: ``sinks`` makes the keyed records of an outcome (topic, key, value, headers) from its routed rows.
+
+    All outcomes of a batch are one commit of the log, and the input's position is stored after it: wherever a batch is cut off,
+    readers see all its outcomes or none, and a repeated batch adds nothing to what ``writer`` has committed.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        routed = route(handler(batch), tiers).persist()
+        parts = [made(routed.where(F.col("outcome") == outcome)).select("topic", "key", "value", "timestamp", "headers") for outcome, made in sinks.items()]
+        append_log(reduce(DataFrame.unionByName, parts), path, writer, number, partitions)
+        routed.unpersist()
+
+    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
 class BatchLog(StreamingQueryListener):
     """One record for each batch of the session's streams: what it handled, how long its steps took and how far its sources lag; a failed sample keeps the last good figures."""
 

@@ -1,10 +1,14 @@
 """Streams against their batch answers, and logs written and read again."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from tallyflow.functions.headers import encode_headers, producer_headers, read_header
 from tallyflow.operators import changelog, dlq, observe, routing, stats
 from tallyflow.sources.log import read_dead_letters, read_log, read_log_stream, tier_table, topic_names, with_offsets, write_log
+from tallyflow.sources.segments import append_log, log_stream, scan_log
 from tallyflow.sources.synth import MARKER, inject_faults, synth_orders
 from tallyflow.streaming import jobs
 
@@ -26,9 +30,8 @@ def test_logs(spark, tmp_path):
     q = read_log_stream(spark, path, ["orders", "orders.dlq"]).writeStream.format("memory").queryName("both").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     q.awaitTermination()
     assert spark.table("both").count() == 60
-    late = read_log_stream(spark, path, starting="latest").writeStream.format("memory").queryName("late").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "d")).start()
-    late.awaitTermination()
-    assert spark.table("late").count() in (0, 60)  # a file of this very second counts as new
+    with pytest.raises(ValueError, match="log_stream"):
+        read_log_stream(spark, path, starting="latest")
     assert len({read for (read,) in spark.range(20).select(read_header(producer_headers("1"), "x-correlation-id")).collect()}) == 20
 
 
@@ -73,6 +76,40 @@ def test_outcomes_go_to_their_sinks(spark, tmp_path):
     assert records.count() == results.count() == got["dead-lettered"]
 
 
+def test_a_batch_cut_off_between_its_sinks_leaves_one_outcome_each(spark, tmp_path):
+    source, out, c, flag = (str(tmp_path / x) for x in ("in", "out", "c", "flag"))
+    append_log(_log(spark, 200), source, partitions=3)
+
+    def handler(batch):
+        number = F.col("value").cast("string").cast("long")
+        return batch.withColumn("attempt", (number % 5).cast("int")).withColumn("error_kind", F.when(number % 3 == 0, "transient").when(number % 7 == 0, "permanent"))
+
+    def dies(v):
+        if v == b"189" and not os.path.exists(flag):
+            raise RuntimeError("killed")
+        return v
+
+    to = lambda topic: lambda rows: rows.withColumn("topic", F.lit(topic)).withColumn("value", F.udf(dies, "binary")("value"))
+    sinks = {"processed": to("state"), "retried": to("retry"), "dead-lettered": to("dlq")}
+
+    def run():
+        jobs.outcome_log_stream(log_stream(spark, source), handler, tier_table(spark), sinks, out, c, "router").awaitTermination()
+
+    with pytest.raises(Exception, match="killed"):
+        run()
+    assert scan_log(spark, out).count() == 0
+    open(flag, "w").close()
+    run()
+    for name in ("0", ".0.crc"):
+        os.unlink(os.path.join(c, "commits", name))  # and cut off once more, after its outcomes were written
+    run()
+    append_log(_log(spark, 20), source, partitions=3)
+    run()
+    rows = scan_log(spark, out).groupBy("topic").agg(F.count("*").alias("n"), F.count_distinct("value").alias("d")).collect()
+    batch = {r.outcome: r["count"] for r in routing.route(handler(_log(spark, 200).union(_log(spark, 20))), tier_table(spark)).groupBy("outcome").count().collect()}
+    assert {r.topic: r.n for r in rows} == {"state": batch["processed"], "retry": batch["retried"], "dlq": batch["dead-lettered"]} and sum(r.d for r in rows) == 200
+
+
 def test_snapshots_and_batches(spark, tmp_path):
     df = spark.range(600).select((F.col("id") % 7).cast("string").alias("k"), F.col("id").cast("double").alias("v"), F.timestamp_millis("id").alias("t"))
     heard = jobs.BatchLog()
