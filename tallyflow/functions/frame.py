@@ -1,10 +1,14 @@
-"""Framed Avro orders as built-in expressions: one magic byte, a 32-bit schema id, then the record."""
+"""Framed Avro orders: one magic byte, a 32-bit schema id, then the record. Frames are built-in expressions, records an Arrow kernel."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyflow.functions.avro import decode_avro, encode_avro
+
 HEADER = 5
 
 
@@ -41,76 +45,22 @@ def build_frame(identifier: Column, body: Column) -> Column:
     return F.concat(F.unhex(F.lit("00")), F.unhex(F.right(F.lpad(F.hex(identifier.cast("long")), 16, "0"), F.lit(8))), body)
 
 
-def _varint(number: Column) -> Column:
-    """Zig-zag variable-length bytes of a non-negative length below 2**27."""
-    byte = lambda z, shift, more: F.unhex(F.lpad(F.hex(F.shiftright(z, shift).bitwiseAND(F.lit(127)).bitwiseOR(F.lit(128 if more else 0))), 2, "0"))
-
-    def written(z: Column) -> Column:
-        out = F.concat(*[byte(z, 7 * k, k < 3) for k in range(4)])
-        for n in (3, 2, 1):
-            out = F.when(z < 1 << 7 * n, F.concat(*[byte(z, 7 * k, k < n - 1) for k in range(n)])).otherwise(out)
-        return out
-
-    return bound(F.shiftleft(number.cast("long"), 1), written)
-
-
-def _float_bytes(x: Column) -> Column:
-    """Little-endian IEEE single of a float column, by arithmetic on sign, exponent and fraction."""
-    two, least = F.lit(2.0), F.lit(-126.0)
-
-    def exponent(size: Column) -> Column:
-        near = F.greatest(F.floor(F.log2(F.greatest(size, F.lit(2.0**-126)))).cast("double"), least)  # the logarithm may be off by one
-        return bound(near, lambda e: F.when(F.pow(two, e) > size, F.greatest(e - 1, least)).when(F.pow(two, e + 1) <= size, e + 1).otherwise(e))
-
-    def bits(d: Column) -> Column:
-        size = F.abs(d)
-        units = bound(exponent(size), lambda e: F.when(size < 2.0**-126, size / F.pow(two, e - 23)).otherwise((e + 126) * 8388608.0 + size / F.pow(two, e - 23)))
-        whole = F.when(F.isnan(d), F.lit(0x7FC00000)).when(size == float("inf"), F.lit(0x7F800000)).otherwise(units.cast("long"))
-        return whole + F.when(d < 0, F.lit(1 << 31)).otherwise(F.lit(0))
-
-    text = bound(x.cast("float").cast("double"), lambda d: F.lpad(F.hex(bits(d)), 8, "0"))
-    return F.unhex(bound(text, lambda t: F.concat(*[F.substring(t, k, 2) for k in (7, 5, 3, 1)])))
+#: The record of an order.
+ORDER = json.dumps({"type": "record", "name": "Order", "fields": [{"name": "orderId", "type": "string"}, {"name": "product", "type": "string"}, {"name": "price", "type": "float"}]})
 
 
 def encode_order(identifier: Column, order_id: Column, product: Column, price: Column) -> Column:
-    """The framed record of an order."""
-    text = lambda s: F.concat(_varint(F.octet_length(s)), s.cast("binary"))
-    return build_frame(identifier, F.concat(text(order_id), text(product), _float_bytes(price)))
+    """The framed record of an order; null where a field is."""
+    return build_frame(identifier, encode_avro(F.struct(order_id.alias("orderId"), product.alias("product"), price.cast("float").alias("price")), ORDER))
 
 
-def _read_length(body: Column, at: Column) -> Column:
-    """(length, next place) of the zig-zag length at a place; length null if the bytes end or the number is negative or too long."""
-    byte = lambda k: _number(body, at + k, 1)
-    out = F.struct(F.lit(None).cast("long").alias("n"), at.cast("int").alias("next"))
-    for k in (3, 2, 1, 0):
-        z = sum((F.shiftleft(byte(i).bitwiseAND(F.lit(127)), 7 * i) for i in range(k + 1)), F.lit(0).cast("long"))
-        done = F.struct(F.when(z % 2 == 0, F.shiftright(z, 1)).alias("n"), (at + k + 1).cast("int").alias("next"))
-        out = F.when(byte(k) < 128, done).otherwise(out)
-    return out
+def decode_orders(df: DataFrame, value: str = "value", writer: Column | None = None) -> DataFrame:
+    """df with schema_id, order_id, product, price and error from framed records of orders; ``writer``: the schema (JSON) that each was written with, the order's own if none is given.
 
-
-def decode_orders(df: DataFrame, value: str = "value") -> DataFrame:
-    """df with schema_id, order_id, product, price and error from framed records of the order schema.
-
-    error: no frame, or the bytes end early, go on after the record, or hold a bad length; the fields are null then.
+    error: no frame, or the bytes end early, go on after the record, or hold a bad length, or the writer's schema does not fit; the fields are null then.
     """
     v = F.col(value)
-
-    def fields(body: Column, a: Column, b: Column) -> Column:
-        text = lambda x: F.substring(body, x["next"], x["n"].cast("int"))
-        after = b["next"] + b["n"].cast("int")
-        number = F.conv(F.concat(*[F.hex(F.substring(body, after + k, 1)) for k in (3, 2, 1, 0)]), 16, 10).cast("long")
-        return F.struct(text(a).alias("o"), text(b).alias("p"), number.alias("bits"), (F.octet_length(body) - after + 1).alias("left"))
-
-    second = lambda body, a: bound(_read_length(body, (a["next"] + a["n"]).cast("int")), lambda b: fields(body, a, b))
-    read = bound(payload(v), lambda body: bound(_read_length(body, F.lit(1)), lambda a: second(body, a)))
-    rows = df.withColumn("schema_id", schema_id(v)).withColumn("__frame", frame_error(v)).withColumn("__d", read)
-    bits, left = F.col("__d.bits"), F.col("__d.left")
-    exponent, fraction = F.shiftright(bits, 23).bitwiseAND(F.lit(255)), bits.bitwiseAND(F.lit(8388607))
-    sign = F.when(bits >= 1 << 31, -1.0).otherwise(1.0)
-    number = F.when(exponent == 255, F.when(fraction == 0, sign * float("inf")).otherwise(float("nan"))).when(exponent == 0, sign * fraction * 2.0**-149).otherwise(sign * (1 + fraction / 8388608.0) * F.pow(F.lit(2.0), exponent - 127))
-    error = F.when(F.col("__frame").isNotNull(), F.col("__frame")).when(left.isNull() | (left < 4), "payload ends before the record does").when(left > 4, "bytes follow the record")
-    rows = rows.withColumn("error", error)
-    when = lambda x: F.when(F.col("error").isNull(), x)
-    rows = rows.withColumns({"order_id": when(F.make_valid_utf8(F.col("__d.o").cast("string"))), "product": when(F.make_valid_utf8(F.col("__d.p").cast("string"))), "price": when(number.cast("float"))})
-    return rows.drop("__frame", "__d")
+    rows = df.withColumns({"schema_id": schema_id(v), "__frame": frame_error(v), "__d": decode_avro(payload(v), F.lit(ORDER) if writer is None else writer, ORDER)})
+    record = F.col("__d.record")
+    fields = {"error": F.coalesce("__frame", "__d.error"), "order_id": record["orderId"], "product": record["product"], "price": record["price"]}
+    return rows.withColumns(fields).drop("__frame", "__d")

@@ -5,19 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.functions.frame import decode_orders, encode_order
+from tallyflow.functions.frame import ORDER, decode_orders, encode_order, schema_id
 from tallyflow.operators.routing import violations
 
 
+def small(df: DataFrame, most: int = 10_000) -> DataFrame:
+    """``df``, hinted for broadcast if it has at most ``most`` rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def decode_job(log: DataFrame, schemas: DataFrame, validate: bool = True, value: str = "value") -> DataFrame:
     """log with schema_id, order_id, product, price, error_kind, error_reason and error_message; the first check that fails decides.
 
-    In this order: a null value, a bad frame, a schema id that ``schemas`` (schema_id) does not hold, bytes that do not decode
-    (all deserialization or unknown-schema-id), and, unless ``validate`` is off, the order rules (validation). The error columns are null
-    for a good order; the order's are null unless it is one, or decodes and validation is off.
+    In this order: a null value, a bad frame, a schema id that ``schemas`` (schema_id and, where there is such a column,
+    schema_json) does not hold, bytes that do not decode (all deserialization or unknown-schema-id), and, unless ``validate`` is
+    off, the order rules (validation). Records are read with their writer's schema and resolved to an order. The error columns
+    are null for a good order; the order's are null unless it is one, or decodes and validation is off.
     """
-    known = schemas.select(F.col("schema_id").cast("int").alias("schema_id"), F.lit(True).alias("__known")).distinct()
-    rows = decode_orders(log, value).join(known, "schema_id", "left")
+    text = F.col("schema_json") if "schema_json" in schemas.columns else F.lit(None).cast("string")
+    known = schemas.groupBy(F.col("schema_id").cast("int").alias("__id")).agg(F.coalesce(F.max(text), F.lit(ORDER)).alias("__writer"))
+    framed = log.withColumn("__id", schema_id(F.col(value))).join(small(known), "__id", "left")
+    rows = decode_orders(framed, value, F.col("__writer")).withColumn("__known", F.col("__writer"))
     number, frame = F.col("schema_id").cast("string"), F.col("error")
     broken = violations(F.col("order_id"), F.col("product"), F.col("price")) if validate else F.lit("")
     found = lambda reason, message: F.struct(F.lit(reason).alias("reason"), message.alias("message"))

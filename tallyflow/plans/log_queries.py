@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.functions import frame, headers, text
+from tallyflow.functions import avro, frame, headers, text
 from tallyflow.operators import changelog, decode, dlq, observe, republish, routing, stats
 from tallyflow.plans.queries import _LOG, _ROUTED, MANY, _letters, _log, _routed, _rounded, _sql, _t
 from tallyflow.sources.log import tier_table, with_offsets
@@ -26,6 +28,48 @@ def decode_job(spark, d):
     return rows.groupBy("schema_id", "error_reason", "error_message").agg(F.count("*").alias("n"), F.count("order_id").alias("orders"), F.round(F.sum(F.col("price").cast("double")), 0).alias("price"))
 
 
+def _schema(*fields) -> str:
+    return json.dumps({"type": "record", "name": "Order", "fields": [{"name": n, "type": t, **more} for n, t, more in fields]})
+
+
+#: Schemas that orders are written with (two good versions, a retyped price, a lost product), by id, and the reader's.
+_ID, _PRODUCT = ("orderId", "string", {}), ("product", "string", {})
+_WRITERS = {
+    1: _schema(_ID, _PRODUCT, ("price", "float", {})),
+    2: _schema(("customer", "long", {}), _ID, ("price", "int", {}), ("currency", "string", {}), _PRODUCT, ("note", ["null", "string"], {})),
+    3: _schema(_ID, _PRODUCT, ("price", "string", {})),
+    4: _schema(_ID, ("price", "float", {})),
+}
+_READER = _schema(_ID, _PRODUCT, ("price", "double", {}), ("currency", "string", {"default": "EUR"}), ("note", ["null", "string"], {"default": None}))
+
+
+def decode_versions(spark, d):
+    """lineitem as orders of four writers' schemas in one log, read as one: added fields have defaults, lost ones are passed over, numbers are promoted, what cannot be read is told."""
+    key, n = F.col("l_orderkey").cast("string"), F.col("l_linenumber")
+    product, price = F.concat(F.lit("Item"), F.col("l_suppkey").cast("string")), F.col("l_extendedprice")
+    note = F.when(n % 2 == 0, F.col("l_linestatus"))
+    forms = {
+        1: F.struct(key.alias("orderId"), product.alias("product"), price.cast("float").alias("price")),
+        2: F.struct(F.col("l_partkey").alias("customer"), key.alias("orderId"), F.floor(price).cast("int").alias("price"), F.lit("LKR").alias("currency"), product.alias("product"), note.alias("note")),
+        3: F.struct(key.alias("orderId"), product.alias("product"), price.cast("string").alias("price")),
+        4: F.struct(key.alias("orderId"), price.cast("float").alias("price")),
+    }
+    x = _t(spark, d, "lineitem").withColumn("schema_id", (F.when(n == 7, 4).when(n == 6, 3).otherwise(F.col("l_orderkey") % 2 + 1)).cast("int"))
+    logs = [x.where(F.col("schema_id") == i).select("schema_id", frame.build_frame(F.lit(i), avro.encode_avro(form, _WRITERS[i])).alias("value")) for i, form in forms.items()]
+    log = logs[0].union(logs[1]).union(logs[2]).union(logs[3])
+    known = spark.createDataFrame(list(_WRITERS.items()), "id int, writer string")
+    rows = log.select(frame.schema_id(F.col("value")).alias("id"), frame.payload(F.col("value")).alias("body")).join(decode.small(known), "id")
+    rows = rows.select(F.col("id").alias("schema_id"), avro.decode_avro(F.col("body"), F.col("writer"), _READER).alias("x")).select("schema_id", "x.record.*", "x.error")
+    return rows.groupBy("schema_id", "currency", "note", "error").agg(F.count("*").alias("n"), F.count("product").alias("products"), F.sum(F.col("orderId").cast("long")).alias("ids"), F.round(F.sum("price"), 0).alias("price"))
+
+
+def schema_verdicts(spark, d):
+    """Whether a reader of each proposed schema could read what each nation's orders were written with, and why not."""
+    n = F.col("n_nationkey") % 4 + 1
+    written = F.element_at(F.create_map(*[F.lit(x) for kv in _WRITERS.items() for x in kv]), n.cast("int"))
+    return avro.compatibility(_t(spark, d, "nation").select("n_nationkey", written.alias("written"), F.lit(_READER).alias("proposed"))).select("n_nationkey", "accepted", "detail")
+
+
 def valid_orders(spark, d):
     x = _t(spark, d, "lineitem")
     ok = routing.is_order(F.when(F.col("l_orderkey") % 7 != 0, F.col("l_orderkey").cast("string")), F.lit("p"), F.when(F.col("l_suppkey") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("l_extendedprice")))
@@ -239,6 +283,10 @@ ORACLE = {
  CASE WHEN f IN (0, 1, 2, 4, 5) THEN 'deserialization' WHEN f IN (3, 8) THEN 'unknown-schema-id' WHEN f IN (6, 7) THEN 'validation' END AS error_reason,
  CASE f WHEN 0 THEN 'record value is null' WHEN 1 THEN 'expected magic byte 0x00, found 0x7b' WHEN 2 THEN 'payload is 3 bytes; Confluent framing requires at least 5' WHEN 3 THEN 'no schema has id 999999' WHEN 8 THEN 'no schema has id 8'
  WHEN 4 THEN 'decode failed for schema id 7: payload ends before the record does' WHEN 5 THEN 'decode failed for schema id 7: bytes follow the record' WHEN 6 THEN 'orderId: orderId must not be empty' WHEN 7 THEN 'product: product must not be empty; price: price must not be negative' END AS error_message FROM {_FAULTS}) GROUP BY 1, 2, 3""",
+    "decode_versions": """SELECT CAST(id AS INT) AS schema_id, CASE id WHEN 1 THEN 'EUR' WHEN 2 THEN 'LKR' END AS currency, CASE WHEN id = 2 AND l_linenumber % 2 = 0 THEN l_linestatus END AS note, CASE id WHEN 3 THEN 'price: string cannot be read as double' WHEN 4 THEN 'product: missing without default' END AS error,
+ count(*) AS n, count(*) FILTER (id < 3) AS products, CAST(sum(CASE WHEN id < 3 THEN l_orderkey END) AS BIGINT) AS ids, round(sum(CASE id WHEN 1 THEN CAST(CAST(l_extendedprice AS FLOAT) AS DOUBLE) WHEN 2 THEN floor(l_extendedprice) END), 0) AS price
+ FROM (SELECT *, CASE WHEN l_linenumber = 7 THEN 4 WHEN l_linenumber = 6 THEN 3 ELSE l_orderkey % 2 + 1 END AS id FROM lineitem) GROUP BY 1, 2, 3, 4""",
+    "schema_verdicts": "SELECT n_nationkey, n_nationkey % 4 < 2 AS accepted, CASE n_nationkey % 4 WHEN 2 THEN 'price: string cannot be read as double' WHEN 3 THEN 'product: missing without default' ELSE '' END AS detail FROM nation",
     "valid_orders": "SELECT l_returnflag, l_orderkey % 7 <> 0 AND l_suppkey % 3 <> 0 AND l_extendedprice >= 0 AS valid, count(*) AS n FROM lineitem GROUP BY 1, 2",
     "format_orders": "SELECT l_orderkey, printf('%d Item%d %.2f', l_orderkey, l_suppkey, l_extendedprice) AS line FROM lineitem WHERE l_linenumber = 1",
     "marker_failures": f"SELECT event_id, k % 4 = 0 AND k % 5 + 1 < 4 AS fails FROM {_LOG}",
@@ -275,5 +323,5 @@ ORACLE = {
 
 
 def queries() -> dict:
-    every = (decode_job, valid_orders, format_orders, marker_failures, registry_errors, describe_errors, dlq_write, dlq_metadata, dlq_list_rows, dlq_listing, dlq_select_offsets, dlq_replay, changelog_restore, changelog_skipped, changelog_compact, dropped_entries, last_offsets, product_count, product_lookup, state_view, distinct_orders, total_lag, retried_by_tier, forwarded_by_tier, paused_partitions, forward_outcomes, batch_counts, duration_histograms, times_and_ages, split_lists, clipped_texts, topic_names)
+    every = (decode_job, decode_versions, schema_verdicts, valid_orders, format_orders, marker_failures, registry_errors, describe_errors, dlq_write, dlq_metadata, dlq_list_rows, dlq_listing, dlq_select_offsets, dlq_replay, changelog_restore, changelog_skipped, changelog_compact, dropped_entries, last_offsets, product_count, product_lookup, state_view, distinct_orders, total_lag, retried_by_tier, forwarded_by_tier, paused_partitions, forward_outcomes, batch_counts, duration_histograms, times_and_ages, split_lists, clipped_texts, topic_names)
     return {f.__name__: f for f in every}
