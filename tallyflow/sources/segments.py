@@ -51,11 +51,28 @@ class Store:
         with self.fs.open_input_stream(f"{self.root}/commits/{number:012d}.json") as f:
             return json.loads(f.read())
 
-    def add(self, files: list[dict], writer: str | None, batch: int | None) -> int | None:
-        """Commits the files of a write, in order. None if the writer has committed the batch already."""
+    def put(self, number: int, made: dict) -> bool:
+        """Makes a commit under its number; False if the number is taken."""
         from pyarrow import fs
 
         self.fs.create_dir(f"{self.root}/commits", recursive=True)
+        name = f"{self.root}/commits/{number:012d}.json"
+        draft = f"{name}.{uuid.uuid4().hex}"
+        with self.fs.open_output_stream(draft) as out:
+            out.write(json.dumps(made).encode())
+        if not isinstance(self.fs, fs.LocalFileSystem):
+            self.fs.move(draft, name)  # stores without links: one writer at a time
+            return True
+        try:
+            os.link(draft, name)  # fails where the name is taken
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(draft)
+        return True
+
+    def add(self, files: list[dict], writer: str | None, batch: int | None) -> int | None:
+        """Commits the files of a write, in order. None if the writer has committed the batch already."""
         while True:
             number = self.last() + 1
             before = self.commit(number - 1)
@@ -67,20 +84,8 @@ class Store:
                 segments.append(f | {"offset": ends.get(place, 0)})
                 ends[place] = ends.get(place, 0) + f["rows"]
             made = {"segments": segments, "ends": ends, "writers": before["writers"] | ({writer: batch} if writer and batch is not None else {})}
-            name = f"{self.root}/commits/{number:012d}.json"
-            draft = f"{name}.{uuid.uuid4().hex}"
-            with self.fs.open_output_stream(draft) as out:
-                out.write(json.dumps(made).encode())
-            if not isinstance(self.fs, fs.LocalFileSystem):
-                self.fs.move(draft, name)  # stores without links: one writer at a time
+            if self.put(number, made):
                 return number
-            try:
-                os.link(draft, name)  # fails where the name is taken
-            except FileExistsError:
-                continue
-            finally:
-                os.unlink(draft)
-            return number
 
     def drop(self, files: list[dict]) -> None:
         for f in files:
