@@ -9,6 +9,8 @@ from tallyflow.llm.common import cut, let, small_side, words_of
 
 #: Rows that a window over a share of a source holds, about.
 CHUNK = 1024
+#: Blocks that a source has at least, if it has as many words: a smaller source has shorter blocks, so that whole blocks come near its target.
+PARTS = 64
 #: Half rounds of the permutation of block indexes, and steps that it may take until it is back inside them.
 ROUNDS, STEPS = 6, 70
 PLACES = "array<struct<shard:bigint,slot:int,words:bigint>>"
@@ -38,7 +40,7 @@ def targets(sizes: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (
 
 
 def placed(docs: DataFrame, block: int, **how) -> tuple[DataFrame, DataFrame]:
-    """The documents with their place in their source's stream of words, and the table of the sources.
+    """The documents with their place in their source's stream of words, and the table of the sources. A source's blocks have ``block`` words (width), or, in a small source, a 64th of its words and at least one.
 
     A stream's order is that of a hash share, then of the id and the text's hash: sums within a share, then of the shares before, so that no task
     orders a whole source. Only equal rows tie.
@@ -48,15 +50,16 @@ def placed(docs: DataFrame, block: int, **how) -> tuple[DataFrame, DataFrame]:
     sized = sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "mark", F.lit(1)), F.lit(chunks)))
     shares = sized.groupBy("source", "chunk").agg(F.sum("size").alias("words"))
     sources = targets(shares.groupBy("source").agg(F.sum("words").alias("source_size")), **how)
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    sources = cut(sources.withColumn("blocks", blocks).withColumn("slots", F.when(F.col("source_size") > 0, F.least(2 * blocks, F.round(F.col("target") * blocks / F.col("source_size")).cast("long"))).otherwise(0)))
+    width = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("source_size") / PARTS))).cast("long")
+    blocks = F.ceil(F.col("source_size") / F.col("width")).cast("long")
+    sources = cut(sources.withColumn("width", width).withColumn("blocks", blocks).withColumn("slots", F.when(F.col("source_size") > 0, F.least(2 * blocks, F.round(F.col("target") * blocks / F.col("source_size")).cast("long"))).otherwise(0)))
     known = small_side(sources)
     earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    shares = shares.select("source", "chunk", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("ahead")).alias("a").join(known.alias("b"), F.expr("a.source <=> b.source")).select("a.source", "chunk", "ahead", "source_no", "source_size", "target")
+    shares = shares.select("source", "chunk", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("ahead")).alias("a").join(known.alias("b"), F.expr("a.source <=> b.source")).select("a.source", "chunk", "ahead", "source_no", "source_size", "target", "width")
     within = Window.partitionBy("source", "chunk").orderBy("doc_id", "mark", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = sized.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
     joined = rows.alias("a").join(shares.alias("b"), F.expr("a.source <=> b.source and a.chunk = b.chunk"))
-    return joined.select("a.*", "source_no", "source_size", "target", (F.col("ahead") + F.col("inside")).alias("start")).drop("chunk", "inside"), sources
+    return joined.select("a.*", "source_no", "source_size", "target", "width", (F.col("ahead") + F.col("inside")).alias("start")).drop("chunk", "inside"), sources
 
 
 def permuted(index, size, *key):
@@ -123,11 +126,11 @@ def slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     return each.select("source_no", copy.alias("copy"), mapped.alias("block"), "shard", "slot")
 
 
-def taken_parts(rows: DataFrame, sources: DataFrame, block: int, shard_slots: int, seed: int) -> DataFrame:
+def taken_parts(rows: DataFrame, sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     """(start, source_no, doc_id, mark, size, ..., copy, shard, slot, from, words) for each part of a document that a drawn block holds."""
-    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
+    first, last = F.floor(F.col("start") / F.col("width")), F.floor((F.col("start") + F.col("size") - 1) / F.col("width"))
     parts = rows.where("size > 0").select("*", F.explode(F.sequence(first, last)).alias("block"))
-    low, high = F.greatest("start", F.col("block") * block), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
+    low, high = F.greatest("start", F.col("block") * F.col("width")), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("width"))
     parts = parts.withColumn("from", low - F.col("start")).withColumn("words", high - low)
     return parts.join(slots(sources, shard_slots, seed).hint("merge"), ["source_no", "block"])  # both sides grow with the input
 
@@ -136,14 +139,14 @@ def mix_shares(docs: DataFrame, block: int = 256, shard_slots: int = 1024, seed:
     """Per row of ``docs`` (doc_id, text, source; other columns are ignored): doc_id, size, source_size, target, taken, places.
 
     size counts the words between space and U+0009 to U+000D. Each source's words, document after document, are packed into
-    blocks of ``block`` words; the mix takes whole blocks, each at most twice. places
+    blocks of ``block`` words (of a 64th of a source, if that is less); the mix takes whole blocks, each at most twice. places
     has the shard, the slot in it and the number of words for each block with words of the document. Null and blank texts have size 0 and are never
     taken. A null source is a source; rows without doc_id are mixed like others. Repeated rows are rows of their own: as they
     tie, what is taken of each may change hands between equal rows, so that reruns agree on the rows in whatever layout. A very long text costs its own row alone.
     """
     rows, sources = placed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("mark")), block, **how)
     rows = cut(rows)
-    taken = taken_parts(rows, sources, block, shard_slots, seed).groupBy("source_no", "start").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("shard", "slot", "words"))).alias("places"))
+    taken = taken_parts(rows, sources, shard_slots, seed).groupBy("source_no", "start").agg(F.sum("words").alias("words"), F.sort_array(F.collect_list(F.struct("shard", "slot", "words"))).alias("places"))
     some = rows.where("size > 0").join(taken, ["source_no", "start"], "left")
     none = rows.where("size = 0").withColumn("words", F.lit(0).cast("long")).withColumn("places", F.array().cast(PLACES))
     out = some.select(*none.columns).union(none)
@@ -151,17 +154,17 @@ def mix_shares(docs: DataFrame, block: int = 256, shard_slots: int = 1024, seed:
 
 
 def mix_documents(docs: DataFrame, block: int = 256, shard_slots: int = 1024, seed: int = 17, places: bool = False, **how) -> DataFrame:
-    """The mix as documents, with the columns of ``docs``: for each document and pass (at most two) a row whose text holds, in order and with the white space after them, the words of its drawn blocks. n_chars, where there is such a column, is the new length. Documents of which nothing is taken go. Identical repeated rows count as that many documents of one text. With ``places`` a column of that name follows: shard, slot and number of words for each drawn block, as in ``mix_shares``."""
-    marked = docs.withColumn("mark", F.xxhash64("text"))
-    rows, sources = placed(marked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), "mark"), block, **how)
-    parts = taken_parts(cut(rows), sources, block, shard_slots, seed)
-    drawn = parts.groupBy("source_no", "start", "copy", "doc_id", "mark", "source").agg(F.sort_array(F.collect_list(F.struct("from", "words", "shard", "slot"))).alias("parts"))
+    """The mix as documents, with the columns of ``docs``: for each document and pass (at most two) a row whose text holds, in order and with the white space after them, the words of its drawn blocks. n_chars, where there is such a column, is the new length. Documents of which nothing is taken go. Identical repeated rows count as that many documents of one text. With ``places`` a column of that name follows (in the place of one that is there): shard, slot and number of words for each drawn block, as in ``mix_shares``. Other columns, whatever their names, are kept. Null and blank texts go, as nothing is taken of them; rows without doc_id or source are mixed like others; an empty table gives none."""
+    marked = docs.withColumn("__mark", F.xxhash64("text"))
+    rows, sources = placed(marked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.col("__mark").alias("mark")), block, **how)
+    parts = taken_parts(cut(rows), sources, shard_slots, seed)
+    drawn = parts.groupBy("source_no", "start", "copy", "doc_id", "mark", "source").agg(F.sort_array(F.collect_list(F.struct("from", "words", "shard", "slot"))).alias("__parts"))
     units = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
-    text = let(units, lambda u: F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(u, (p["from"] + 1).cast("int"), p["words"].cast("int")))), ""))
-    originals = marked.where("text is not null").dropDuplicates(["doc_id", "source", "mark"]).alias("a")
-    joined = originals.join(drawn.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.source <=> b.source and a.mark = b.mark")).select("a.*", "parts").drop("mark")
+    text = let(units, lambda u: F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice(u, (p["from"] + 1).cast("int"), p["words"].cast("int")))), ""))
+    originals = marked.where("text is not null").dropDuplicates(["doc_id", "source", "__mark"]).alias("a")
+    joined = originals.join(drawn.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.source <=> b.source and a.__mark = b.mark")).select("a.*", "__parts").drop("__mark")
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    where = [F.transform("parts", lambda p: F.struct(p["shard"].alias("shard"), p["slot"].alias("slot"), p["words"].alias("words"))).alias("places")]
-    return out.select(*docs.columns, *(where if places else []))
+    where = [F.transform("__parts", lambda p: F.struct(p["shard"].alias("shard"), p["slot"].alias("slot"), p["words"].alias("words"))).alias("places")]
+    return out.select(*[c for c in docs.columns if c != "places" or not places], *(where if places else []))

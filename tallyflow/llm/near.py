@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tallyflow.llm.common import Recent, cut, jaccard_at_least, minima, small_side, universal
 from tallyflow.llm.components import connected_components
 
-#: Members that one side of a comparison within a large bucket holds at most.
-BLOCK = 512
+#: Members that one side of a comparison within a large bucket holds at most, and bytes of their values, about.
+BLOCK, BLOCK_BYTES = 512, 4 << 20
 
 
 def connect_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], values: DataFrame, unpack: Callable[[bytes], np.ndarray], percent: int, small: int = 6) -> DataFrame:
@@ -47,7 +47,8 @@ def _mixed(rest: DataFrame) -> DataFrame:
 
 
 def _compared(rest: DataFrame, values: DataFrame, unpack: Callable[[bytes], np.ndarray], percent: int) -> DataFrame:
-    sizes = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    weighed = rest.select("bucket", "id").join(values.select("id", F.octet_length("value").cast("long").alias("b")), "id")
+    sizes = weighed.groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("b") / BLOCK_BYTES)).cast("int").alias("parts"))
     parted = rest.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     met = parted.select("bucket", "id", "component", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("bucket", "id", "component", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
     buckets = rest.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))  # a bucket for each band at most

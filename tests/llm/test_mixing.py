@@ -54,3 +54,27 @@ def test_permutations(spark):
     for n in (1, 2, 3, 7, 64, 65, 1000):
         got = [r[0] for r in spark.range(n).select(permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5))).collect()]
         assert sorted(got) == list(range(n)) and (n < 50 or got != list(range(n)))
+
+
+def test_small_sources_beside_a_huge_one_meet_their_targets(spark):
+    rows = [(i * 4 + k, " ".join(f"w{j}" for j in range(30)), f"s{i:02d}") for i in range(30) for k in range(4)]
+    rows += [(1000 + i, " ".join(f"v{j}" for j in range(500)), "t") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken: dict = {}
+    of = {i: s for i, _, s in rows}
+    for r in mix_shares(docs).collect():
+        x = taken.setdefault(of[r.doc_id], [r.target, 0])
+        x[1] += r.taken
+    assert all(abs(t - n) <= max(1.5, 0.01 * t) for t, n in taken.values()), taken
+
+
+def test_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(i, f"one two three {i} " * 20, "ab"[i % 2], 7) for i in range(40)], "doc_id long, text string, source string, n_chars int")
+    clash = docs.withColumns({c: F.lit("own") for c in ("mark", "parts", "places", "width", "block", "size", "start", "words", "shard", "chunk", "copy")})
+    got, plain = mix_documents(clash, places=True), mix_documents(docs, places=True)
+    assert sorted(got.columns) == sorted(clash.columns) and got.select("mark").distinct().first()[0] == "own"
+    key = lambda df: sorted((r.doc_id, r.text, r.n_chars, str(r.places)) for r in df.collect())
+    assert key(got) == key(plain) and len(key(plain)) > 0
+    assert mix_documents(clash.where("false"), places=True).count() == 0
