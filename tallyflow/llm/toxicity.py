@@ -126,12 +126,16 @@ class BlockMaxIndex:
         return np.round((sums.reshape(shape)[blocks] + exact).ravel(), 12)
 
 
+#: Weights that the prior may have beside the cosines of the neighbours; the first without rows to choose by.
+PULLS = (1.0, 0.25, 0.5, 2.0, 4.0)
+
+
 class Model:
     """Examples of known label, their index, and the curve from votes to scores."""
 
     def __init__(self, terms: np.ndarray, weights: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]], prior: float, k: int = 15):
         self.terms, self.weights, self.prior, self.k = terms, weights, prior, k
-        self.slope, self.offset, self.share = None, 0.0, None
+        self.pull, self.slope, self.offset, self.share = PULLS[0], None, 0.0, None
         vectors = [self.vector(e[2], e[3]) for e in examples]
         # neighbours in the order of their heaviest terms share blocks, which keeps the bounds tight
         order = sorted(range(len(examples)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")[:4]].tolist(), examples[i][0]))
@@ -149,25 +153,40 @@ class Model:
         norm = float(np.sqrt(raw @ raw))
         return (at, raw / norm) if norm else (at[:0], raw[:0])
 
-    def vote(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
-        """Share of toxic labels among the nearest examples, weighted by cosine, with one neighbour of the prior; and their ids."""
+    def neighbours(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[float, float, np.ndarray]:
+        """The sum of the cosines of the nearest examples, that of the toxic ones alone, and their ids."""
         near, ids = self.index.nearest(*self.vector(hashes, counts), self.k)
-        if not len(near):
-            return self.prior, self.ids[:0]
-        one = float(near.mean())
-        return float((near @ self.labels[ids] + one * self.prior) / (near.sum() + one)), self.ids[ids]
+        return float(near.sum()), float(near @ self.labels[ids]), self.ids[ids]
+
+    def vote(self, total, toxic):
+        """Share of toxic labels among the nearest examples, weighted by cosine, with the prior at the weight ``pull``: far neighbours leave it near the prior."""
+        return (toxic + self.pull * self.prior) / (total + self.pull)
+
+    def calibrate(self, total: np.ndarray, toxic: np.ndarray, labels: np.ndarray) -> None:
+        """Chooses ``pull`` and the curve from votes to scores that tell the labels (1 and -1) of training rows set aside best, by logarithmic loss."""
+        found = []
+        for pull in PULLS:
+            self.pull = pull
+            slope, offset = logistic(self.vote(total, toxic), labels)
+            margin = labels * (slope * self.vote(total, toxic) + offset)
+            found.append((float(np.logaddexp(0, -margin).mean()), pull, slope, offset))
+        _, self.pull, self.slope, self.offset = min(found)
 
     def scorer(self, spark: SparkSession):
         """A function of (terms, counts) for tasks: (score, ids of the nearest). The model itself is broadcast once."""
-        self.share = share = self.share or spark.sparkContext.broadcast(self)
-        slope, offset = self.slope, self.offset
+        share, pull, prior, slope, offset = self.shared(spark), self.pull, self.prior, self.slope, self.offset
 
         def score(terms: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray]:
-            vote, near = share.value.vote(terms, counts)
+            total, toxic, near = share.value.neighbours(terms, counts)
+            vote = (toxic + pull * prior) / (total + pull)
             return (vote if slope is None else float(1 / (1 + np.exp(-np.clip(slope * vote + offset, -30, 30))))), near
 
         return score
 
+    def shared(self, spark: SparkSession):
+        self.share = self.share or spark.sparkContext.broadcast(self)
+        return self.share
+
 
 def _terms_of_rows(batches):
     import pyarrow as pa
@@ -201,7 +220,7 @@ def drawn(train: DataFrame, most: int, seed: int) -> DataFrame:
 def fit(train: DataFrame, examples: int = 4096, aside: int = 2048, smooth: float = 10.0, seed: int = 5, **how) -> Model:
     """The model from training rows (doc_id, text, label).
 
-    An eighth of the rows, by hash of the id, is set aside: at most ``aside`` of them calibrate the scores. Of the others at
+    An eighth of the rows, by hash of the id, is set aside: at most ``aside`` of them calibrate the scores and choose the prior's weight. Of the others at
     most ``examples`` (a bounded part, by hash of the id) are the index, with all their terms and whatever their label. In how many toxic
     and clean texts a term occurs is counted over all rows that are not set aside. A term weighs (1 + log of its count) * idf *
     the absolute log of how much more often it occurs in one class than in the other, shrunk by ``smooth`` texts of the prior:
@@ -230,17 +249,18 @@ def fit(train: DataFrame, examples: int = 4096, aside: int = 2048, smooth: float
     odds -= np.log(prior * (clean + smooth) / ((1 - prior) * (toxic + smooth)))  # of a term that no text holds: 0
     model = Model(terms, idf * np.abs(odds), rows, prior, **how)
     if calibrated:
-        vote = model.scorer(spark)  # without a curve yet
+        share = model.shared(spark)
 
-        def votes(batches):
+        def near(batches):
             import pyarrow as pa
 
             for batch in batches:
-                found = [vote(np.frombuffer(t, np.uint64), np.frombuffer(c, "<i4"))[0] for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(found, pa.float64())], ["doc_id", "label", "vote"])
+                found = [share.value.neighbours(np.frombuffer(t, np.uint64), np.frombuffer(c, "<i4")) for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True)]
+                sums = [pa.array([x[i] for x in found], pa.float64()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *sums], ["doc_id", "label", "total", "toxic"])
 
-        voted = drawn(train.where(apart), aside, seed).mapInArrow(votes, "doc_id long, label int, vote double").orderBy("doc_id", "label", "vote").collect()
-        model.slope, model.offset = logistic(np.array([r["vote"] for r in voted]), np.array([1.0 if r["label"] > 0 else -1.0 for r in voted]))
+        rows = drawn(train.where(apart), aside, seed).mapInArrow(near, "doc_id long, label int, total double, toxic double").orderBy("doc_id", "label", "total", "toxic").collect()
+        model.calibrate(*(np.array([r[c] for r in rows]) for c in ("total", "toxic")), np.array([1.0 if r["label"] > 0 else -1.0 for r in rows]))
     return model
 
 
