@@ -168,7 +168,7 @@ def delay_queue(waiting: DataFrame, topic: str = "orders") -> DataFrame:
 
 
 def delay_stream(waiting: DataFrame, table: str, checkpoint: str, every: str = "1 second", topic: str = "orders"):
-    """Starts the delay queue; what is forwarded lies under ``table`` by retry_topic. A batch that is repeated writes nothing twice, as the file sink keeps which batches it has."""
+    """Starts the delay queue; what is forwarded lies under ``table`` by retry_topic. A batch that is repeated writes nothing twice, as the file sink keeps which batches it has. It runs until it is stopped: while timers stand, a query with the trigger availableNow would not end either."""
     out = delay_queue(waiting, topic).writeStream.format("parquet").option("path", table).partitionBy("retry_topic")
     return out.outputMode("append").option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
 

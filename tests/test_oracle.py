@@ -6,9 +6,9 @@ import os
 import duckdb
 import pytest
 
-from tallyflow.plans import log_queries, queries as core
+from tallyflow.plans import log_queries, queries as core, stream_queries
 
-ORACLE, EVERY = core.ORACLE | log_queries.ORACLE, core.queries() | log_queries.queries()
+ORACLE, EVERY = core.ORACLE | log_queries.ORACLE | stream_queries.ORACLE, core.queries() | log_queries.queries() | stream_queries.queries()
 DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
