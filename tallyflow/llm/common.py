@@ -13,8 +13,16 @@ from pyspark.sql import types as T
 WORD_SPACE = r"[\x20\x09-\x0D]+"
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Holds the session's Arrow batches to ``most`` bytes: a task keeps several copies of one in its two processes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > most or int(spark.conf.get(key).rstrip("b")) <= 0:
+        spark.conf.set(key, str(most))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session: the one already set, else ``spark.checkpoint.dir``, else (local runs only) a temporary folder."""
+    """The checkpoint folder of the session: the one already set, else ``spark.checkpoint.dir``, else (local runs only) a temporary folder. Every operator asks for it, so batches are held small here."""
+    small_batches(spark)
     context = spark.sparkContext
     if (current := context.getCheckpointDir()) is not None:
         return current
@@ -27,13 +35,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
-    """Holds the session's Arrow batches to ``most`` bytes: a task keeps several copies of one in its two processes."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key).rstrip("b")) > most or int(spark.conf.get(key).rstrip("b")) <= 0:
-        spark.conf.set(key, str(most))
-
-
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and written to the shared checkpoint folder, so that losing an executor does not replay its lineage."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -259,7 +259,7 @@ def fit(train: DataFrame, examples: int = 4096, aside: int = 2048, smooth: float
                 sums = [pa.array([x[i] for x in found], pa.float64()) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *sums], ["doc_id", "label", "total", "toxic"])
 
-        rows = drawn(train.where(apart), aside, seed).mapInArrow(near, "doc_id long, label int, total double, toxic double").orderBy("doc_id", "label", "total", "toxic").collect()
+        rows = cut(drawn(train.where(apart), aside, seed)).mapInArrow(near, "doc_id long, label int, total double, toxic double").orderBy("doc_id", "label", "total", "toxic").collect()
         model.calibrate(*(np.array([r[c] for r in rows]) for c in ("total", "toxic")), np.array([1.0 if r["label"] > 0 else -1.0 for r in rows]))
     return model
 
