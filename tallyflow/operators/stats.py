@@ -24,17 +24,18 @@ def overall(df: DataFrame, value: str, at: str) -> DataFrame:
     return df.agg(*_figures(value, at))
 
 
-def snapshot(df: DataFrame, key: str, value: str, at: str) -> DataFrame:
-    """Keys in locale order, then the overall row with a null key. One scan: the overall row is an aggregate of its own only where there are no rows."""
-    rows = df.groupingSets([[key], []], key).agg(*_figures(value, at), F.grouping(key).alias("__all"))
+def snapshot(df: DataFrame, key: str, value: str, at: str, partitions=()) -> DataFrame:
+    """Keys in locale order, then the row over all of them: its ``overall`` is true and its key null, where the row of records without key has false. ``partitions``: those owned, told in order in the last row, whether they hold keys or not. One scan: the last row is an aggregate of its own only where there are no records."""
+    rows = df.groupingSets([[key], []], key).agg(*_figures(value, at), (F.grouping(key) == 1).alias("overall"))
     rows = rows.select(F.col(key).cast("string").alias("key"), "*").drop(key)
     if df.isEmpty():
-        rows = overall(df, value, at).select(F.lit(None).cast("string").alias("key"), "*", F.lit(1).alias("__all"))
-    return rows.orderBy("__all", F.collate("key", "UNICODE")).drop("__all")
+        rows = overall(df, value, at).select(F.lit(None).cast("string").alias("key"), "*", F.lit(True).alias("overall"))
+    owned = F.array(*[F.lit(int(p)) for p in sorted(set(partitions))]).cast("array<int>")
+    return rows.withColumn("partitions", F.when(F.col("overall"), owned)).orderBy("overall", F.collate("key", "UNICODE"))
 
 
 def merge_states(states: DataFrame, key: str | None = None) -> DataFrame:
-    """Merge of partial states (count, mean, m2, min, max, last_updated) by key, or of all. Empty states change nothing. In one pass: m2 about the merged mean from sums of n, n * mean and n * mean**2, taken about the key's first mean to keep digits."""
+    """Merge of partial states (count, mean, m2, min, max, last_updated) by key, or of all. Empty states change nothing. Sums of n, n * mean and n * mean**2 give m2 about the merged mean; they are taken about the mean of the key's largest state, which an aggregate finds first, to keep their digits."""
     keys = [key] if key else []
     some = states.where("count > 0")
     centre = some.groupBy(*keys).agg(F.max_by("mean", F.struct("count", "mean")).alias("__c"))

@@ -49,7 +49,8 @@ def snapshot_stream(stream: DataFrame, key: str, value: str, at: str, table: str
     """
     def write(batch: DataFrame, number: int) -> None:
         rows = batch.select(F.col(key).cast("string").alias("key"), "count", "mean", "m2", "min", "max", "last_updated")
-        rows.unionByName(merge_states(rows).withColumn("key", F.lit(None).cast("string"))).write.mode("overwrite").parquet(f"{table}/batch_id={number}")
+        every = merge_states(rows).withColumn("key", F.lit(None).cast("string"))
+        rows.withColumn("overall", F.lit(False)).unionByName(every.withColumn("overall", F.lit(True))).write.mode("overwrite").parquet(f"{table}/batch_id={number}")
 
     query = fold(stream, key, value, at).writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     return (query.trigger(processingTime=every) if every else query.trigger(availableNow=True)).foreachBatch(write).start()

@@ -120,6 +120,11 @@ def test_snapshots_and_batches(spark, tmp_path):
     rows = {r.key: (r["count"], round(r["mean"], 9), round(r["m2"], 3)) for r in jobs.newest_batch(spark.read.parquet(str(tmp_path / "out"))).collect()}
     want = {r.key: (r["count"], round(r["mean"], 9), round(r["m2"], 3)) for r in stats.snapshot(df, "k", "v", "t").collect()}
     assert rows == want and rows[None][0] == 600
+    odd = spark.createDataFrame([("b", 1.0), ("A", 2.0), (None, 3.0), ("a", 4.0), ("B", 5.0), ("__T", 6.0)], "k string, v double").withColumn("t", F.lit(1))
+    shown = stats.snapshot(odd, "k", "v", "t", [2, 0, 11, 2]).collect()
+    assert [(r.key, r.overall, r["count"], r.partitions) for r in shown] == [(None, False, 1, None), ("__T", False, 1, None), ("a", False, 1, None), ("A", False, 1, None), ("b", False, 1, None), ("B", False, 1, None), (None, True, 6, [0, 2, 11])]
+    ends = spark.createDataFrame([(p, 10) for p in (11, 2, 0)], "partition int, end long")
+    assert [r.partition for r in observe.lag(ends, ends.withColumnRenamed("end", "committed"), [2]).collect()] == [0, 2, 11]
     assert [r.key for r in stats.snapshot(df.where("false"), "k", "v", "t").collect()] == [None]
     for _ in range(50):
         if sum(r[2] for r in heard.rows) >= 600:
