@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,23 @@ def _print_of(edges: DataFrame):
     return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(7)))).first()
 
 
+#: Up to so many edges a round is planned at once; beyond that Spark plans it again while it runs, as it then splits skewed joins.
+PLANNED = 1_000_000
+
+
+@contextmanager
+def _planned_at_once(spark, few: bool):
+    """Rounds over few edges are many small shuffles; planned one by one, each costs the driver a plan of its own."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    if few:
+        spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) for each node of ``edges`` (a, b): component is the smallest id reachable. Self links and repeated links do no harm; null ends are ignored; no edges give no rows.
 
@@ -43,8 +62,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     seen = _print_of(edges)
     while seen[0]:
         parts = -(-seen[0] // PART)
-        edges = cut(_small_star(_large_star(edges.coalesce(parts)).coalesce(parts)).coalesce(parts))
-        now = _print_of(edges)
+        with _planned_at_once(edges.sparkSession, seen[0] <= PLANNED):
+            edges = cut(_small_star(_large_star(edges.coalesce(parts)).coalesce(parts)).coalesce(parts))
+            now = _print_of(edges)
         if now == seen:
             break
         seen = now

@@ -35,7 +35,9 @@ def connect_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]
     rest = cut(_mixed(members.where(f"n > {small} and id != pivot").select("bucket", "id").join(components, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))))
     if rest.isEmpty():
         return components
-    edges = _compared(rest, values, unpack, percent)
+    edges = cut(_compared(rest, values, unpack, percent))
+    if edges.isEmpty():
+        return components
     forest = components.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
     return cut(connected_components(forest.union(edges)))
 
