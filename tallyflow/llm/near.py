@@ -13,6 +13,8 @@ from tallyflow.llm.components import connected_components
 
 #: Members that one side of a comparison within a large bucket holds at most, and bytes of their values, about.
 BLOCK, BLOCK_BYTES = 512, 4 << 20
+#: Minima of a signature, of which a byte each is kept: unlike minima rarely agree in it, like ones always do.
+SIGN = 128
 
 
 def connect_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], values: DataFrame, unpack: Callable[[bytes], np.ndarray], percent: int, small: int = 6) -> DataFrame:
@@ -54,19 +56,39 @@ def _compared(rest: DataFrame, values: DataFrame, unpack: Callable[[bytes], np.n
     parted = rest.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     met = parted.select("bucket", "id", "component", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select("bucket", "id", "component", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
     buckets = rest.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))  # a bucket for each band at most
-    met = met.join(values.join(small_side(cut(buckets)), "id"), "id").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+    signed = values.join(small_side(cut(buckets)), "id").select("id", "value", "buckets").mapInArrow(_signed(unpack), "id long, value binary, buckets array<long>, sign binary")
+    met = met.join(signed, "id").repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
     return met.mapInArrow(_blocks(unpack, percent), "a long, b long")
 
 
-def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
-    a, b = universal(128, 23)
-    likely = round(128 * (percent / 100 - 0.2))
+def _signed(unpack: Callable[[bytes], np.ndarray]):
+    """Signatures of the values, worked out once an id, in however many buckets it is."""
+    a, b = universal(SIGN, 23)
+
+    def run(batches):
+        import pyarrow as pa
 
-    def described(value: bytes) -> tuple[np.ndarray, np.ndarray]:
-        items = unpack(value)
-        return items, minima(items, a, b)
+        for batch in batches:
+            signs = [minima(unpack(value.as_py()), a, b).astype(np.uint8).tobytes() for value in batch.column("value")]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signs, pa.binary())], [*batch.schema.names, "sign"])
 
-    known = Recent(described, 3_000_000)
+    return run
+
+
+def _agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """In how many places each signature of ``left`` agrees with each of ``right``."""
+    if left.size * len(right) <= 1 << 20:
+        return np.count_nonzero(left[:, None] == right, axis=2)
+    left, right = left.T.copy(), right.T.copy()
+    agree = np.zeros((left.shape[1], right.shape[1]), np.uint8)
+    for x, y in zip(left, right, strict=True):
+        agree += x[:, None] == y
+    return agree
+
+
+def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
+    likely = round(SIGN * (percent / 100 - 0.2))
+    known = Recent(unpack, 3_000_000)  # ids meet again in other buckets
 
     def edges(bucket, lo, hi, held):
         root = list({h[1]: None for h in held})
@@ -75,11 +97,8 @@ def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
         numbers = {c: i for i, c in enumerate(root)}
         label, parts = np.array([numbers[h[1]] for h in held]), np.array([h[2] for h in held])
         left, right = np.flatnonzero(parts == lo), np.flatnonzero(parts == hi)
-        sets, signed = zip(*[known(h[0], h[3]) for h in held], strict=True)  # ids meet again in other buckets
-        signed = np.array(signed).T.copy()
-        agree = np.zeros((len(left), len(right)), np.uint8)
-        for k in range(128):
-            agree += signed[k, left][:, None] == signed[k, right]
+        signed = np.frombuffer(b"".join([h[6] for h in held]), np.uint8).reshape(-1, SIGN)
+        agree = _agreeing(signed[left], signed[right])
         parent = {c: c for c in root}
 
         def find(c):
@@ -93,7 +112,7 @@ def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
             if lo == hi and x >= y:
                 continue
             p, q = find(held[x][1]), find(held[y][1])
-            if p != q and next(z for z in held[x][4] if z in held[y][5]) == bucket and jaccard_at_least(sets[x], sets[y], percent):
+            if p != q and next(z for z in held[x][4] if z in held[y][5]) == bucket and jaccard_at_least(known(held[x][0], held[x][3]), known(held[y][0], held[y][3]), percent):
                 parent[p] = q
                 yield held[x][0], held[y][0]
 
@@ -108,13 +127,13 @@ def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
 
         for batch in batches:
             found: list = []
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "lo", "hi", "id", "component", "part", "value", "buckets")]
-            for bucket, lo, hi, id_, component, part, packed, buckets in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "lo", "hi", "id", "component", "part", "value", "buckets", "sign")]
+            for bucket, lo, hi, id_, component, part, packed, buckets, sign in zip(*columns, strict=True):
                 if group != (bucket, lo, hi):
                     if len(held) > 1:
                         found += edges(*group, held)
                     held, group = [], (bucket, lo, hi)
-                held.append((id_, component, part, packed, buckets, set(buckets)))
+                held.append((id_, component, part, packed, buckets, set(buckets), sign))
             yield table(found)
         if len(held) > 1:
             yield table(list(edges(*group, held)))
