@@ -41,16 +41,18 @@ PLANNED = 1_000_000
 
 
 @contextmanager
-def _planned_at_once(spark, few: bool):
-    """Rounds over few edges are many small shuffles; planned one by one, each costs the driver a plan of its own."""
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
+def _planned_at_once(spark, few: bool, parts: int):
+    """Rounds over few edges are many small shuffles; planned one by one, each costs the driver a plan of its own. They get ``parts`` shuffle partitions, as the session's number follows the whole input and most of its tasks would be idle."""
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(key) for key in keys]
     if few:
-        spark.conf.set(key, "false")
+        spark.conf.set(keys[0], "false")
+        spark.conf.set(keys[1], str(min(parts, int(before[1]))))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in zip(keys, before, strict=True):
+            spark.conf.set(key, value)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     seen = _print_of(edges)
     while seen[0]:
         parts = -(-seen[0] // PART)
-        with _planned_at_once(edges.sparkSession, seen[0] <= PLANNED):
+        with _planned_at_once(edges.sparkSession, seen[0] <= PLANNED, parts):
             edges = cut(_small_star(_large_star(edges.coalesce(parts)).coalesce(parts)).coalesce(parts))
             now = _print_of(edges)
         if now == seen:
