@@ -21,13 +21,23 @@ def histogram(df: DataFrame, label: str, value: str, bounds) -> DataFrame:
 def throughput(df: DataFrame, key: str, at: str, seconds: int = 10) -> DataFrame:
     """df with the records of its key in the closed last ``seconds`` a second, two decimals.
 
-    A key's records are cut into spans of time, and each span also gets those of the span before, so that a hot key is spread over tasks.
+    A key's records are cut into spans of time, so that a hot key is spread over tasks. Each record counts once at its time and
+    back just after it leaves the window, in its own span or the next, which begins with the records that have not left: a running sum,
+    whose work does not grow with the records in a window. Records without a time count those of their key without one.
+    Halves round by the double's hundredfold, as in SQL.
     """
     micros, span = F.unix_micros(F.col(at).cast("timestamp")), max(seconds, 600) * 1_000_000
-    own = F.floor(micros / span).cast("long")
-    rows = df.select("*", micros.alias("__at"), own.alias("__own"), F.explode(F.array(own, own + 1)).alias("__span"))
-    w = Window.partitionBy(key, "__span").orderBy("__at").rangeBetween(-seconds * 1_000_000, 0)
-    return rows.withColumn("per_second", F.round(F.count("*").over(w) / seconds, 2)).where("__own = __span").drop("__at", "__own", "__span")
+    own, leaves = F.floor(micros / span).cast("long"), micros + seconds * 1_000_000 + 1
+    stays = (leaves >= (own + 1) * span).cast("int")
+
+    def mark(span, time, step, enters):
+        return F.struct(span.alias("span"), time.alias("time"), F.lit(step).alias("step"), enters.alias("enters"))
+
+    marks = F.array(mark(own, micros, 1, F.lit(0)), mark(own + stays, leaves, -1, stays))
+    rows = df.select("*", F.explode(F.when(micros.isNull(), F.slice(marks, 1, 1)).otherwise(marks)).alias("__mark"))
+    parts = Window.partitionBy(key, "__mark.span")
+    sums = F.sum("__mark.step").over(parts.orderBy("__mark.time").rangeBetween(Window.unboundedPreceding, 0)) + F.sum("__mark.enters").over(parts)
+    return rows.withColumn("per_second", F.round(sums / seconds * 100) / 100).where("__mark.step = 1").drop("__mark")
 
 
 def depth(log: DataFrame) -> DataFrame:

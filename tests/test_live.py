@@ -133,3 +133,19 @@ def test_figures_come_from_the_batches(spark, tmp_path):
     assert took[("order_processing_duration_seconds", "+Inf")] == took[("offset_commit_duration_seconds", "+Inf")] == table.where("committed").count()
     assert {r.lag for r in metrics.newest_lag(table).collect()} == {0}
     assert metrics.source_lag('{"ends": {"a/0": 5}}', '{"ends": {"a/0": 9, "a/1": 2}}', {}) == {"a/0": 4, "a/1": 2} and metrics.source_lag(None, None, {"maxOffsetsBehindLatest": "3"}) == {"all": 3}
+
+
+def test_throughput_reads_no_window_twice(spark):
+    """A crowd within one window, times at the borders of spans, and records without a time or key."""
+    crowd = spark.range(300_000).select(F.lit("a").alias("k"), F.timestamp_micros(F.col("id")).alias("t"))
+    started = time.monotonic()
+    assert observe.throughput(crowd, "k", "t").agg(F.sum("per_second")).first()[0] == sum(round(n / 10, 2) for n in range(1, 300_001)).__round__(2)
+    assert time.monotonic() - started < 60  # with a frame for each row: 45 thousand million additions
+    span, second = 600_000_000, 1_000_000
+    times = [0, span - 1, span, span + 10 * second, 2 * span - 1, 2 * span - 1, 3 * span - 1, None, None]
+    for seconds in (10, 600):
+        rows = [(k, t) for k in ("a", None) for t in times]
+        df = spark.createDataFrame(rows, "k string, m long").withColumn("t", F.timestamp_micros("m"))
+        got = sorted(((r.k, r.m, r.per_second) for r in observe.throughput(df, "k", "t", seconds).collect()), key=str)
+        n = [sum(u is t if t is None or u is None else t - seconds * second <= u <= t for u in times) for t in times]
+        assert got == sorted(((k, t, round(x / seconds, 2)) for k in ("a", None) for t, x in zip(times, n, strict=True)), key=str)
