@@ -54,8 +54,9 @@ def handle(records: DataFrame, handler: Callable, attempts: int = 3, budget_ms:
 
     ``handler(batch, attempt)`` gets up to ``at_once`` records as a pandas DataFrame and the number of the try, from 1. It returns
     nothing, or for each record None or its error; a column ``delivery`` of the records tells which delivery it is. What it
-    raises counts for one record: if there are several in the call, each is handled by itself, so that a bad record has its
-    own outcome and the others are processed. (Those may then be handled twice, as any record may after a restart.)
+    raises counts for one record: if there are several in the call, its halves are handled by themselves, until a bad record is alone,
+    has its own outcome, and the others are processed. (Those may then be handled again, as any record may after a restart: each
+    at most once for each halving, and a bad record costs about two calls for each.)
 
     Transient errors are tried again, the records that have them alone, after a jittered delay that doubles up to a cap, until
     ``attempts`` calls are made or the next delay would pass ``budget_ms``. Permanent errors are not. The tries of a call share
@@ -70,7 +71,8 @@ def handle(records: DataFrame, handler: Callable, attempts: int = 3, budget_ms:
         except Exception as e:  # noqa: BLE001 - a handler may raise anything; the record gets it as its outcome
             if len(batch) == 1:
                 return [e]
-            return [x for i in range(len(batch)) for x in called(batch.iloc[i : i + 1], attempt)]
+            half = len(batch) // 2
+            return called(batch.iloc[:half], attempt) + called(batch.iloc[half:], attempt)
         return [None] * len(batch) if found is None else [x if isinstance(x, BaseException) else None for x in found]
 
     def outcomes(batch) -> list[tuple]:

@@ -149,3 +149,16 @@ def test_throughput_reads_no_window_twice(spark):
         got = sorted(((r.k, r.m, r.per_second) for r in observe.throughput(df, "k", "t", seconds).collect()), key=str)
         n = [sum(u is t if t is None or u is None else t - seconds * second <= u <= t for u in times) for t in times]
         assert got == sorted(((k, t, round(x / seconds, 2)) for k in ("a", None) for t, x in zip(times, n, strict=True)), key=str)
+
+
+def test_a_bad_record_does_not_cost_a_call_for_each(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def handler(batch, attempt):
+        calls.add(1)
+        if batch["n"].isin([13, 700]).any():
+            raise ValueError("bad")
+
+    got = handle(spark.range(1000).select(F.col("id").alias("n")).coalesce(1), handler).collect()
+    assert {r.n for r in got if r.error_message == "bad" and r.tries == 1} == {13, 700} and sum(r.error_kind is not None for r in got) == 2
+    assert [r.n for r in got] == list(range(1000)) and calls.value < 50  # by themselves: 1001
