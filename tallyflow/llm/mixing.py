@@ -161,8 +161,12 @@ def mix_documents(docs: DataFrame, block: int = 256, shard_slots: int = 1024, se
     drawn = parts.groupBy("source_no", "start", "copy", "doc_id", "mark", "source").agg(F.sort_array(F.collect_list(F.struct("from", "words", "shard", "slot"))).alias("__parts"))
     units = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1))
     text = let(units, lambda u: F.array_join(F.flatten(F.transform("__parts", lambda p: F.slice(u, (p["from"] + 1).cast("int"), p["words"].cast("int")))), ""))
-    originals = marked.where("text is not null").dropDuplicates(["doc_id", "source", "__mark"]).alias("a")
-    joined = originals.join(drawn.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.source <=> b.source and a.__mark = b.mark")).select("a.*", "__parts").drop("__mark")
+    # Texts are shuffled and sorted once: by keys without nulls, by which equal rows are told and the drawn parts joined.
+    keys = lambda mark: {"__id": F.coalesce("doc_id", F.lit(0)).cast("long"), "__known": F.col("doc_id").isNotNull(), "__source": F.coalesce(F.col("source").cast("string"), F.lit("")), "__named": F.col("source").isNotNull(), "__text": F.col(mark)}
+    names = list(keys("mark"))
+    turn = F.count("*").over(Window.partitionBy(*names).rowsBetween(Window.unboundedPreceding, 0))
+    originals = marked.where("text is not null").withColumns(keys("__mark")).withColumn("__turn", turn).where("__turn = 1")
+    joined = originals.hint("merge").join(drawn.withColumns(keys("mark")).select(*names, "__parts"), names).select(*docs.columns, "__parts")
     out = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

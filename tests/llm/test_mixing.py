@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tallyflow.llm.mixing import mix_documents, mix_shares
 
 
@@ -78,3 +80,14 @@ def test_clashing_columns(spark):
     key = lambda df: sorted((r.doc_id, r.text, r.n_chars, str(r.places)) for r in df.collect())
     assert key(got) == key(plain) and len(key(plain)) > 0
     assert mix_documents(clash.where("false"), places=True).count() == 0
+
+
+def test_texts_are_shuffled_once(spark):
+    """Equal rows, with and without id or source, are told in the join's own shuffle and order, not by an aggregate that sorts whole texts before."""
+    rows = [(i % 50 if i % 7 else None, f"w{i % 50} a b\nc {'d ' * (i % 5)}", "s" if i % 3 else None) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mix_documents(docs, block=4, shard_slots=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    shares = mix_shares(docs, block=4, shard_slots=8).agg(F.sum("taken")).first()[0]
+    assert sum(len(r.text.split()) for r in out.collect()) == shares
