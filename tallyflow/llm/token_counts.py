@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Nodes and distinct pre-tokens that a worker keeps; beyond that its trie starts anew. Longer words stay out of the trie.
+#: Nodes and distinct pre-tokens that a worker keeps. Beyond the first its trie starts anew; beyond half the second, counts that were not
+#: asked for since the last time go. Longer words stay out of the trie.
 NODES, CACHED, LONGEST = 500_000, 300_000, 200
 
 
@@ -27,6 +28,14 @@ def unigram_scores(model: str) -> dict[str, float]:
     return {p.id_to_piece(i): -math.log(r) - total for r, i in enumerate(pieces, 1)}
 
 
+class Lengths(dict):
+    """By the last three characters of a text: the lengths, in order, of the pieces that may end there."""
+
+    def __missing__(self, end: str) -> tuple[int, ...]:
+        self[end] = found = self[end[1:]] if end else ()
+        return found
+
+
 class Trie:
     """A trie of pre-tokens whose nodes hold the best forward score of their prefix and its number of tokens; terminal counts are kept by word.
 
@@ -35,22 +44,30 @@ class Trie:
 
     def __init__(self, scores: dict[str, float]):
         self.scores, self.longest, self.byte_score = scores, max(map(len, scores)), min(scores.values()) - 10.0
+        found: dict[str, set[int]] = {}
+        for piece in scores:
+            found.setdefault(piece[-3:], set()).add(len(piece))
+        self.found = {end: tuple(sorted(set().union(*(found.get(end[k:], ()) for k in range(len(end)))))) for end in found}
+        self.terminal: dict[bytes, int] = {}
+        self.before: dict[bytes, int] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
+        self.lengths = Lengths(self.found)
+        self.child: dict[int, int] = {}  # by node and character in one number
         self.score, self.count = [0.0], [0]
-        self.terminal: dict[bytes, int] = {}
 
     def step(self, text: str, end: int, at: list[int], score: list[float], count: list[int]) -> tuple[float, int]:
         """The best score of text[:end] and its tokens, from those of the prefixes before: prefix k stands at ``at[k]`` of the two lists."""
-        cost = len(text[end - 1].encode("utf-8", "surrogatepass"))
+        last = text[end - 1]
+        cost = 1 if last < "\x80" else len(last.encode("utf-8", "surrogatepass"))
         best, tokens = score[at[-1]] + cost * self.byte_score, count[at[-1]] + cost
-        known = self.scores
-        for start in range(max(0, end - self.longest), end):
-            s = known.get(text[start:end])
+        for n in self.lengths[text[max(0, end - 3) : end]]:
+            if n > end:
+                break
+            s = self.scores.get(text[end - n : end])
             if s is not None:
-                k = at[start - end]
+                k = at[-n]
                 total = score[k] + s
                 if total > best or total == best and count[k] + 1 < tokens:
                     best, tokens = total, count[k] + 1
@@ -61,13 +78,13 @@ class Trie:
         text = MARK + word
         if len(text) > LONGEST:
             return self.alone(text)
-        node, path = 0, [0]
-        for end in range(1, len(text) + 1):
-            key = (node, text[end - 1])
-            node = self.child.get(key, 0)
+        node, path, child = 0, [0], self.child
+        for end, last in enumerate(map(ord, text), 1):
+            key = node << 21 | last
+            node = child.get(key, 0)
             if not node:
                 best, tokens = self.step(text, end, path, self.score, self.count)
-                node = self.child[key] = len(self.score)
+                node = child[key] = len(self.score)
                 self.score.append(best)
                 self.count.append(tokens)
             path.append(node)
@@ -83,13 +100,17 @@ class Trie:
 
     def counts(self, words: list[bytes]) -> list[int]:
         """The terminal count of each word."""
-        new = {w for w in words if w not in self.terminal}
-        if len(self.score) > NODES or len(self.terminal) + len(new) > CACHED:
+        new = set(words).difference(self.terminal)
+        if len(self.score) > NODES:
             self.clear()
             new = set(words)
+        if len(self.terminal) + len(new) > CACHED // 2:
+            self.before, self.terminal = self.terminal, {}
+            new = set(words)
         for w in new:
-            self.terminal[w] = self.insert(w.decode())
-        return [self.terminal[w] for w in words]
+            n = self.before.get(w)
+            self.terminal[w] = self.insert(w.decode()) if n is None else n
+        return list(map(self.terminal.__getitem__, words))
 
 
 #: By vocabulary file; a worker keeps its trie over its tasks.

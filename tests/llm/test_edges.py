@@ -146,3 +146,16 @@ def test_block_max_is_exact():
             plain = [i for i in np.lexsort((np.arange(len(cosines)), -cosines))[:15] if cosines[i] > 0]
             near, ids = index.nearest(*q, 15)
             assert ids.tolist() == plain and np.allclose(near, cosines[plain])
+
+
+def test_counts_asked_for_lately_outlive_the_cache(monkeypatch):
+    from tallyflow.llm import token_counts as module
+
+    trie = module.Trie({module.MARK: -1.0, module.MARK + "a": -2.0, "b": -2.5, "ab": -3.0})
+    made, insert = [], trie.insert
+    monkeypatch.setattr(trie, "insert", lambda w: made.append(w) or insert(w))
+    monkeypatch.setattr(module, "CACHED", 20)
+    for i in range(40):
+        assert trie.counts([b"ab", b"b", b"c%d" % i])[:2] == [2, 2]
+    assert made.count("ab") == made.count("b") == 1 and len(made) == 42
+    assert len(trie.terminal) + len(trie.before) <= 20
