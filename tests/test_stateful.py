@@ -147,3 +147,93 @@ def test_timers_release_without_input_and_after_a_restart(spark, tmp_path):
     assert query.exception() is None
     query.stop()
     assert _sent(spark, table) == sent
+
+
+class _Held(dict):
+    """A state of one key that counts its calls, as value or as map."""
+
+    calls = 0
+
+    def exists(self):
+        return () in self
+
+    def get(self):
+        return self[()]
+
+    def update(self, value):
+        self.updateValue((), value)
+
+    def getValue(self, key):  # noqa: N802
+        _Held.calls += 1
+        return self[key]
+
+    def updateValue(self, key, value):  # noqa: N802
+        _Held.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):  # noqa: N802
+        _Held.calls += 1
+        del self[key]
+
+
+class _Handle:
+    def __init__(self):
+        self.states, self.timers = {}, set()
+
+    def getValueState(self, name, _):  # noqa: N802
+        return self.states.setdefault(name, _Held())
+
+    def getMapState(self, name, *_):  # noqa: N802
+        return self.states.setdefault(name, _Held())
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.discard(at)
+
+
+class _Now:
+    def __init__(self, now):
+        self.getCurrentProcessingTimeInMs = lambda: now
+
+
+@pytest.mark.parametrize("held", [0, 1 << 25])
+def test_a_delay_queue_calls_its_state_for_chunks_and_keeps_the_order(monkeypatch, held):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(stateful, "SPAN", 100)
+    monkeypatch.setattr(stateful, "HELD_BYTES", held)  # 0: each chunk is stored before the order of the batch is known
+    rng = np.random.default_rng(5)
+    n, _Held.calls = 4_000, 0
+    wait = np.where(rng.random(n) < 0.02, rng.integers(0, 50, n) + np.arange(n) // 100, 0)
+    due = np.maximum.accumulate(wait)  # when a record and all before it are due
+    header = pa.list_(pa.struct([("key", pa.string()), ("value", pa.binary())]))
+    sent, handle = [], _Handle()
+
+    def take(rows):
+        for batch in stateful._records([pa.RecordBatch.from_pylist([r.asDict() for r in rows], pa.schema([("retry_topic", pa.string()), ("partition", pa.int32()), ("packed", pa.binary()), ("forwarded_at", pa.int64())]))]):
+            sent.extend(zip(*(batch[c].to_pylist() for c in ("offset", "forwarded_at", "value", "headers", "retry_topic", "partition")), strict=True))
+
+    for now in range(101):
+        queue = stateful.DelayQueue()
+        queue.init(handle)
+        if now in (0, 7, 9, 30):  # a thousand records each, in any order
+            o = rng.permutation(1_000) + 1_000 * (0, 7, 9, 30).index(now)
+            fixed = [pa.array(["t"] * 1_000), pa.array([2] * 1_000, pa.int32()), pa.array(o), pa.array(o)]
+            rows = pa.RecordBatch.from_arrays([*fixed, pa.array([b"k"] * 1_000), pa.array([b"%d" % x for x in o]), pa.array([[("h", b"%d" % x)] for x in o], header), pa.array([int(x) or None for x in wait[o]], pa.int64())], ["topic", "partition", "offset", "timestamp", "key", "value", "headers", "not_before"])
+            chunks = [c for b in stateful._chunks([rows.slice(0, 300), rows.slice(300)]) for c in b.to_pylist()]
+            assert len(chunks) == 10
+            take(queue.handleInputRows(("t", 2), iter(chunks[::-1]), _Now(now)))
+        if any(t <= now for t in handle.timers):
+            handle.timers = {t for t in handle.timers if t > now}
+            take(queue.handleExpiredTimer(("t", 2), _Now(now), None))
+        head, tail, timer, _, records = handle.states["ends"].get()
+        assert records == sum(x <= now for x in (0, 7, 9, 30)) * 1_000 - len(sent)
+        assert (handle.timers == {timer}) if records else not handle.timers
+    came = np.repeat([0, 7, 9, 30], 1_000)
+    assert [x[:2] for x in sent] == [(i, int(max(due[i], came[i]))) for i in range(n)]
+    assert all(v == b"%d" % i and h == [{"key": "h", "value": v}] and (t, p) == ("t", 2) for i, _, v, h, t, p in sent)
+    assert not handle.states["queue"] and not handle.states["chunks"]
+    assert _Held.calls < int((due > came).sum())  # not one for each record that waits
