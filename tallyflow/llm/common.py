@@ -82,11 +82,21 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def reuse_freed() -> None:
+    """From now on arrays of up to 16 MB come from memory that this process has freed. Before the first free of a large block, glibc gives back each smaller one and takes it anew, page by page."""
+    np.empty(16 << 20, np.uint8)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on 64-bit integers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    out = x >> np.uint64(30)
+    out ^= x
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    shifted = out >> np.uint64(27)
+    out ^= shifted
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= out >> np.uint64(31)
+    return out
 
 
 def _powers(n: int) -> list[np.ndarray]:
@@ -210,6 +220,35 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def pairs_at_least(hashes: np.ndarray, counts: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets hold 100 * intersection >= percent * union. hashes: the sets' items, one set after the other, each as often as it likes; counts: how many each has; left, right: numbers of the sets of each pair."""
+    values, rank = np.unique(hashes, return_inverse=True)
+    n = len(values)
+    items = np.repeat(np.arange(len(counts)), counts) * n + rank
+    items.sort()
+    items = items[np.append(True, items[1:] != items[:-1])[: len(items)]]
+    owner, rank = np.divmod(items, n) if n else (items, items)
+    sizes = np.bincount(owner, minlength=len(counts))
+    first = np.cumsum(sizes) - sizes
+    a, b = sizes[left], sizes[right]
+    keep = (np.minimum(a, b) * 100 >= percent * np.maximum(a, b)) & (a > 0) & (b > 0)
+    some = np.flatnonzero(keep)
+    at = 0
+    ends = np.cumsum(a[some] + b[some])
+    while at < len(some):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _BLOCK, "right")))
+        pair = some[at:to]
+        sets = np.concatenate([left[pair], right[pair]])
+        size = sizes[sets]
+        place = np.repeat(first[sets] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        keys = np.repeat(np.tile(np.arange(len(pair)), 2), size) * n + rank[place]
+        keys.sort()
+        both = np.bincount(keys[1:][keys[1:] == keys[:-1]] // n, minlength=len(pair))
+        keep[pair] = 100 * both >= percent * (a[pair] + b[pair] - both)
+        at = to
+    return keep
+
+
 class Recent:
     """What a function made of the ids met lately, within a bound on the sizes of its results."""
 

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyflow.llm.common import Recent, cut, jaccard_at_least, minima, small_side, universal
+from tallyflow.llm.common import Recent, cut, jaccard_at_least, reuse_freed, small_side, universal
 from tallyflow.llm.components import connected_components
 
 #: Members that one side of a comparison within a large bucket holds at most, and bytes of their values, about.
@@ -63,13 +63,25 @@ def _compared(rest: DataFrame, values: DataFrame, unpack: Callable[[bytes], np.n
 
 def _signed(unpack: Callable[[bytes], np.ndarray]):
     """Signatures of the values, worked out once an id, in however many buckets it is."""
-    a, b = universal(SIGN, 23)
+    a, b = ((x >> np.uint64(32)).astype(np.uint32) for x in universal(SIGN, 23))
+    a |= np.uint32(1)
+
+    def sign(items: np.ndarray) -> bytes:
+        """A byte each of the minima of a*x+b, in half the width of the items."""
+        items = (items >> np.uint64(32)).astype(np.uint32)
+        least = np.full(SIGN, 0xFFFFFFFF, np.uint32)
+        for i in range(0, len(items), 1024):
+            hashes = a[:, None] * items[i : i + 1024]
+            hashes += b[:, None]
+            np.minimum(least, hashes.min(axis=1), out=least)
+        return (least * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8).tobytes()
 
     def run(batches):
         import pyarrow as pa
 
+        reuse_freed()
         for batch in batches:
-            signs = [minima(unpack(value.as_py()), a, b).astype(np.uint8).tobytes() for value in batch.column("value")]
+            signs = [sign(unpack(value.as_py())) for value in batch.column("value")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(signs, pa.binary())], [*batch.schema.names, "sign"])
 
     return run
@@ -119,6 +131,7 @@ def _blocks(unpack: Callable[[bytes], np.ndarray], percent: int):
     def run(batches):
         import pyarrow as pa
 
+        reuse_freed()
         held: list = []
         group = None
 

@@ -3,9 +3,12 @@
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyflow.llm import common
+from tallyflow.llm import line_dedup as line_dedup_module
 from tallyflow.llm.line_dedup import WIDTH, line_dedup
 
 
@@ -67,3 +70,38 @@ def test_a_long_document(spark):
     r = line_dedup(docs).first()
     assert r.n_lines == 100_000 and r.n_kept <= 500 and r.n_kept == len(r.text.split("\n"))
     assert time.time() - began < 90
+
+
+def test_pairs_of_sets_in_bulk_are_those_one_by_one():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 40, rng.integers(0, 60)).astype(np.uint64) * np.uint64(1 << 58) for _ in range(60)] + [np.arange(300_000, dtype=np.uint64)] * 2
+    left, right = (rng.integers(0, 62, 2_000) for _ in range(2))
+    keep = common.pairs_at_least(np.concatenate(sets), np.array([len(x) for x in sets]), left, right, 60)
+    assert keep.tolist() == [common.jaccard_at_least(np.unique(sets[a]), np.unique(sets[b]), 60) for a, b in zip(left, right, strict=True)]
+    assert 0 < keep.sum() < len(keep)
+
+
+def test_one_pass_deals_bands_and_lines_and_counts_equal_lines_once():
+    import pyarrow as pa
+
+    texts = [f"alpha beta gamma {i % 50}\nthe very frequent line\n\nanother line number {i}\nthe very frequent line" for i in range(400)] + [None, ""]
+    rows = pa.table({"doc_id": pa.array(range(402), pa.int64()), "mark": pa.array(range(7, 409), pa.int64()), "text": texts})
+    parts = [b for k in range(0, 402, 67) for b in line_dedup_module._dealt(16)(iter(rows.slice(k, 67).to_batches()))]
+    assert sum(b.num_rows for b in parts) <= 6 * 2 * 16  # not a row for each band of each line
+    dealt = pa.Table.from_batches(parts).to_pylist()
+    out = []
+    for slot in range(16):
+        some = [r for r in dealt if r["slot"] == slot]
+        if some:
+            batch = pa.RecordBatch.from_pylist(some, parts[0].schema)
+            out += [r for b in line_dedup_module._gathered(iter([batch.slice(0, 3), batch.slice(3)])) for r in b.to_pylist()]
+    lines = [r for r in out if r["bucket"] is None]
+    assert sorted((r["doc_id"], r["mark"], r["line"]) for r in lines) == sorted((i, i + 7, n) for i in range(400) for n in (0, 1, 3, 4))
+    classes = [r for r in lines if r["n"] is not None]
+    assert sorted(r["n"] for r in classes) == [1] * 400 + [8] * 50 + [800] and len({r["id"] for r in classes}) == 451
+    assert {(r["doc_id"], r["line"]) for r in classes if r["n"] > 1} == {(i, 0) for i in range(50)} | {(0, 1)}
+    members = [(r["bucket"], r["id"]) for r in out if r["bucket"] is not None]
+    ids = {}
+    for bucket, i in members:
+        ids.setdefault(bucket, set()).add(i)
+    assert members and all(len(x) > 1 for x in ids.values()) and {i for _, i in members} <= {r["id"] for r in classes}
