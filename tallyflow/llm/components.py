@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,57 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 #: Edges that a task takes at least; rounds over few edges then write few files, however many shuffle partitions there are.
-PART = 10_000
+PART = 50_000
+#: Edges that a task contracts at once.
+HELD = 1_000_000
+
+
+def least_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of some edges but for the least of each of their components, and that least: (id, least), id > least."""
+    ids, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = place[: len(a)], place[len(a) :]
+    root = np.arange(len(ids))
+    while True:
+        low, high = np.minimum(root[u], root[v]), np.maximum(root[u], root[v])
+        apart = np.flatnonzero(low < high)
+        if not len(apart):
+            break
+        u, v = u[apart], v[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while True:
+            up = root[root]
+            if np.array_equal(up, root):
+                break
+            root = up
+    some = np.flatnonzero(root < np.arange(len(ids)))
+    return ids[some], ids[root[some]]
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """``edges`` (a, b) with those that a task holds replaced by stars of the same components, each around its least id. Rounds over stars are few, also where edges form long chains."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        held: list = []
+
+        def stars():
+            columns = [pa.chunked_array([x.column(c) for x in held]) for c in (0, 1)]
+            found = least_reachable(*(c.to_numpy() for c in columns))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, c.type) for x, c in zip(found, columns, strict=True)], ["a", "b"])
+
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= HELD:
+                yield stars()
+                size = 0
+        if held:
+            yield stars()
+
+    return edges.mapInArrow(run, edges.schema)
 
 
 def _print_of(edges: DataFrame):
@@ -58,17 +109,21 @@ def _planned_at_once(spark, few: bool, parts: int):
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) for each node of ``edges`` (a, b): component is the smallest id reachable. Self links and repeated links do no harm; null ends are ignored; no edges give no rows.
 
-    Each round costs two shuffles of the edges; the number of rounds is logarithmic in practice. Every round is checkpointed.
+    Tasks contract the edges they hold, before and between the rounds, so that what is shuffled is stars. Each round costs two
+    shuffles of these; the number of rounds is logarithmic in practice, and one where a task holds all edges. Every round is checkpointed.
     """
-    edges = cut(edges.where("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = _print_of(edges)
-    while seen[0]:
-        parts = -(-seen[0] // PART)
-        with _planned_at_once(edges.sparkSession, seen[0] <= PLANNED, parts):
-            edges = cut(_small_star(_large_star(edges.coalesce(parts)).coalesce(parts)).coalesce(parts))
-            now = _print_of(edges)
-        if now == seen:
-            break
-        seen = now
+    edges = edges.where("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = cut(_contracted(edges).distinct())
+    parts = -(-edges.count() // PART)
+    if parts:
+        edges = cut(_contracted(edges.coalesce(parts)))
+        seen = _print_of(edges)
+        while True:
+            with _planned_at_once(edges.sparkSession, seen[0] <= PLANNED, parts):
+                edges = cut(_contracted(_small_star(_large_star(edges).coalesce(parts)).coalesce(parts)))
+                now = _print_of(edges)
+            if now == seen:
+                break
+            seen, parts = now, -(-now[0] // PART)
     roots = edges.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)

@@ -136,11 +136,24 @@ class Model:
     def __init__(self, terms: np.ndarray, weights: np.ndarray, examples: list[tuple[int, int, np.ndarray, np.ndarray]], prior: float, k: int = 15):
         self.terms, self.weights, self.prior, self.k = terms, weights, prior, k
         self.pull, self.slope, self.offset, self.share = PULLS[0], None, 0.0, None
-        vectors = [self.vector(e[2], e[3]) for e in examples]
-        # neighbours in the order of their heaviest terms share blocks, which keeps the bounds tight
-        order = sorted(range(len(examples)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")[:4]].tolist(), examples[i][0]))
-        self.ids, self.labels = np.array([examples[i][0] for i in order], np.int64), np.array([examples[i][1] for i in order], float)
-        self.index = BlockMaxIndex([vectors[i] for i in order], len(terms))
+        self.examples, self.built = examples, None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"share": None}
+
+    def _indexed(self) -> tuple[np.ndarray, np.ndarray, BlockMaxIndex]:
+        """Ids, labels and index of the examples. Each process that looks for neighbours makes them once: the driver, which only hands the examples on, holds no index."""
+        if self.built is None:
+            vectors = [self.vector(e[2], e[3]) for e in self.examples]
+            # neighbours in the order of their heaviest terms share blocks, which keeps the bounds tight
+            order = sorted(range(len(vectors)), key=lambda i: (vectors[i][0][np.argsort(-vectors[i][1], kind="stable")[:4]].tolist(), self.examples[i][0]))
+            ids, labels = np.array([self.examples[i][0] for i in order], np.int64), np.array([self.examples[i][1] for i in order], float)
+            self.built = ids, labels, BlockMaxIndex([vectors[i] for i in order], len(self.terms))
+            self.examples = []
+        return self.built
+
+    ids = property(lambda self: self._indexed()[0])
+    labels = property(lambda self: self._indexed()[1])
 
     def vector(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unit TF-IDF vector over the terms of the examples, as term numbers and weights; empty if it has none."""
@@ -155,8 +168,9 @@ class Model:
 
     def neighbours(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[float, float, np.ndarray]:
         """The sum of the cosines of the nearest examples, that of the toxic ones alone, and their ids."""
-        near, ids = self.index.nearest(*self.vector(hashes, counts), self.k)
-        return float(near.sum()), float(near @ self.labels[ids]), self.ids[ids]
+        names, labels, index = self._indexed()
+        near, ids = index.nearest(*self.vector(hashes, counts), self.k)
+        return float(near.sum()), float(near @ labels[ids]), names[ids]
 
     def vote(self, total, toxic):
         """Share of toxic labels among the nearest examples, weighted by cosine, with the prior at the weight ``pull``: far neighbours leave it near the prior."""
@@ -197,7 +211,9 @@ def _terms_of_rows(batches):
 
 
 def _unpacked(rows) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    return [(r["doc_id"], int(r["label"] > 0), np.frombuffer(r["terms"], np.uint64), np.frombuffer(r["counts"], "<i4")) for r in rows]
+    """The rows of an Arrow table (doc_id, label, terms, counts); the arrays are views of it."""
+    columns = [rows.column("doc_id").to_pylist(), rows.column("label").to_pylist(), rows.column("terms"), rows.column("counts")]
+    return [(i, int(label > 0), np.frombuffer(t.as_buffer(), np.uint64), np.frombuffer(n.as_buffer(), "<i4")) for i, label, t, n in zip(*columns, strict=True)]
 
 
 def drawn(train: DataFrame, most: int, seed: int) -> DataFrame:
@@ -234,7 +250,7 @@ def fit(train: DataFrame, examples: int = 4096, aside: int = 2048, smooth: float
     if not toxic or not clean:
         return Model(np.zeros(0, np.uint64), np.zeros(0), [], float(toxic > 0), **how)
     used = train.where(~apart) if calibrated else train
-    rows = _unpacked(drawn(used, examples, seed).orderBy("doc_id", "label", "terms").collect())
+    rows = _unpacked(drawn(used, examples, seed).orderBy("doc_id", "label", "terms").toArrow())
     terms = np.unique(np.concatenate([t for _, _, t, _ in rows]))
     counts = cut(used.mapInArrow(_frequencies, "term long, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")))
     spark = train.sparkSession
